@@ -5,14 +5,32 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Every character that counts as surrounding whitespace, as a Java regular
-# expression. (?U)\s alone leaves out the separators \x1c to \x1f.
+# Every character that counts as surrounding whitespace, by code point.
+WHITESPACE = (
+    *range(0x09, 0x0E),
+    *range(0x1C, 0x21),
+    0x85,
+    0xA0,
+    0x1680,
+    *range(0x2000, 0x200B),
+    0x2028,
+    0x2029,
+    0x202F,
+    0x205F,
+    0x3000,
+)
+# The same as a Java regular expression. (?U)\s alone leaves out the separators \x1c to \x1f.
 STRIP_PATTERN = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
 
 
 def unicode_strip(text: Column) -> Column:
-    """Remove leading and trailing whitespace of any script, not only blanks."""
-    return F.regexp_replace(text, STRIP_PATTERN, "")
+    """Remove leading and trailing whitespace of any script, not only blanks.
+
+    The pattern runs over the whole text, so that it is left out where both ends are clean.
+    """
+    spaces = [chr(code) for code in WHITESPACE]
+    padded = F.left(text, F.lit(1)).isin(spaces) | F.right(text, F.lit(1)).isin(spaces)
+    return F.when(padded, F.regexp_replace(text, STRIP_PATTERN, "")).otherwise(text)
 
 
 def normalized_text(value: Column, null_text: str = "drop") -> Column:

@@ -30,7 +30,10 @@ class CharTokenizer:
     eos_token_id = 0
 
     def encode(self, text: Column) -> Column:
-        characters = F.filter(F.split(text, ""), lambda c: c != "")
+        # split gives one empty string for an empty text
+        characters = F.when(F.length(text) > 0, F.split(text, "")).otherwise(
+            F.array().cast("array<string>")
+        )
         return F.transform(characters, lambda c: F.ascii(c) % self.modulus + self.shift)
 
     def count(self, text: Column) -> Column:

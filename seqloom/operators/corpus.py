@@ -71,15 +71,13 @@ def assign_chunks(
     documents_before: int = 0,
     first_chunk_id: int = 0,
     null_text: str = "drop",
-    sums: dict[str, Running] | None = None,
 ) -> DataFrame:
     """Number source rows by chunk, at most `chunk_size` documents each.
 
     Adds `accepted` (has text), `accepted_before` (documents in front of this row) and `chunk_id`.
     A blank row after the last document of a full chunk belongs to the next chunk. With
     `total_documents`, rows past the last wanted document are not read; `documents_before` counts
-    those of earlier runs against that cap. The order defaults to `row_idx`. `sums` are further
-    running values over the same order, so that they share its one shuffle.
+    those of earlier runs against that cap. The order defaults to `row_idx`.
     """
     if chunk_size <= 0:
         raise ValueError("chunk_size must be positive")
@@ -88,7 +86,7 @@ def assign_chunks(
     counted = running(
         flagged,
         order or by_width("row_idx"),
-        {"accepted_before": Running("sum", F.col("accepted").cast("bigint")), **(sums or {})},
+        {"accepted_before": Running("sum", F.col("accepted").cast("bigint"))},
     )
     if total_documents is not None:
         counted = counted.filter(

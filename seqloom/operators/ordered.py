@@ -169,8 +169,9 @@ def running(
         carries = F.broadcast(carries)  # at most MAX_BUCKETS rows
 
     joined = local.join(carries, group)
+    kept = [c for c in df.columns if c not in values]
     return joined.select(
-        *[F.col(c) for c in df.columns],
+        *[F.col(c) for c in kept],
         *[
             r.combine(F.col(f"__carry_{name}"), F.col(name)).alias(name)
             for name, r in values.items()

@@ -44,8 +44,8 @@ def clip_to_norm(df: DataFrame, vector: str, key: str, max_norm: float) -> DataF
 def value_histogram(df: DataFrame, name: str, values: str, bins: int) -> DataFrame:
     """Counts in `bins` equal bins between each name's smallest and largest value.
 
-    (name, bin, bin_low, bin_high, count); a name with one distinct value has one bin. Elements are
-    counted before any shuffle of them, and bounds come from per-row extremes.
+    (name, bin, bin_low, bin_high, count); a name with one distinct value has one bin. Bounds come
+    from the extremes of each row, and elements are counted per task before anything is shuffled.
     """
     if bins <= 0:
         raise ValueError("bins must be positive")
@@ -53,23 +53,24 @@ def value_histogram(df: DataFrame, name: str, values: str, bins: int) -> DataFra
         F.min(F.array_min(values)).cast("double").alias("low"),
         F.max(F.array_max(values)).cast("double").alias("high"),
     )
-    width = (F.col("high") - F.col("low")) / F.lit(bins)
-    x = F.col("__x")
-    index = F.when(F.col("high") == F.col("low"), F.lit(0)).otherwise(
-        F.least(F.floor((x - F.col("low")) / width), F.lit(bins - 1))
-    )
+    low, high = F.col("low"), F.col("high")
+    width = (high - low) / F.lit(bins)
+
+    def bin_of(x: Column) -> Column:
+        place = F.least(F.floor((x.cast("double") - low) / width), F.lit(bins - 1))
+        return F.when(high == low, F.lit(0)).otherwise(place).cast("bigint")
+
     return (
         df.select(name, values)
         .join(bounds, name)
-        .select(name, "low", "high", F.explode(values).cast("double").alias("__x"))
-        .withColumn("bin", index.cast("bigint"))
+        .select(name, "low", "high", F.explode(F.transform(values, bin_of)).alias("bin"))
         .groupBy(name, "low", "high", "bin")
         .agg(F.count("*").alias("count"))
         .select(
             name,
             "bin",
-            (F.col("low") + F.col("bin") * width).alias("bin_low"),
-            (F.col("low") + (F.col("bin") + 1) * width).alias("bin_high"),
+            (low + F.col("bin") * width).alias("bin_low"),
+            (low + (F.col("bin") + 1) * width).alias("bin_high"),
             "count",
         )
     )

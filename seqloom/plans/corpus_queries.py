@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from seqloom.functions.text import WHITESPACE
 from seqloom.functions.tokenizers import CharTokenizer, PythonTokenizer
 from seqloom.operators import batching, corpus, packing
 from seqloom.operators.intervals import masked_mean_loss
@@ -25,13 +26,13 @@ def _words(*arrays: str) -> list:
     return [F.array_join(F.col(a).cast("array<string>"), " ").alias(a) for a in arrays]
 
 
-def _chunk_docs(spark: SparkSession, sf_dir: str, **options: object) -> DataFrame:
+def _index(spark: SparkSession, sf_dir: str) -> packing.CorpusIndex:
     docs = fx.documents(spark, sf_dir).select("doc_id", "text")
-    return packing.chunk_documents(docs, TOKENIZER, C, order=by_value(docs, "doc_id"), **options)
+    return packing.index_corpus(docs, TOKENIZER, C, order=by_value(docs, "doc_id"))
 
 
 def _counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.sequence_counts(_chunk_docs(spark, sf_dir), L)
+    return packing.sequence_counts(_index(spark, sf_dir).chunks, L)
 
 
 def _batches(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -137,7 +138,8 @@ def sequence_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    packed = packing.pack_sequences(_chunk_docs(spark, sf_dir), L)
+    docs = packing.chunk_documents(_index(spark, sf_dir))
+    packed = packing.pack_sequences(docs, L)
     return packed.select("chunk_id", "seq_id", *_words("input_ids", "labels"))
 
 
@@ -152,8 +154,10 @@ def assign_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def collate_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sequences = packing.pack_sequences(_chunk_docs(spark, sf_dir), L)
-    collated = batching.collate_batches(sequences, TOKENIZER.eos_token_id, _batches(spark, sf_dir))
+    index = _index(spark, sf_dir)
+    sequences = packing.pack_sequences(packing.chunk_documents(index), L)
+    batches = batching.assign_batches(packing.sequence_counts(index.chunks, L), L, B, E, fx.SEED)
+    collated = batching.collate_batches(sequences, TOKENIZER.eos_token_id, batches)
     return collated.select(
         "chunk_id", "epoch", "batch_id", "seq_id", *_words("input_ids", "labels", "attention_mask")
     )
@@ -173,9 +177,10 @@ def global_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def masked_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Loss of each batch under the token frequencies of the corpus."""
-    docs = _chunk_docs(spark, sf_dir)
-    batches = batching.assign_batches(packing.sequence_counts(docs, L), L, B, 1, fx.SEED)
-    collated = batching.collate_batches(packing.pack_sequences(docs, L), TOKENIZER.eos_token_id, batches)
+    index = _index(spark, sf_dir)
+    batches = batching.assign_batches(packing.sequence_counts(index.chunks, L), L, B, 1, fx.SEED)
+    sequences = packing.pack_sequences(packing.chunk_documents(index), L)
+    collated = batching.collate_batches(sequences, TOKENIZER.eos_token_id, batches)
     keys = ["chunk_id", "batch_id"]
     # Equal labels of a batch share one loss: count them first, per batch and label.
     counted = written(
@@ -288,10 +293,7 @@ QUERIES = {
 
 # --- the same in DuckDB SQL -----------------------------------------------------------------
 
-# The code points that count as surrounding whitespace.
-_SPACES = [*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029,
-           0x202F, 0x205F, 0x3000]
-_STRIP = "||".join(f"chr({c})" for c in _SPACES)
+_STRIP = "||".join(f"chr({code})" for code in WHITESPACE)
 
 _PADDED = f"""raw AS (
   SELECT doc_id * 2 + v AS row_key,

@@ -21,8 +21,9 @@ PICK_TOP = 10
 
 def l2_norm(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = fx.table(spark, sf_dir, "embeddings")
+    # Label -1 stands for the whole table.
     per_label = vectors.l2_norm(rows, "embedding", ["label"])
-    overall = vectors.l2_norm(rows, "embedding").withColumn("label", F.lit(None).cast("int"))
+    overall = vectors.l2_norm(rows, "embedding").withColumn("label", F.lit(-1))
     return per_label.unionByName(overall).withColumn("norm", F.round("norm", 6))
 
 
@@ -140,7 +141,7 @@ _LOGITS = "SELECT label AS grp, vec_id, embedding[1]::DOUBLE AS logit FROM embed
 
 ORACLES = {
     "l2_norm": f"""SELECT label, round(sqrt(sum({_SQUARES})), 6) AS norm FROM embeddings GROUP BY label
-        UNION ALL SELECT NULL, round(sqrt(sum({_SQUARES})), 6) FROM embeddings""",
+        UNION ALL SELECT -1, round(sqrt(sum({_SQUARES})), 6) FROM embeddings""",
     "clip_to_norm": f"""WITH n AS (
           SELECT vec_id, label, {_SQUARES} AS sq,
                  sqrt(sum({_SQUARES}) OVER (PARTITION BY label)) AS norm FROM embeddings),

@@ -11,7 +11,12 @@ from pyspark.sql.streaming import StreamingQuery
 from seqloom.functions.tokenizers import Tokenizer
 from seqloom.operators.batching import expected_steps
 from seqloom.operators.ordered import RowOrder
-from seqloom.operators.packing import chunk_documents, pack_sequences, sequence_counts
+from seqloom.operators.packing import (
+    chunk_documents,
+    index_corpus,
+    pack_sequences,
+    sequence_counts,
+)
 from seqloom.sources.progress import commit_output, load_progress, save_progress
 
 
@@ -41,31 +46,38 @@ def ingest_stream(
         done = load_progress(spark, progress_path, before_batch=batch_id).first()
         if total_documents is not None and done["trained_documents"] >= total_documents:
             return
-        docs = chunk_documents(
+        index = index_corpus(
             batch,
             tokenizer,
             chunk_size,
             text_column,
             order(batch),
-            total_documents=total_documents,
-            documents_before=done["trained_documents"],
-            first_chunk_id=done["next_chunk_id"],
+            total_documents,
+            done["trained_documents"],
+            done["next_chunk_id"],
         )
-        sequences = pack_sequences(docs, context_length)
+        sequences = pack_sequences(chunk_documents(index), context_length)
         commit_output(sequences.withColumn("batch_id", F.lit(batch_id)), output_path, "batch_id")
 
-        counts = expected_steps(sequence_counts(docs, context_length), batch_size, epochs)
-        accepted = docs.groupBy().agg(
-            F.count("*").alias("documents"), F.max("chunk_id").alias("last_chunk")
-        ).first()
-        if accepted["documents"] == 0:
+        chunks = sequence_counts(index.chunks, context_length)
+        steps = expected_steps(chunks, batch_size, epochs).select("chunk_id", "expected_steps")
+        new = (
+            index.chunks.join(steps, "chunk_id")
+            .agg(
+                F.sum("documents").alias("documents"),
+                F.sum("source_rows").alias("source_rows"),
+                F.sum("expected_steps").alias("steps"),
+                F.max("chunk_id").alias("last_chunk"),
+            )
+            .first()
+        )
+        if new["documents"] is None:  # only blank rows: nothing to commit
             return
-        steps = counts.agg(F.sum("expected_steps").alias("steps")).first()["steps"]
         record = {
-            "trained_documents": done["trained_documents"] + accepted["documents"],
-            "source_rows_consumed": done["source_rows_consumed"] + batch.count(),
-            "next_chunk_id": accepted["last_chunk"] + 1,
-            "global_step": done["global_step"] + steps,
+            "trained_documents": done["trained_documents"] + new["documents"],
+            "source_rows_consumed": done["source_rows_consumed"] + new["source_rows"],
+            "next_chunk_id": new["last_chunk"] + 1,
+            "global_step": done["global_step"] + new["steps"],
             "checkpoint_path": "",
             "batch_id": batch_id,
         }
