@@ -33,14 +33,19 @@ def every_n_steps(df: DataFrame, every: int, step: str = "global_step") -> DataF
 
 
 def interval_metrics(
-    steps: DataFrame, every: int, keys: Sequence[str] = ("run_id",)
+    steps: DataFrame,
+    every: int,
+    keys: Sequence[str] = ("run_id",),
+    first_step_seconds: float = 0.0,
 ) -> DataFrame:
     """Means and sums since the last record, per interval of `every` steps inside a chunk.
 
     A record is due when the step is a multiple of `every`, and once more for what remains when the
     chunk ends. Its step is the last one of the interval. `elapsed` runs from the end of the
-    interval before it in the chunk, or from the chunk's first step. Each closing step also leaves
-    its time in the next interval, so that one aggregation does it all.
+    interval before it in the chunk; `ts` is the end of a step, so that for a chunk's first
+    interval it runs from the end of the first step and adds `first_step_seconds`, what that step
+    is taken to have lasted. Each closing step also leaves its time in the next interval, so that
+    one aggregation does it all.
     """
     if every <= 0:
         raise ValueError("every must be positive")
@@ -60,10 +65,14 @@ def interval_metrics(
         F.sum(F.when(own, F.col("tokens"))).alias("tokens"),
         F.sum(F.when(own, F.col("samples"))).alias("samples"),
         F.max(F.when(own, F.col("ts"))).alias("__end"),
-        F.coalesce(F.max(F.when(~own, F.col("ts"))), F.min(F.when(own, F.col("ts")))).alias(
-            "__start"
-        ),
+        F.max(F.when(~own, F.col("ts"))).alias("__before"),
+        F.min(F.when(own, F.col("ts"))).alias("__first"),
     )
+    is_first = F.col("__before").isNull()
+    start = F.coalesce("__before", "__first")
+    elapsed = elapsed_seconds(start, F.col("__end")) + F.when(
+        is_first, F.lit(first_step_seconds)
+    ).otherwise(F.lit(0.0))
     return grouped.filter(F.col("interval_steps") > 0).select(
         *keys,
         "chunk_id",
@@ -75,7 +84,7 @@ def interval_metrics(
         F.col("__last.learning_rate").alias("learning_rate"),
         "tokens",
         "samples",
-        elapsed_seconds(F.col("__start"), F.col("__end")).alias("elapsed"),
+        elapsed.alias("elapsed"),
     )
 
 
@@ -104,10 +113,13 @@ def running_totals(
 
 
 def metric_records(
-    steps: DataFrame, every: int, keys: Sequence[str] = ("run_id",)
+    steps: DataFrame,
+    every: int,
+    keys: Sequence[str] = ("run_id",),
+    first_step_seconds: float = 0.0,
 ) -> DataFrame:
     """The metric log of each run: one wide record per interval, numbered by `record_seq`."""
-    intervals = throughput(interval_metrics(steps, every, keys))
+    intervals = throughput(interval_metrics(steps, every, keys, first_step_seconds))
     totals = running(
         intervals,
         by_width("global_step"),

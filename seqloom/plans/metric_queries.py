@@ -16,8 +16,8 @@ EVERY, WINDOW, STEPS = fx.EVERY, fx.WINDOW, fx.CHUNK_STEPS
 MIN_DELTA = 0.02
 WARMUP = 16
 PATIENCE = 24
-SAVE_THRESHOLD = 0.9
-STOP_THRESHOLD = 0.7
+SAVE_THRESHOLD = 3.2
+STOP_THRESHOLD = 3.0
 EARLY_STOP_STEP = 60
 MAX_STEPS = 75
 MAX_POINTS = 4
@@ -33,14 +33,20 @@ def every_n_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chosen.select("run_id", "global_step", "chunk_id", F.round("loss", 6).alias("loss"))
 
 
+def _intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return intervals.interval_metrics(
+        fx.steps(spark, sf_dir), EVERY, first_step_seconds=fx.FIRST_STEP_SECONDS
+    )
+
+
 def interval_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = intervals.interval_metrics(fx.steps(spark, sf_dir), EVERY)
+    found = _intervals(spark, sf_dir)
     return _rounded(found, "train_loss", "grad_norm", "elapsed")
 
 
 def perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Also of a loss beyond the cap, and of one that is NaN."""
-    found = intervals.interval_metrics(fx.steps(spark, sf_dir), EVERY)
+    found = _intervals(spark, sf_dir)
     return found.select(
         "run_id",
         "global_step",
@@ -51,7 +57,7 @@ def perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def throughput(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = intervals.throughput(intervals.interval_metrics(fx.steps(spark, sf_dir), EVERY))
+    found = intervals.throughput(_intervals(spark, sf_dir))
     return _rounded(
         found.select("run_id", "global_step", "tokens_per_second", "samples_per_second"),
         "tokens_per_second",
@@ -65,7 +71,9 @@ def running_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def metric_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = intervals.metric_records(fx.steps(spark, sf_dir), EVERY)
+    found = intervals.metric_records(
+        fx.steps(spark, sf_dir), EVERY, first_step_seconds=fx.FIRST_STEP_SECONDS
+    )
     return _rounded(
         found, "train_loss", "perplexity", "grad_norm", "tokens_per_second", "samples_per_second"
     )
@@ -346,7 +354,7 @@ _STEPS = f"""placed AS (
          count(*) OVER (PARTITION BY user_id) AS run_steps FROM events),
 steps AS (
   SELECT run_id, position + 1 AS global_step, position // {STEPS} AS chunk_id,
-         (position % {STEPS}) // {STEPS // 2} + 1 AS epoch, value / 50 AS loss, value % 3 AS grad_norm,
+         (position % {STEPS}) // {STEPS // 2} + 1 AS epoch, ln(value + 1) AS loss, sqrt(value) AS grad_norm,
          0.0002::DOUBLE AS learning_rate, event_id % 64 + 64 AS tokens, {fx.BATCH} AS samples, ts
   FROM placed)"""
 _INTERVALS = f"""{_STEPS},
@@ -359,7 +367,7 @@ grouped AS (
   FROM steps GROUP BY ALL),
 intervals AS (
   SELECT *, (epoch_us(last_ts) - epoch_us(coalesce(lag(last_ts) OVER (PARTITION BY run_id, chunk_id
-              ORDER BY interval_id), first_ts))) / 1e6 AS elapsed
+              ORDER BY interval_id), first_ts - INTERVAL {fx.FIRST_STEP_SECONDS:.0f} SECOND))) / 1e6 AS elapsed
   FROM grouped)"""
 _RECORDS = f"""{_INTERVALS},
 records AS (
