@@ -62,6 +62,8 @@ def by_value(df: DataFrame, column: str, ties: Sequence[str] = (), buckets: int
     def add_bucket(frame: DataFrame) -> DataFrame:
         key = "__order_key"
         keyed = frame.withColumn(key, _present(number, column))
+        if not bounds:
+            return keyed.withColumn(BUCKET, F.col(key).cast("bigint") * 0).drop(key)
         cut = Bucketizer(splits=splits, inputCol=key, outputCol=BUCKET).transform(keyed)
         return cut.withColumn(BUCKET, F.col(BUCKET).cast("bigint")).drop(key)
 
@@ -82,11 +84,12 @@ def by_hash(df: DataFrame, seed: int, key: str, buckets: int | None = None) -> R
     )
 
 
-def by_width(column: str, ties: Sequence[str] = (), width: int = BUCKET_WIDTH) -> RowOrder:
+def by_width(column: str, ties: Sequence[str] = (), width: int | None = None) -> RowOrder:
     """Order by an integer column; a bucket spans `width` of its values.
 
     Holds at most `width` rows per bucket where the column is unique inside its key.
     """
+    width = width or BUCKET_WIDTH
     return RowOrder(
         (F.col(column), *[F.col(t) for t in ties]),
         lambda frame: frame.withColumn(
@@ -220,7 +223,7 @@ def trailing(
     position: str,
     rows: int,
     values: Mapping[str, Callable[[Column], Column]],
-    width: int = BUCKET_WIDTH,
+    width: int | None = None,
 ) -> DataFrame:
     """Aggregates over the last `rows` rows of a key, by a dense 0-based position.
 
@@ -229,7 +232,7 @@ def trailing(
     """
     if rows <= 0:
         raise ValueError("rows must be positive")
-    width = max(width, rows)
+    width = max(width or BUCKET_WIDTH, rows)
     bucket = int_div(F.col(position), width)
     reaches_next = F.col(position) % F.lit(width) >= F.lit(width - (rows - 1))
     homes = F.when(reaches_next, F.array(bucket, bucket + 1)).otherwise(F.array(bucket))
