@@ -118,7 +118,12 @@ def _spaced(lows: DataFrame, keys: Sequence[str], min_delta: float) -> DataFrame
             current = tuple(column[-1] for column in columns)
             yield batch.iloc[chosen]
 
-    return sent.mapInPandas(keep, sent.schema)
+    return _nan_for_null(sent.mapInPandas(keep, sent.schema), "value")
+
+
+def _nan_for_null(df: DataFrame, *columns: str) -> DataFrame:
+    """Undo what pandas makes of NaN, in columns that are never null."""
+    return df.withColumns({c: F.coalesce(F.col(c), F.lit(float("nan"))) for c in columns})
 
 
 def threshold_events(

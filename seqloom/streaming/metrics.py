@@ -12,6 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 INTERVAL_OUTPUT = (
@@ -88,9 +89,10 @@ def interval_stream(steps: DataFrame, every: int) -> DataFrame:
         )
         yield pd.DataFrame(out, columns=[c.split()[0] for c in INTERVAL_OUTPUT.split(", ")])
 
-    return steps.groupBy("run_id").applyInPandasWithState(
+    found = steps.groupBy("run_id").applyInPandasWithState(
         advance, INTERVAL_OUTPUT, INTERVAL_STATE, "append", GroupStateTimeout.NoTimeout
     )
+    return _nan_for_null(found, "train_loss", "grad_norm")
 
 
 def _emit(out: list, key: tuple, part: dict, seen: tuple[int, int]) -> tuple[int, int]:
@@ -200,6 +202,12 @@ def monitor_stream(
             }
         )
 
-    return records.groupBy("run_id").applyInPandasWithState(
+    found = records.groupBy("run_id").applyInPandasWithState(
         advance, MONITOR_OUTPUT, MONITOR_STATE, "append", GroupStateTimeout.NoTimeout
     )
+    return _nan_for_null(found, "value", "smoothed")
+
+
+def _nan_for_null(df: DataFrame, *columns: str) -> DataFrame:
+    """Undo what pandas makes of NaN, in columns that are never null."""
+    return df.withColumns({c: F.coalesce(F.col(c), F.lit(float("nan"))) for c in columns})
