@@ -13,6 +13,7 @@ from pyspark.sql.window import Window as W
 from seqloom.functions.hashing import seeded_md5
 from seqloom.functions.numeric import ceil_div, int_div
 from seqloom.operators.ordered import Running, by_width, hash_rank, running
+from seqloom.operators.packing import shift_labels
 
 # Fixed value: the label that marks a padded position.
 IGNORED_LABEL = -100
@@ -80,12 +81,16 @@ def collate_batches(
 ) -> DataFrame:
     """Pad inputs with `pad_token_id` and labels with -100 to the longest of the batch, and mask.
 
-    `sequences` has `input_ids` and `labels`; with `assignment` it is joined by (chunk_id, seq_id),
-    else it carries `chunk_id`, `epoch`, `batch_id` itself and may hold sequences of any length.
-    The mask comes from lengths, never from values: the pad id may be a real id.
+    With `assignment`, `sequences` is joined to it by (chunk_id, seq_id). It may hold windows of
+    `tokens` then, which are half of what inputs and labels are to shuffle, and are shifted after
+    the join. Else `sequences` carries `chunk_id`, `epoch`, `batch_id` itself, with `input_ids` and
+    `labels` of any length. The mask comes from lengths, never from values: the pad id may be a
+    real id.
     """
     if assignment is not None:
         rows = sequences.join(assignment, ["chunk_id", "seq_id"])
+        if "tokens" in rows.columns:
+            rows = shift_labels(rows)
     else:
         # A batch holds batch_size rows, so that this window is bounded.
         batch = W.partitionBy("chunk_id", "epoch", "batch_id")

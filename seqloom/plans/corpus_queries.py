@@ -104,7 +104,7 @@ def chunk_manifest_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tokenize_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = packing.tokenize_docs(corpus.nonempty_docs(fx.documents(spark, sf_dir)), TOKENIZER)
+    docs = packing.tokenize_docs(corpus.nonempty_docs(fx.spread_documents(spark, sf_dir)), TOKENIZER)
     return docs.select("doc_id", "n_tok", *_words("tokens"))
 
 
@@ -118,7 +118,7 @@ class _OrdTokenizer:
 
 
 def tokenize_python(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = corpus.nonempty_docs(fx.documents(spark, sf_dir))
+    docs = corpus.nonempty_docs(fx.spread_documents(spark, sf_dir))
     return packing.tokenize_docs(docs, PythonTokenizer(_OrdTokenizer)).select(
         "doc_id", "n_tok", *_words("tokens")
     )
@@ -144,7 +144,7 @@ def pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shift_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = packing.tokenize_docs(corpus.nonempty_docs(fx.documents(spark, sf_dir)), TOKENIZER)
+    docs = packing.tokenize_docs(corpus.nonempty_docs(fx.spread_documents(spark, sf_dir)), TOKENIZER)
     shifted = packing.shift_labels(docs.select("doc_id", "tokens"))
     return shifted.select("doc_id", *_words("input_ids", "labels"))
 
@@ -155,7 +155,7 @@ def assign_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def collate_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = _index(spark, sf_dir)
-    sequences = packing.pack_sequences(packing.chunk_documents(index), L)
+    sequences = packing.pack_windows(packing.chunk_documents(index), L)
     batches = batching.assign_batches(packing.sequence_counts(index.chunks, L), L, B, E, fx.SEED)
     collated = batching.collate_batches(sequences, TOKENIZER.eos_token_id, batches)
     return collated.select(
@@ -179,7 +179,7 @@ def masked_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Loss of each batch under the token frequencies of the corpus."""
     index = _index(spark, sf_dir)
     batches = batching.assign_batches(packing.sequence_counts(index.chunks, L), L, B, 1, fx.SEED)
-    sequences = packing.pack_sequences(packing.chunk_documents(index), L)
+    sequences = packing.pack_windows(packing.chunk_documents(index), L)
     collated = batching.collate_batches(sequences, TOKENIZER.eos_token_id, batches)
     keys = ["chunk_id", "batch_id"]
     # Equal labels of a batch share one loss: count them first, per batch and label.

@@ -9,6 +9,7 @@ from seqloom.operators.intervals import metric_records
 from seqloom.operators.ordered import by_width, ordinal
 from seqloom.operators.series import metrics_long, monitored_value, smoothed_metrics
 from seqloom.session import written
+from seqloom.sources.corpus import spread
 
 SEED = 42
 CHUNK_SIZE = 100
@@ -29,6 +30,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
+def spread_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For costly work row by row: over all cores even where the file has a single row group."""
+    return spread(documents(spark, sf_dir).select("doc_id", "text"))
+
+
 def padded_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with whitespace around it, each followed by a blank or null row."""
     blank = (

@@ -92,7 +92,7 @@ def weighted_pick_top(spark: SparkSession, sf_dir: str) -> DataFrame:
 def context_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last ids a model would see, and prompt and continuation up to the first end id."""
     tokenizer = CharTokenizer()
-    docs = tokenize_docs(nonempty_docs(fx.documents(spark, sf_dir)), tokenizer)
+    docs = tokenize_docs(nonempty_docs(fx.spread_documents(spark, sf_dir)), tokenizer)
     recent = vectors.context_cut(docs, "tokens", fx.CONTEXT).select(
         "doc_id", F.col("tokens").alias("recent_ids")
     )

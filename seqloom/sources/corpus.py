@@ -57,6 +57,15 @@ def toy_texts(positions: DataFrame, position: str = "row_idx") -> DataFrame:
     return positions.select(position, F.element_at(texts, index).alias("text"))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Repartition an input of fewer splits than the cluster has cores; leave any other alone.
+
+    A small file, or one with a single row group, is one split however many cores there are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def require_text_column(df: DataFrame, text_column: str) -> None:
     """Fail before planning, naming what there is."""
     if text_column not in df.columns:
