@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from seqloom.functions.hashing import seeded_md5
+from seqloom.functions.hashing import seeded_hash
 from seqloom.functions.numeric import ceil_div, int_div
 from seqloom.operators.ordered import Running, by_width, hash_rank, running
 from seqloom.operators.packing import shift_labels
@@ -58,8 +58,8 @@ def assign_batches(
         "epoch", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(epochs - 1).cast("bigint")))
     )
     if shuffle:
-        digest = seeded_md5(seed, F.col("chunk_id"), F.col("epoch"), F.col("seq_id"))
-        rows = hash_rank(rows, ["chunk_id", "epoch"], digest, "seq_id", F.col("sequences"), "rank")
+        hashed = seeded_hash(seed, F.col("chunk_id"), F.col("epoch"), F.col("seq_id"))
+        rows = hash_rank(rows, ["chunk_id", "epoch"], hashed, "seq_id", F.col("sequences"), "rank")
     else:
         rows = rows.withColumn("rank", F.col("seq_id"))
     length = F.lit(context_length).cast("bigint")

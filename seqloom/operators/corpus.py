@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seqloom.functions.hashing import seeded_md5
+from seqloom.functions.hashing import seeded_hash
 from seqloom.functions.numeric import int_div
 from seqloom.functions.text import has_text, normalized_text
 from seqloom.operators.ordered import (
@@ -41,7 +41,7 @@ def shuffle_buffered(df: DataFrame, seed: int, key: str, buffer_size: int) -> Da
         return df
     blocks = df.withColumn("__block", int_div(F.col("row_idx"), buffer_size))
     ranked = hash_rank(
-        blocks, ["__block"], seeded_md5(seed, F.col(key)), key, F.lit(buffer_size), "__rank"
+        blocks, ["__block"], seeded_hash(seed, F.col(key)), key, F.lit(buffer_size), "__rank"
     )
     moved = (F.col("__block") * F.lit(buffer_size) + F.col("__rank")).cast("bigint")
     return ranked.withColumn("row_idx", moved).drop("__block", "__rank")

@@ -53,19 +53,22 @@ def best_events(
             "__goal": F.when(~F.isnan("value"), goal),
         }
     )
-    # The smallest sequence number is carried along to tell the first row from the others.
+    # The first row of a key is the one whose number is the smallest up to itself, and it is NaN
+    # where the smallest number of a NaN is that one.
+    seq = F.col("record_seq")
     seen = running(
         scored,
         by_width("record_seq"),
         {
             "__lowest": Running("min", F.col("__goal")),
-            "__first": Running("min", F.struct("record_seq", "__nan"), inclusive=True),
+            "__first": Running("min", seq, inclusive=True),
+            "__first_nan": Running("min", F.when(F.col("__nan"), seq), inclusive=True),
         },
         keys,
     )
-    is_first = F.col("__first.record_seq") == F.col("record_seq")
-    lower = ~F.col("__first.__nan") & ~F.col("__nan") & (F.col("__goal") < F.col("__lowest"))
-    lows = seen.filter(is_first | F.coalesce(lower, F.lit(False)))
+    open_ended = ~F.col("__first_nan").eqNullSafe(F.col("__first"))
+    lower = open_ended & ~F.col("__nan") & (F.col("__goal") < F.col("__lowest"))
+    lows = seen.filter((F.col("__first") == seq) | F.coalesce(lower, F.lit(False)))
     if min_delta > 0:
         lows = _spaced(lows, keys, min_delta)
     return lows.select(*keys, *POINT)

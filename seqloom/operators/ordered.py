@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from seqloom.functions.hashing import hash_bucket, seeded_md5
+from seqloom.functions.hashing import hash_bucket, seeded_hash
 from seqloom.functions.numeric import int_div
 
 BUCKET = "__bucket"
@@ -71,17 +71,19 @@ def by_value(df: DataFrame, column: str, ties: Sequence[str] = (), buckets: int
 
 
 def by_hash(df: DataFrame, seed: int, key: str, buckets: int | None = None) -> RowOrder:
-    """A seeded permutation: order by md5 of seed and key. The buckets are slices of the digest."""
+    """A seeded permutation: order by md5 of seed and key. The buckets are slices of the hash."""
     _require(df, [key])
     count = buckets or default_buckets(df)
     if not 0 < count <= MAX_BUCKETS:
         raise ValueError(f"buckets must be between 1 and {MAX_BUCKETS}")
-    digest = seeded_md5(seed, F.col(key))
-    return RowOrder(
-        (digest, F.col(key)),
-        lambda frame: frame.withColumn(BUCKET, hash_bucket(digest, count)),
-        count,
-    )
+    name = "__order_hash"
+
+    def add_bucket(frame: DataFrame) -> DataFrame:
+        # A column, as a sort would compute an expression anew for each comparison.
+        hashed = frame.withColumn(name, seeded_hash(seed, _present(F.col(key), key)))
+        return hashed.withColumn(BUCKET, hash_bucket(F.col(name), count))
+
+    return RowOrder((F.col(name), F.col(key)), add_bucket, count)
 
 
 def by_width(column: str, ties: Sequence[str] = (), width: int | None = None) -> RowOrder:
@@ -201,20 +203,20 @@ def ordinal(
 
 
 def hash_rank(
-    df: DataFrame, keys: Sequence[str], digest: Column, tie: str, size: Column, name: str
+    df: DataFrame, keys: Sequence[str], hashed: Column, tie: str, size: Column, name: str
 ) -> DataFrame:
-    """Add the 0-based rank of each row by digest inside its key.
+    """Add the 0-based rank of each row by hash inside its key.
 
-    `size` is the (known) row count of the key: it sets how many digest slices the key is cut
+    `size` is the (known) row count of the key: it sets how many hash slices the key is cut
     into, about BUCKET_WIDTH rows each, so that a small key stays whole and a huge one is split.
     """
     slices = int_div(size + F.lit(BUCKET_WIDTH - 1), BUCKET_WIDTH)
-    staged = df.withColumns({"__digest": digest, "__slices": slices})
+    staged = df.withColumns({"__hash": hashed, "__slices": slices})
     order = RowOrder(
-        (F.col("__digest"), F.col(tie)),
-        lambda frame: frame.withColumn(BUCKET, hash_bucket(F.col("__digest"), F.col("__slices"))),
+        (F.col("__hash"), F.col(tie)),
+        lambda frame: frame.withColumn(BUCKET, hash_bucket(F.col("__hash"), F.col("__slices"))),
     )
-    return ordinal(staged, order, name, keys).drop("__digest", "__slices")
+    return ordinal(staged, order, name, keys).drop("__hash", "__slices")
 
 
 def trailing(

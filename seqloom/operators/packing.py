@@ -186,6 +186,7 @@ def chunk_documents(index: CorpusIndex) -> DataFrame:
         )
         .drop(
             "__documents", "__positions", "__accepted", "__tokens", "__size", "__chunks", "__start",
+            "__order_hash",
             "accepted",
         )
     )

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from seqloom.functions.hashing import hash_bucket, seeded_md5, unit_interval
+from seqloom.functions.hashing import hash_bucket, seeded_hash, unit_interval
 from seqloom.functions.numeric import int_div
 from seqloom.functions.vectors import divided_by_sum, softmax, squared_norm, top_k
 from seqloom.operators.ordered import BUCKET, BUCKET_WIDTH, RowOrder, Running, running
@@ -167,13 +167,13 @@ def weighted_pick(
     weighted = candidates.join(bounds, group).withColumns(
         {
             "__weight": F.exp((F.col(logit).cast("double") - F.col("__peak")) / F.lit(temperature)),
-            "__digest": seeded_md5(seed, F.col(group), F.col(candidate)),
+            "__hash": seeded_hash(seed, F.col(group), F.col(candidate)),
         }
     )
     slices = int_div(F.col("__size") + F.lit(BUCKET_WIDTH - 1), BUCKET_WIDTH)
     order = RowOrder(
-        (F.col("__digest"), F.col(candidate)),
-        lambda df: df.withColumn(BUCKET, hash_bucket(F.col("__digest"), slices)),
+        (F.col("__hash"), F.col(candidate)),
+        lambda df: df.withColumn(BUCKET, hash_bucket(F.col("__hash"), slices)),
     )
     summed = running(
         weighted,
@@ -182,10 +182,10 @@ def weighted_pick(
         [group],
         {"__total": "__sum"},
     )
-    draw = unit_interval(seeded_md5(seed, F.col(group)))
+    draw = unit_interval(seeded_hash(seed, F.col(group)))
     passed = F.col("__sum") > draw * F.col("__total")
     # Rounding may leave the last running sum a hair below the total: fall back to the last one.
-    place = F.struct("__digest", candidate)
+    place = F.struct("__hash", candidate)
     return (
         summed.groupBy(group)
         .agg(F.coalesce(F.min(F.when(passed, place)), F.max(place)).alias("__pick"))

@@ -33,7 +33,7 @@ def shared_folder(spark: SparkSession) -> str:
     gets a temporary folder; a cluster without it is an error, since a machine-local folder would
     be lost with its executor.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
