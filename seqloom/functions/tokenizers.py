@@ -50,7 +50,7 @@ class PythonTokenizer:
     def __init__(self, factory: Callable[[], Any], eos_token_id: int | None = None) -> None:
         boundary = eos_token_id if eos_token_id is not None else factory().eos_token_id
         if boundary is None:
-            raise ValueError("the tokenizer must define eos_token_id")
+            raise ValueError("the tokenizer has no eos_token_id")
         self.eos_token_id = int(boundary)
         self._udf = _encoder_udf(factory)
 

@@ -36,7 +36,7 @@ def shuffle_buffered(df: DataFrame, seed: int, key: str, buffer_size: int) -> Da
     A row moves less than one block. `buffer_size=0` leaves the order alone.
     """
     if buffer_size < 0:
-        raise ValueError("buffer_size must be non-negative")
+        raise ValueError("buffer_size must not be negative")
     if buffer_size == 0:
         return df
     blocks = df.withColumn("__block", int_div(F.col("row_idx"), buffer_size))

@@ -56,10 +56,12 @@ def interval_metrics(
         "__own", F.col("interval") == interval
     )
     own = F.col("__own")
-    last = F.max(F.when(own, F.struct("global_step", "epoch", "learning_rate")))
+    step = F.when(own, F.col("global_step"))
     grouped = rows.groupBy(*keys, "chunk_id", "interval").agg(
         F.count(F.when(own, 1)).alias("interval_steps"),
-        last.alias("__last"),
+        F.max(step).alias("global_step"),
+        F.max_by("epoch", step).alias("epoch"),
+        F.max_by("learning_rate", step).alias("learning_rate"),
         F.avg(F.when(own, F.col("loss"))).alias("train_loss"),
         F.avg(F.when(own, F.col("grad_norm"))).alias("grad_norm"),
         F.sum(F.when(own, F.col("tokens"))).alias("tokens"),
@@ -76,12 +78,12 @@ def interval_metrics(
     return grouped.filter(F.col("interval_steps") > 0).select(
         *keys,
         "chunk_id",
-        F.col("__last.global_step").alias("global_step"),
-        F.col("__last.epoch").alias("epoch"),
+        "global_step",
+        "epoch",
         "interval_steps",
         "train_loss",
         "grad_norm",
-        F.col("__last.learning_rate").alias("learning_rate"),
+        "learning_rate",
         "tokens",
         "samples",
         elapsed.alias("elapsed"),

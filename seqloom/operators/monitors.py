@@ -28,10 +28,16 @@ DATASET_EXHAUSTED = "dataset_exhausted"
 TOTAL_DOCUMENTS = "total_documents"
 
 
-def first_row(df: DataFrame, keys: Sequence[str], columns: Sequence[str] = POINT) -> DataFrame:
-    """The earliest row of each key by aggregation, which combines before its shuffle."""
-    ordered = F.struct(*[F.col(c) for c in columns])
-    return df.groupBy(*keys).agg(F.min(ordered).alias("__row")).select(*keys, "__row.*")
+def first_row(
+    df: DataFrame, keys: Sequence[str], columns: Sequence[str] = POINT, order: Column | None = None
+) -> DataFrame:
+    """The earliest row of each key by aggregation, which combines before its shuffle.
+
+    The order is the first column unless given, and unique. Column by column, as an aggregation of
+    structs would have to sort its input.
+    """
+    place = order if order is not None else F.col(columns[0])
+    return df.groupBy(*keys).agg(*[F.min_by(c, place).alias(c) for c in columns])
 
 
 def best_events(
@@ -45,7 +51,7 @@ def best_events(
     series, goes through `_spaced`.
     """
     if min_delta < 0:
-        raise ValueError("min_delta must be non-negative")
+        raise ValueError("min_delta must not be negative")
     goal = as_minimised(F.col("value"), mode)
     scored = observed.withColumns(
         {
@@ -164,12 +170,12 @@ def early_stop_patience(
     warm = observed.filter(F.col("global_step") >= F.lit(warmup)).select(*keys, *POINT)
     if patience <= 0:
         return warm.filter(F.lit(False)).withColumn("best_step", F.lit(0).cast("bigint"))
-    events = best_events(warm, mode, min_delta, keys).select(*keys, "record_seq", F.lit(True).alias("__best"))
+    events = best_events(warm, mode, min_delta, keys).select(
+        *keys, "record_seq", F.col("global_step").alias("__best")
+    )
     marked = warm.join(events, [*keys, "record_seq"], "left")
-    latest = F.when(F.col("__best"), F.struct("record_seq", F.col("global_step").alias("best_step")))
-    followed = running(
-        marked, by_width("record_seq"), {"__latest": Running("max", latest, inclusive=True)}, keys
-    ).withColumn("best_step", F.col("__latest.best_step"))
+    latest = Running("last", F.col("__best"), inclusive=True)
+    followed = running(marked, by_width("record_seq"), {"best_step": latest}, keys)
     waited = F.col("global_step") - F.col("best_step") >= F.lit(patience)
     return first_row(followed.filter(waited), keys, [*POINT, "best_step"])
 
@@ -179,13 +185,15 @@ def fixed_step_stop(
 ) -> DataFrame:
     """The first step at or past either limit; `early_stop_step` is tested first. 0 disables."""
     step = F.col("global_step")
-    reason = F.lit(None).cast("string")
-    if max_steps > 0:
-        reason = F.when(step >= max_steps, F.lit(MAX_STEPS)).otherwise(reason)
-    if early_stop_step > 0:
-        reason = F.when(step >= early_stop_step, F.lit(EARLY_STOP_STEP)).otherwise(reason)
-    hits = steps.withColumn("stop_reason", reason).filter(F.col("stop_reason").isNotNull())
-    return first_row(hits, keys, ["global_step", "chunk_id", "stop_reason"])
+    limits = [(EARLY_STOP_STEP, early_stop_step), (MAX_STEPS, max_steps)]
+    code = F.lit(None).cast("int")
+    for number, (_, limit) in reversed(list(enumerate(limits))):
+        if limit > 0:
+            code = F.when(step >= limit, F.lit(number)).otherwise(code)
+    hits = steps.withColumn("__code", code).filter(F.col("__code").isNotNull())
+    names = F.array(*[F.lit(name) for name, _ in limits])
+    found = first_row(hits, keys, ["global_step", "chunk_id", "__code"])
+    return found.withColumn("stop_reason", names[F.col("__code")]).drop("__code")
 
 
 def stop_reason(
@@ -229,4 +237,6 @@ def stop_reason(
     if early_stop_step > 0 or max_steps > 0:
         found = fixed_step_stop(steps, early_stop_step, max_steps, keys)
         add(found, F.lit(3), F.col("stop_reason"))
-    return first_row(candidates, keys, ["global_step", "priority", "stop_reason"]).drop("priority")
+    # A run has at most one candidate of each kind.
+    place = F.col("global_step") * F.lit(16) + F.col("priority")
+    return first_row(candidates, keys, ["global_step", "stop_reason"], place)

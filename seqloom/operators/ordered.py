@@ -108,16 +108,29 @@ def default_buckets(df: DataFrame) -> int:
 
 @dataclass(frozen=True)
 class Running:
-    """One running value: `op` over `value`, with or without the current row."""
+    """One running value: `op` over `value`, with or without the current row.
 
-    op: str  # sum, min or max
+    `last` is the latest value that is not null; its order must be one unique column. Values of
+    fixed width (numbers, not structs) keep the bucket totals a hash aggregation.
+    """
+
+    op: str  # sum, min, max or last
     value: Column
     inclusive: bool = False
 
     def aggregate(self, value: Column) -> Column:
+        if self.op == "last":
+            return F.last(value, ignorenulls=True)
         return {"sum": F.sum, "min": F.min, "max": F.max}[self.op](value)
 
+    def total(self, order: RowOrder) -> Column:
+        if self.op == "last":
+            return F.max_by(self.value, F.when(self.value.isNotNull(), order.sort[0]))
+        return self.aggregate(self.value)
+
     def combine(self, carry: Column, local: Column) -> Column:
+        if self.op == "last":
+            return F.coalesce(local, carry)
         if self.op == "sum":
             return F.coalesce(carry, F.lit(0)) + F.coalesce(local, F.lit(0))
         # least and greatest skip nulls
@@ -153,7 +166,7 @@ def running(
     )
 
     totals = staged.groupBy(*group).agg(
-        *[r.aggregate(r.value).alias(f"__total_{name}") for name, r in values.items()]
+        *[r.total(order).alias(f"__total_{name}") for name, r in values.items()]
     )
     # Without keys this window has no partition: it runs over at most MAX_BUCKETS rows.
     along = W.partitionBy(*keys).orderBy(BUCKET) if keys else W.orderBy(BUCKET)
@@ -244,12 +257,20 @@ def trailing(
     return computed.filter(F.col(BUCKET) == bucket).drop(BUCKET)
 
 
+def join_same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join by equal keys where null equals null, so that no row of a null key is lost."""
+    renamed = right.withColumnsRenamed({key: f"__right_{key}" for key in keys})
+    same = F.lit(True)
+    for key in keys:
+        same = same & F.col(key).eqNullSafe(F.col(f"__right_{key}"))
+    return left.join(renamed, same).drop(*[f"__right_{key}" for key in keys])
+
+
 def _require(df: DataFrame, columns: Sequence[str]) -> None:
     missing = [c for c in columns if c not in df.columns]
     if missing:
         raise KeyError(
-            f"column(s) {', '.join(missing)} not found. "
-            f"Available columns: {', '.join(sorted(df.columns))}"
+            f"no column(s) {', '.join(missing)} among: {', '.join(sorted(df.columns))}"
         )
 
 

@@ -210,7 +210,7 @@ def sequence_counts(chunks: DataFrame, context_length: int) -> DataFrame:
     """Sequences of each chunk from its `chunk_tokens`; fewer than two tokens are an error."""
     _check_context(context_length)
     enough = F.when(
-        F.col("chunk_tokens") < 2, F.raise_error(F.lit("At least two tokens are required"))
+        F.col("chunk_tokens") < 2, F.raise_error(F.lit("a chunk needs two tokens or more"))
     ).otherwise(ceil_div(F.col("chunk_tokens") - 1, context_length))
     return chunks.select("chunk_id", "chunk_tokens", enough.cast("bigint").alias("sequences"))
 
@@ -234,7 +234,7 @@ def pack_windows(docs: DataFrame, context_length: int) -> DataFrame:
     first = int_div(F.greatest(start - 1, F.lit(0)), block_length)
     last = F.least(int_div(end - 1, block_length), int_div(total - 2, block_length))
     checked_last = F.when(
-        total < 2, F.raise_error(F.lit("At least two tokens are required")).cast("bigint")
+        total < 2, F.raise_error(F.lit("a chunk needs two tokens or more")).cast("bigint")
     ).otherwise(last)
 
     def low(block: Column) -> Column:

@@ -11,7 +11,14 @@ from pyspark.sql.window import Window as W
 from seqloom.functions.hashing import hash_bucket, seeded_hash, unit_interval
 from seqloom.functions.numeric import int_div
 from seqloom.functions.vectors import divided_by_sum, softmax, squared_norm, top_k
-from seqloom.operators.ordered import BUCKET, BUCKET_WIDTH, RowOrder, Running, running
+from seqloom.operators.ordered import (
+    BUCKET,
+    BUCKET_WIDTH,
+    RowOrder,
+    Running,
+    join_same,
+    running,
+)
 
 # Fixed value: what is added to a norm before dividing by it.
 NORM_EPSILON = 1e-6
@@ -35,7 +42,7 @@ def clip_to_norm(df: DataFrame, vector: str, key: str, max_norm: float) -> DataF
     norms = l2_norm(df, vector, [key])
     scale = F.least(F.lit(1.0), F.lit(max_norm) / (F.col("norm") + F.lit(NORM_EPSILON)))
     return (
-        df.join(norms, key)
+        join_same(df, norms, [key])
         .withColumn("scale", scale)
         .withColumn(vector, F.transform(vector, lambda x: x.cast("double") * F.col("scale")))
     )
@@ -61,8 +68,7 @@ def value_histogram(df: DataFrame, name: str, values: str, bins: int) -> DataFra
         return F.when(high == low, F.lit(0)).otherwise(place).cast("bigint")
 
     return (
-        df.select(name, values)
-        .join(bounds, name)
+        join_same(df.select(name, values), bounds, [name])
         .select(name, "low", "high", F.explode(F.transform(values, bin_of)).alias("bin"))
         .groupBy(name, "low", "high", "bin")
         .agg(F.count("*").alias("count"))
@@ -79,11 +85,11 @@ def value_histogram(df: DataFrame, name: str, values: str, bins: int) -> DataFra
 def topk_routing(df: DataFrame, logits: Column, k: int) -> DataFrame:
     """Add `probabilities` over the experts and `routes`, the best k with weights that sum to 1."""
     if k < 1:
-        raise ValueError("k must satisfy 1 <= k <= number of experts")
+        raise ValueError("k must be between 1 and the number of experts")
     scored = df.withColumn("probabilities", softmax(logits))
     few = F.size("probabilities") < F.lit(k)
     checked = F.when(
-        few, F.raise_error(F.lit("k must satisfy 1 <= k <= number of experts"))
+        few, F.raise_error(F.lit("k must be between 1 and the number of experts"))
     ).otherwise(top_k(F.col("probabilities"), k))
     weights = divided_by_sum(F.col("__best.score"))
     routes = F.zip_with(
@@ -149,9 +155,9 @@ def weighted_pick(
     draw, and a hash order cuts a hot group into even slices. Ties go to the lower candidate.
     """
     if temperature < 0:
-        raise ValueError("temperature must be non-negative")
+        raise ValueError("temperature must not be negative")
     if top < 0:
-        raise ValueError("top must be non-negative")
+        raise ValueError("top must not be negative")
     if temperature == 0:
         best = F.struct(F.col(logit).alias("logit"), (-F.col(candidate)).alias("negated"))
         return (

@@ -101,7 +101,7 @@ class RunOptions:
                 raise ValueError(f"{name} must be positive")
         for name in NON_NEGATIVE:
             if getattr(self, name) < 0:
-                raise ValueError(f"{name} must be non-negative")
+                raise ValueError(f"{name} must not be negative")
         for name in MODES:
             if getattr(self, name) not in ("min", "max"):
                 raise ValueError(f"{name} must be 'min' or 'max'")
@@ -110,15 +110,15 @@ class RunOptions:
         if self.max_grad_norm <= 0:
             raise ValueError("max_grad_norm must be positive")
         if not self.plot_metric_names:
-            raise ValueError("plot_metrics must contain at least one metric name")
+            raise ValueError("plot_metrics names no metric")
         if self.save_threshold_checkpoint and self.threshold_checkpoint_value is None:
             raise ValueError(
-                "threshold_checkpoint_value is required when save_threshold_checkpoint is set"
+                "save_threshold_checkpoint needs a threshold_checkpoint_value"
             )
         if self.histogram_every_steps > 0 and not self.tensorboard:
-            raise ValueError("histogram_every_steps requires tensorboard")
+            raise ValueError("histogram_every_steps needs tensorboard")
         if self.plot_every_steps > 0 and not self.save_plots:
-            raise ValueError("plot_every_steps requires save_plots")
+            raise ValueError("plot_every_steps needs save_plots")
 
     @property
     def plot_metric_names(self) -> list[str]:

@@ -70,6 +70,5 @@ def require_text_column(df: DataFrame, text_column: str) -> None:
     """Fail before planning, naming what there is."""
     if text_column not in df.columns:
         raise KeyError(
-            f"text column {text_column!r} was not found. "
-            f"Available columns: {', '.join(sorted(df.columns))}"
+            f"no text column {text_column!r} among: {', '.join(sorted(df.columns))}"
         )

@@ -94,12 +94,12 @@ def test_packing_pair(spark):
 
 def test_one_token_chunk_is_an_error(spark):
     chunks = spark.createDataFrame([(0, 1)], "chunk_id long, chunk_tokens long")
-    with pytest.raises(Exception, match="At least two tokens are required"):
+    with pytest.raises(Exception, match="a chunk needs two tokens or more"):
         packing.sequence_counts(chunks, 4).collect()
     docs = spark.createDataFrame(
         [(0, 0, 1, 1, [0])], "chunk_id long, tok_start long, n_tok long, chunk_tokens long, tokens array<int>"
     )
-    with pytest.raises(Exception, match="At least two tokens are required"):
+    with pytest.raises(Exception, match="a chunk needs two tokens or more"):
         packing.pack_windows(docs, 4).collect()
 
 
@@ -216,7 +216,7 @@ def test_order_of_ties_dates_and_bad_columns(spark):
     with pytest.raises(TypeError, match="cannot order by"):
         texts = rows.select(F.col("a").cast("string"))
         by_value(texts, "a")
-    with pytest.raises(KeyError, match="c not found"):
+    with pytest.raises(KeyError, match="no column.s. c among"):
         by_value(rows, "c")
 
 

@@ -26,16 +26,16 @@ def test_positive(name):
 @pytest.mark.parametrize("name", ["shuffle_buffer", "max_steps", "early_stop_min_delta"])
 def test_non_negative(name):
     RunOptions(**{name: 0})
-    with pytest.raises(ValueError, match=f"{name} must be non-negative"):
+    with pytest.raises(ValueError, match=f"{name} must not be negative"):
         RunOptions(**{name: -1})
 
 
 def test_dependencies():
     with pytest.raises(ValueError, match="threshold_checkpoint_value"):
         RunOptions(save_threshold_checkpoint=True)
-    with pytest.raises(ValueError, match="requires tensorboard"):
+    with pytest.raises(ValueError, match="needs tensorboard"):
         RunOptions(histogram_every_steps=5, tensorboard=False)
-    with pytest.raises(ValueError, match="requires save_plots"):
+    with pytest.raises(ValueError, match="needs save_plots"):
         RunOptions(save_plots=False)
     with pytest.raises(ValueError, match="mode"):
         RunOptions(early_stop_mode="avg")

@@ -65,7 +65,7 @@ def test_batches_of_a_run(spark, tmp_path):
 
 def test_missing_text_column(spark, tmp_path):
     rows = spark.range(3)
-    with pytest.raises(KeyError, match="Available columns: id"):
+    with pytest.raises(KeyError, match="among: id"):
         corpus.prepare_corpus(rows, "id", options(tmp_path), TOKENIZER)
 
 

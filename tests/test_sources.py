@@ -40,7 +40,7 @@ def test_scan_of_config_and_split(spark, tmp_path):
 
 def test_missing_text_column_names_the_others(spark):
     df = spark.createDataFrame([(1, "x")], "b int, a string")
-    with pytest.raises(KeyError, match="'text' was not found. Available columns: a, b"):
+    with pytest.raises(KeyError, match="no text column 'text' among: a, b"):
         corpus.normalize_text(df)
 
 
