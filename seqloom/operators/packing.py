@@ -243,16 +243,17 @@ def pack_windows(docs: DataFrame, context_length: int) -> DataFrame:
     def high(block: Column) -> Column:
         return F.least(block * F.lit(block_length) + F.lit(block_length + 1), total)
 
-    def part(block: Column) -> Column:
+    # Slices are taken in the projection behind an explode, which runs as generated code on
+    # primitive arrays; inside a lambda each id would become an object.
+    def joined(rows: DataFrame, keys: list[str], blocks: Column) -> DataFrame:
+        block = F.col("block")
         from_ = F.greatest(start, low(block))
         size = F.least(end, high(block)) - from_
         piece = F.slice(F.col("tokens"), (from_ - start + 1).cast("int"), size.cast("int"))
-        return F.struct(block.alias("block"), from_.alias("low"), piece.alias("part"))
-
-    def joined(rows: DataFrame, keys: list[str], blocks: Column) -> DataFrame:
-        parts = rows.select(*keys, F.inline(F.transform(blocks, part)))
         return (
-            parts.groupBy(*keys, "block")
+            rows.withColumn("block", F.explode(blocks))
+            .select(*keys, "block", from_.alias("low"), piece.alias("part"))
+            .groupBy(*keys, "block")
             .agg(F.array_sort(F.collect_list(F.struct("low", "part"))).alias("parts"))
             .select("chunk_id", "block", F.flatten(F.col("parts.part")).alias("tokens"))
         )
@@ -270,16 +271,15 @@ def pack_windows(docs: DataFrame, context_length: int) -> DataFrame:
     else:
         blocks = joined(docs, ["chunk_id"], touched)
 
-    def window(j: Column) -> Column:
-        tokens = F.slice(
-            F.col("tokens"), (j * F.lit(context_length) + 1).cast("int"), F.lit(context_length + 1)
-        )
-        seq_id = F.col("block") * F.lit(windows) + j
-        return F.struct(seq_id.alias("seq_id"), tokens.alias("tokens"))
-
     count = ceil_div(F.size("tokens") - 1, context_length)
-    slices = F.transform(F.sequence(F.lit(0).cast("bigint"), count - 1), window)
-    return blocks.select("chunk_id", F.inline(slices))
+    first_token = (F.col("__window") * F.lit(context_length) + 1).cast("int")
+    return blocks.withColumn(
+        "__window", F.explode(F.sequence(F.lit(0).cast("bigint"), count - 1))
+    ).select(
+        "chunk_id",
+        (F.col("block") * F.lit(windows) + F.col("__window")).alias("seq_id"),
+        F.slice(F.col("tokens"), first_token, F.lit(context_length + 1)).alias("tokens"),
+    )
 
 
 def shift_labels(windows: DataFrame) -> DataFrame:
