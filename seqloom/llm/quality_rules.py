@@ -30,28 +30,32 @@ WINDOW = 5
 
 @dataclass(frozen=True)
 class Rule:
-    """`low` to `high` per cent of `part` in `whole`; None leaves a side open."""
+    """`low` to `high` per cent of `part` in `whole`; None leaves a side open.
+
+    `grace` is added to `part` for the lower side, so that short texts need not have any.
+    """
 
     name: str
     part: str
     whole: str
     low: int | None = None
     high: int | None = None
+    grace: int = 0
 
     def holds(self) -> Column:
-        part, whole = F.col(self.part) * 100, F.col(self.whole)
+        part, whole = F.col(self.part), F.col(self.whole)
         sides = [F.lit(True)]
         if self.low is not None:
-            sides.append(part >= whole * self.low)
+            sides.append((part + self.grace) * 100 >= whole * self.low)
         if self.high is not None:
-            sides.append(part <= whole * self.high)
+            sides.append(part * 100 <= whole * self.high)
         both = sides[0]
         for side in sides[1:]:
             both = both & side
         return both
 
     def sql(self) -> str:
-        low = [f"100 * {self.part} >= {self.low} * {self.whole}"] if self.low is not None else []
+        low = [f"100 * ({self.part} + {self.grace}) >= {self.low} * {self.whole}"] if self.low is not None else []
         high = [f"100 * {self.part} <= {self.high} * {self.whole}"] if self.high is not None else []
         return " AND ".join(low + high)
 
@@ -60,8 +64,8 @@ class Rule:
 RULES = (
     Rule("word_length", "word_chars", "n_words", 150, 2000),
     Rule("symbols", "n_symbols", "n_words", None, 30),
-    Rule("stop_words", "n_stop_words", "n_words", 2, None),
-    Rule("repeated_lines", "n_dup_lines", "n_lines", None, 30),
+    Rule("stop_words", "n_stop_words", "n_words", 2, None, grace=1),
+    Rule("repeated_lines", "n_dup_lines", "n_lines", None, 50),
 )
 
 
