@@ -1,6 +1,6 @@
 """Registered queries of this package and the SQL they must agree with, where SQL can say it."""
 
-from seqloom.llm import bpe, decontaminate, language_id, pii, quality_rules, secret_scan, simhash
+from seqloom.llm import bpe, decontaminate, language_id, ngram_model, pii, quality_rules, secret_scan, simhash
 
 QUERIES = {
     "op1_pii": pii.op1_pii,
@@ -10,6 +10,7 @@ QUERIES = {
     "op6_bpe": bpe.op6_bpe,
     "op7_decontaminate": decontaminate.op7_decontaminate,
     "op8_language_id": language_id.op8_language_id,
+    "op10_ngram_model": ngram_model.op10_ngram_model,
 }
 
 ORACLES = {
