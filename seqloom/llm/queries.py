@@ -1,6 +1,6 @@
 """Registered queries of this package and the SQL they must agree with, where SQL can say it."""
 
-from seqloom.llm import bpe, decontaminate, language_id, ngram_model, pii, quality_rules, secret_scan, simhash
+from seqloom.llm import bpe, decontaminate, language_id, ngram_model, pii, quality_rules, secret_scan, simhash, substring_dedup
 
 QUERIES = {
     "op1_pii": pii.op1_pii,
@@ -10,10 +10,12 @@ QUERIES = {
     "op6_bpe": bpe.op6_bpe,
     "op7_decontaminate": decontaminate.op7_decontaminate,
     "op8_language_id": language_id.op8_language_id,
+    "op9_substring_dedup": substring_dedup.op9_substring_dedup,
     "op10_ngram_model": ngram_model.op10_ngram_model,
 }
 
 ORACLES = {
     "op5_quality_rules": quality_rules.ORACLE,
     "op7_decontaminate": decontaminate.ORACLE,
+    "op9_substring_dedup": substring_dedup.ORACLE,
 }
