@@ -154,15 +154,23 @@ def encode_documents(
 
 
 def round_trip(
-    docs: DataFrame, vocabulary: str | None = None, leaf: int = LEAF, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    vocabulary: str | None = None,
+    leaf: int = LEAF,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    with_ids: bool = False,
 ) -> DataFrame:
-    """doc_id, the number of tokens, and digests of the ids and of the text decoded from them."""
+    """doc_id, the number of tokens, digests of the ids and of the text decoded from them; the ids if asked."""
 
     def values(codec: Codec, text: str) -> tuple:
         ids = codec.encode(text)
-        return len(ids), sha256(",".join(map(codec.shown.__getitem__, ids))), sha256(codec.decode(ids))
+        shown = ",".join(map(codec.shown.__getitem__, ids))
+        found = len(ids), sha256(shown), sha256(codec.decode(ids))
+        return (*found, ids) if with_ids else found
 
     fields = [long_field("n_tokens"), string_field("ids_sha256"), string_field("decoded_sha256")]
+    fields += [StructField("ids", ArrayType(IntegerType()))] * with_ids
     return _per_text(narrow(docs, id_col, text_col), vocabulary, leaf, fields, values)
 
 

@@ -1,11 +1,12 @@
 """Registered queries of this package and the SQL they must agree with, where SQL can say it."""
 
-from seqloom.llm import bpe, decontaminate, language_id, ngram_model, pii, quality_rules, secret_scan, simhash, substring_dedup
+from seqloom.llm import bpe, decontaminate, language_id, ngram_model, pii, quality_rules, secret_scan, simhash, substring_dedup, toxicity
 
 QUERIES = {
     "op1_pii": pii.op1_pii,
     "op2_secret_scan": secret_scan.op2_secret_scan,
     "op3_simhash": simhash.op3_simhash,
+    "op4_toxicity": toxicity.op4_toxicity,
     "op5_quality_rules": quality_rules.op5_quality_rules,
     "op6_bpe": bpe.op6_bpe,
     "op7_decontaminate": decontaminate.op7_decontaminate,

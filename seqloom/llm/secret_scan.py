@@ -13,8 +13,9 @@ from __future__ import annotations
 import itertools
 import re
 import zlib
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from seqloom.llm.common import Span, long_field, narrow, per_document, sha256, spans_text, string_field, table
@@ -111,5 +112,17 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return per_document(narrow(docs, id_col, text_col), prepare, fields)
 
 
+def keep_clean(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """The rows, all their columns unchanged, whose text holds no secret."""
+    place = docs.columns.index(text_col)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scan = scanner()
+        for batch in batches:
+            yield batch.filter(pa.array([not scan(t or "") for t in batch.column(place).to_pylist()], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_secrets(table(spark, sf_dir, "documents"))
