@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from seqloom.functions.hashing import hash_bucket, seeded_hash
+from seqloom.functions.hashing import HASH_BITS, hash_bucket, seeded_digest, seeded_hash
 from seqloom.functions.numeric import int_div
 
 BUCKET = "__bucket"
@@ -71,19 +71,24 @@ def by_value(df: DataFrame, column: str, ties: Sequence[str] = (), buckets: int
 
 
 def by_hash(df: DataFrame, seed: int, key: str, buckets: int | None = None) -> RowOrder:
-    """A seeded permutation: order by md5 of seed and key. The buckets are slices of the hash."""
+    """A seeded permutation: order by md5 of seed and key. The buckets are slices of the hash.
+
+    Rows sort by the first 60 bits; the rest of the digest, then the key, decide between equal ones.
+    """
     _require(df, [key])
     count = buckets or default_buckets(df)
     if not 0 < count <= MAX_BUCKETS:
         raise ValueError(f"buckets must be between 1 and {MAX_BUCKETS}")
-    name = "__order_hash"
+    name, rest = "__order_hash", "__order_rest"
 
     def add_bucket(frame: DataFrame) -> DataFrame:
-        # A column, as a sort would compute an expression anew for each comparison.
-        hashed = frame.withColumn(name, seeded_hash(seed, _present(F.col(key), key)))
+        # Columns, as a sort would compute an expression anew for each comparison.
+        present = _present(F.col(key), key)
+        tail = F.substring(seeded_digest(seed, present), HASH_BITS // 4 + 1, 17)
+        hashed = frame.withColumns({name: seeded_hash(seed, present), rest: tail})
         return hashed.withColumn(BUCKET, hash_bucket(F.col(name), count))
 
-    return RowOrder((F.col(name), F.col(key)), add_bucket, count)
+    return RowOrder((F.col(name), F.col(rest), F.col(key)), add_bucket, count)
 
 
 def by_width(column: str, ties: Sequence[str] = (), width: int | None = None) -> RowOrder:

@@ -52,36 +52,45 @@ def value_histogram(df: DataFrame, name: str, values: str, bins: int) -> DataFra
     """Counts in `bins` equal bins between each name's smallest and largest value.
 
     (name, bin, bin_low, bin_high, count); a name with one distinct value has one bin. Bounds come
-    from the extremes of each row, and elements are counted per task before anything is shuffled.
+    from the finite extremes of each row, and elements are counted per task before anything is
+    shuffled. NaN and each infinity have a row of their own: no bin, and themselves as bounds.
     """
     if bins <= 0:
         raise ValueError("bins must be positive")
+    finite = F.filter(values, lambda x: _finite(x.cast("double")))
     bounds = df.groupBy(name).agg(
-        F.min(F.array_min(values)).cast("double").alias("low"),
-        F.max(F.array_max(values)).cast("double").alias("high"),
+        F.min(F.array_min(finite)).cast("double").alias("low"),
+        F.max(F.array_max(finite)).cast("double").alias("high"),
     )
     low, high = F.col("low"), F.col("high")
     width = (high - low) / F.lit(bins)
 
-    def bin_of(x: Column) -> Column:
-        place = F.least(F.floor((x.cast("double") - low) / width), F.lit(bins - 1))
-        return F.when(high == low, F.lit(0)).otherwise(place).cast("bigint")
+    def place(x: Column) -> Column:
+        x = x.cast("double")
+        inside = F.when(high == low, F.lit(0)).otherwise(F.least(F.floor((x - low) / width), F.lit(bins - 1)))
+        return F.struct(
+            F.when(_finite(x), inside).cast("bigint").alias("bin"), F.when(~_finite(x), x).alias("odd")
+        )
 
     return (
         join_same(df.select(name, values), bounds, [name])
-        .select(name, "low", "high", F.explode(F.transform(values, bin_of)).alias("bin"))
-        .groupBy(name, "low", "high", "bin")
+        .select(name, "low", "high", F.inline(F.transform(F.filter(values, lambda x: x.isNotNull()), place)))
+        .groupBy(name, "low", "high", "bin", "odd")
         .agg(F.count("*").alias("count"))
         .select(
             name,
             "bin",
-            (low + F.col("bin") * width).alias("bin_low"),
-            (low + (F.col("bin") + 1) * width).alias("bin_high"),
+            F.coalesce("odd", low + F.col("bin") * width).alias("bin_low"),
+            F.coalesce("odd", low + (F.col("bin") + 1) * width).alias("bin_high"),
             "count",
         )
     )
 
 
+def _finite(x: Column) -> Column:
+    return ~F.isnan(x) & (F.abs(x) != F.lit(float("inf")))
+
+
 def topk_routing(df: DataFrame, logits: Column, k: int) -> DataFrame:
     """Add `probabilities` over the experts and `routes`, the best k with weights that sum to 1."""
     if k < 1:
@@ -167,10 +176,12 @@ def weighted_pick(
         )
     if top > 0:
         candidates = _largest(candidates, group, candidate, logit, top)
-    bounds = candidates.groupBy(group).agg(
+    # A struct is never null: the null group is a group like any other.
+    candidates = candidates.withColumn("__group", F.struct(group))
+    bounds = candidates.groupBy("__group").agg(
         F.max(logit).cast("double").alias("__peak"), F.count("*").alias("__size")
     )
-    weighted = candidates.join(bounds, group).withColumns(
+    weighted = candidates.join(bounds, "__group").withColumns(
         {
             "__weight": F.exp((F.col(logit).cast("double") - F.col("__peak")) / F.lit(temperature)),
             "__hash": seeded_hash(seed, F.col(group), F.col(candidate)),
@@ -185,7 +196,7 @@ def weighted_pick(
         weighted,
         order,
         {"__sum": Running("sum", F.col("__weight"), inclusive=True)},
-        [group],
+        ["__group"],
         {"__total": "__sum"},
     )
     draw = unit_interval(seeded_hash(seed, F.col(group)))
@@ -193,9 +204,11 @@ def weighted_pick(
     # Rounding may leave the last running sum a hair below the total: fall back to the last one.
     place = F.struct("__hash", candidate)
     return (
-        summed.groupBy(group)
-        .agg(F.coalesce(F.min(F.when(passed, place)), F.max(place)).alias("__pick"))
-        .select(group, F.col(f"__pick.{candidate}").alias(candidate))
+        summed.groupBy("__group")
+        .agg(
+            F.coalesce(F.min(F.when(passed, place)), F.max(place)).alias("__pick"),
+        )
+        .select(F.col("__group")[group].alias(group), F.col(f"__pick.{candidate}").alias(candidate))
     )
 
 

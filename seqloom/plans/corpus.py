@@ -32,25 +32,75 @@ def open_corpus(spark: SparkSession, options: RunOptions, root: str = "", fmt: s
     return scan_corpus(spark, path, options.dataset_config, options.dataset_split, fmt)
 
 
-def _stored_positions(rows: DataFrame, key: str, options: RunOptions) -> DataFrame:
-    """(__key, row_idx) of the run's order, computed once per run and kept with its output."""
-    spark, path = rows.sparkSession, f"{options.output_dir}/order"
+def _placed(keys: DataFrame, options: RunOptions) -> DataFrame:
+    """(__key, row_idx): the order of the options over keys."""
+    if options.shuffle_buffer == 0:
+        return row_ordinal(keys, by_value(keys, "__key"))
+    if options.streaming:
+        return shuffle_buffered(
+            row_ordinal(keys, by_value(keys, "__key")), options.seed, "__key", options.shuffle_buffer
+        )
+    return shuffle_full(keys, options.seed, "__key")
+
+
+def _order_log(spark: SparkSession, options: RunOptions) -> DataFrame | None:
+    """What the run's order was made from, one row per part of it; None if it has none yet."""
     try:
-        return spark.read.parquet(path)
+        return spark.read.schema("rule string, part bigint, rows bigint").json(f"{options.output_dir}/order-log")
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
+        return None
+
+
+def _check_order(rows: DataFrame, key: str, options: RunOptions) -> tuple[int, int]:
+    """Parts and rows of the order so far. Fails if the run was begun with another one."""
+    spark = rows.sparkSession
+    log = _order_log(spark, options)
+    if log is None:
+        return 0, 0
+    rule, parts, size = log.agg(F.max("rule"), F.count("*"), F.sum("rows")).first()
+    if parts and rule != _rule(key, options):
+        raise ValueError(f"this run was begun with the order {rule}, not {_rule(key, options)}")
+    return parts, size or 0
+
+
+def _rule(key: str, options: RunOptions) -> str:
+    return f"key={key} seed={options.seed} buffer={options.shuffle_buffer} streaming={options.streaming}"
+
+
+def _log_order(spark: SparkSession, key: str, options: RunOptions, part: int, size: int) -> None:
+    row = [(_rule(key, options), part, size)]
+    made = spark.createDataFrame(row, "rule string, part bigint, rows bigint")
+    made.write.mode("append").json(f"{options.output_dir}/order-log")
+
+
+def _stored_positions(rows: DataFrame, key: str, options: RunOptions) -> DataFrame:
+    """(__key, row_idx) of the run's order, kept with its output.
+
+    Parts are logged once they are written whole; a part without its entry is written anew. Rows
+    that the source has gained since form a further part behind the others, in the same order among
+    themselves; a source that has lost rows fails the run.
+    """
+    spark, path = rows.sparkSession, f"{options.output_dir}/order"
     keys = rows.select(F.col(key).alias("__key"))
-    if options.shuffle_buffer == 0:
-        placed = row_ordinal(keys, by_value(keys, "__key"))
-    elif options.streaming:
-        placed = shuffle_buffered(
-            row_ordinal(keys, by_value(keys, "__key")), options.seed, "__key", options.shuffle_buffer
-        )
+    parts, size = _check_order(rows, key, options)
+    if parts:
+        known = spark.read.parquet(*[f"{path}/{n}" for n in range(parts)])
+        left = known.join(keys, "__key", "left_semi").count()
+        if left != size:
+            raise ValueError(f"the source has lost {size - left} of the {size} rows of this run's order")
+        fresh = keys.join(known, "__key", "left_anti")
     else:
-        placed = shuffle_full(keys, options.seed, "__key")
-    placed.write.parquet(path)
-    return spark.read.parquet(path)
+        known, fresh = None, keys
+    placed = _placed(fresh, options).select("__key", (F.col("row_idx") + F.lit(size)).alias("row_idx"))
+    added = fresh.count() if parts else None
+    if added != 0:
+        placed.write.mode("overwrite").parquet(f"{path}/{parts}")
+        part = spark.read.parquet(f"{path}/{parts}")
+        _log_order(spark, key, options, parts, part.count())
+        known = part if known is None else known.unionByName(part)
+    return known
 
 
 def ordered_corpus(
@@ -58,11 +108,21 @@ def ordered_corpus(
 ) -> tuple[DataFrame, RowOrder]:
     """The rows to read and their order.
 
-    A buffered shuffle and a skip need positions, which are stored once as a narrow table. Any
-    other order is an expression of the row, and costs no join.
+    A buffered shuffle needs positions, which are stored once as a narrow table. Any other order is
+    an expression of the row; it needs them only to skip, and then the source must have as many rows
+    as when the run began, as its order is not kept.
     """
     buffered = options.shuffle_buffer > 0 and options.streaming
-    if skip > 0 or buffered:
+    if skip > 0 and not buffered:
+        parts, size = _check_order(rows, key, options)
+        now = rows.count()
+        if parts and size != now:
+            raise ValueError(f"the source had {size} rows when this run began and has {now} now")
+        keys = rows.select(F.col(key).alias("__key"))
+        named = skip_rows(_placed(keys, options), skip).withColumnRenamed("row_idx", "__position")
+        found = rows.join(named, F.col(key) == F.col("__key")).drop("__key")
+        return found, by_width("__position")
+    if buffered:
         positions = skip_rows(_stored_positions(rows, key, options), skip)
         named = positions.withColumnRenamed("row_idx", "__position")
         found = rows.join(named, F.col(key) == F.col("__key")).drop("__key")
@@ -104,6 +164,9 @@ def prepare_corpus(
     done = progress_store.load_progress(spark, store).first().asDict()
     reached = done["trained_documents"] >= options.total_documents
     if not reached:
+        buffered = options.shuffle_buffer > 0 and options.streaming
+        if not buffered and _order_log(spark, options) is None:
+            _log_order(spark, key, options, 0, rows.count())
         index = corpus_index(rows, key, options, tokenizer, done)
         packed = pack_sequences(chunk_documents(index), options.context_length)
         part = packed.withColumn("first_chunk_id", F.lit(done["next_chunk_id"]))

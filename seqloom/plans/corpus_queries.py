@@ -50,8 +50,9 @@ def scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def toy_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = fx.documents(spark, sf_dir).select("doc_id")
-    return toy_texts(corpus.row_ordinal(docs, by_value(docs, "doc_id")))
+    docs = fx.documents(spark, sf_dir).select("doc_id", "source", F.length("text").alias("replaced_chars"))
+    ordered = corpus.row_ordinal(docs, by_value(docs, "doc_id"))
+    return toy_texts(ordered, keep=("doc_id", "source", "replaced_chars"))
 
 
 def row_ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -389,8 +390,9 @@ history AS (
 
 ORACLES = {
     "scan_corpus": "SELECT doc_id, lang, source, length(text) AS chars FROM documents",
-    "toy_source": f"""SELECT row_idx, [{_TOYS}][row_idx % 4 + 1] AS text
-        FROM (SELECT row_number() OVER (ORDER BY doc_id) - 1 AS row_idx FROM documents)""",
+    "toy_source": f"""SELECT row_idx, doc_id, source, replaced_chars, [{_TOYS}][row_idx % 4 + 1] AS text
+        FROM (SELECT row_number() OVER (ORDER BY doc_id) - 1 AS row_idx, doc_id, source,
+                     length(text) AS replaced_chars FROM documents)""",
     "row_ordinal": "SELECT doc_id, row_number() OVER (ORDER BY n_chars, doc_id) - 1 AS row_idx FROM documents",
     "shuffle_full": _SHUFFLED,
     "shuffle_buffered": f"""WITH o AS (

@@ -68,8 +68,10 @@ def expert_load_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors as candidates of their label; the logit is the sum of all elements."""
+    total = F.aggregate("embedding", F.lit(0.0), lambda acc, x: acc + x.cast("double"))
     return fx.table(spark, sf_dir, "embeddings").select(
-        F.col("label").alias("grp"), "vec_id", F.col("embedding")[0].cast("double").alias("logit")
+        F.col("label").alias("grp"), "vec_id", total.alias("logit")
     )
 
 
@@ -120,7 +122,7 @@ QUERIES = {
 
 _SQUARES = "list_sum(list_transform(embedding, lambda x: x::DOUBLE * x::DOUBLE))"
 _ROUTED = f"""p AS (
-  SELECT vec_id, unnest(range(8)) AS expert, unnest(embedding[1:8])::DOUBLE AS logit FROM embeddings),
+  SELECT vec_id, unnest(range(len(embedding))) AS expert, unnest(embedding)::DOUBLE AS logit FROM embeddings),
 e AS (SELECT *, exp(logit - max(logit) OVER (PARTITION BY vec_id)) AS w FROM p),
 s AS (SELECT vec_id, expert, w / sum(w) OVER (PARTITION BY vec_id) AS prob FROM e),
 r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY prob DESC, expert) - 1 AS slot FROM s)"""
@@ -137,7 +139,8 @@ t AS (SELECT *, sum(weight) OVER (PARTITION BY grp ORDER BY digest, vec_id
 SELECT grp, arg_min(vec_id, digest) AS vec_id FROM t WHERE upto > draw * total GROUP BY grp"""
 
 
-_LOGITS = "SELECT label AS grp, vec_id, embedding[1]::DOUBLE AS logit FROM embeddings"
+_LOGITS = """SELECT label AS grp, vec_id, list_sum(list_transform(embedding, lambda x: x::DOUBLE)) AS logit
+    FROM embeddings"""
 
 ORACLES = {
     "l2_norm": f"""SELECT label, round(sqrt(sum({_SQUARES})), 6) AS norm FROM embeddings GROUP BY label
@@ -167,7 +170,7 @@ ORACLES = {
         x AS (SELECT expert, sum(CASE WHEN slot < {TOP_K} THEN 1 ELSE 0 END) / (count(*) * {TOP_K}) AS load,
                      avg(prob) AS mean_probability FROM r GROUP BY expert)
         SELECT expert, round(load, 6) AS load, round(mean_probability, 6) AS mean_probability,
-               round(8 * sum(load * mean_probability) OVER (), 6) AS balance_score FROM x""",
+               round(count(*) OVER () * sum(load * mean_probability) OVER (), 6) AS balance_score FROM x""",
     "greedy_pick": f"""SELECT grp, vec_id FROM (
           SELECT *, row_number() OVER (PARTITION BY grp ORDER BY logit DESC, vec_id) AS k
           FROM ({_LOGITS})) WHERE k = 1""",

@@ -50,11 +50,11 @@ def toy_stream(spark: SparkSession, rows_per_second: int = 1_000) -> DataFrame:
     return toy_texts(ticks.select(F.col("value").alias("row_idx")))
 
 
-def toy_texts(positions: DataFrame, position: str = "row_idx") -> DataFrame:
-    """Give each position its toy text."""
+def toy_texts(positions: DataFrame, position: str = "row_idx", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Give each position its toy text; `keep` names columns to carry along."""
     texts = F.array(*[F.lit(text) for text in TOY_TEXTS])
     index = F.pmod(F.col(position), F.lit(len(TOY_TEXTS))).cast("int") + 1
-    return positions.select(position, F.element_at(texts, index).alias("text"))
+    return positions.select(position, *keep, F.element_at(texts, index).alias("text"))
 
 
 def spread(df: DataFrame) -> DataFrame:

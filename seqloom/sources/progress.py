@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # The fields of a progress record and what stands for a missing one.
@@ -16,7 +16,7 @@ PROGRESS_DEFAULTS = {
 }
 PROGRESS_SCHEMA = (
     "trained_documents bigint, source_rows_consumed bigint, next_chunk_id bigint, "
-    "global_step bigint, checkpoint_path string, batch_id bigint"
+    "global_step bigint, checkpoint_path string, batch_id bigint, pending array<string>"
 )
 
 
@@ -34,9 +34,8 @@ def load_progress(spark: SparkSession, path: str, before_batch: int | None = Non
         rows = spark.createDataFrame([], PROGRESS_SCHEMA)
     if before_batch is not None:
         rows = rows.filter(F.col("batch_id") < F.lit(before_batch))
-    fields = list(PROGRESS_DEFAULTS)
-    newest = F.max_by(F.struct(*fields), "next_chunk_id").alias("__newest")
-    return rows.agg(newest).select(
+    newest = rows.agg(F.max_by(F.struct(*PROGRESS_DEFAULTS), _age()).alias("__newest"))
+    return newest.select(
         *[
             F.coalesce(F.col(f"__newest.{name}"), F.lit(value)).alias(name)
             for name, value in PROGRESS_DEFAULTS.items()
@@ -44,9 +43,39 @@ def load_progress(spark: SparkSession, path: str, before_batch: int | None = Non
     )
 
 
+def _age() -> Column:
+    """Orders records of one run: progress only grows, and so does what waits while nothing else does."""
+    waiting = F.coalesce(F.size("pending"), F.lit(0))
+    return F.struct("next_chunk_id", F.coalesce("source_rows_consumed", F.lit(0)), waiting)
+
+
+def load_pending(spark: SparkSession, path: str, before_batch: int | None = None) -> list[str]:
+    """Folders of rows that a stream has read but not accepted, in their order, as of the newest record."""
+    try:
+        rows = spark.read.schema(PROGRESS_SCHEMA).json(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+    if before_batch is not None:
+        rows = rows.filter(F.col("batch_id") < F.lit(before_batch))
+    return rows.agg(F.max_by("pending", _age())).first()[0] or []
+
+
+def drains(spark: SparkSession, path: str) -> int:
+    """How often waiting rows were taken up between two starts of a stream."""
+    try:
+        rows = spark.read.schema(PROGRESS_SCHEMA).json(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return 0
+    return rows.filter("batch_id < 0").count()
+
+
 def save_progress(rows: DataFrame, path: str) -> None:
     """Append progress records. Each commit is atomic; the newest record wins on reading."""
-    names = [c for c in (*PROGRESS_DEFAULTS, "batch_id") if c in rows.columns]
+    names = [c for c in (*PROGRESS_DEFAULTS, "batch_id", "pending") if c in rows.columns]
     rows.select(*names).write.mode("append").json(path)
 
 

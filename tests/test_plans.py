@@ -124,3 +124,36 @@ def test_watching_an_unknown_metric_changes_nothing(spark, tmp_path):
     found = metrics.analyse_steps(steps(spark, {1: [0.5] * 12}), chosen)
     assert found.stops.first()["stop_reason"] == "dataset_exhausted"
     assert [r["value"] for r in found.best.collect()] == [10.0]
+
+
+@pytest.mark.parametrize("buffer", [8, 10_000])
+def test_a_grown_source_is_read_to_its_end(spark, tmp_path, buffer):
+    chosen = options(tmp_path, total_documents=500, streaming=True, shuffle_buffer=buffer)
+    rows = corpus.open_corpus(spark, options(tmp_path, total_documents=200))
+    first = corpus.prepare_corpus(rows.where("row_idx < 100"), "row_idx", chosen, TOKENIZER).first()
+    assert (first["trained_documents"], first["stop_reason"]) == (100, "dataset_exhausted")
+    second = corpus.prepare_corpus(rows, "row_idx", chosen, TOKENIZER).first()
+    assert (second["trained_documents"], second["source_rows_consumed"]) == (200, 200)
+    with pytest.raises(ValueError, match="lost 100"):
+        corpus.prepare_corpus(rows.where("row_idx >= 100"), "row_idx", chosen, TOKENIZER)
+
+
+def test_another_seed_or_size_is_refused(spark, tmp_path):
+    rows = corpus.open_corpus(spark, options(tmp_path, total_documents=60))
+    for streaming in (True, False):
+        common = dict(streaming=streaming, shuffle_buffer=8, output_dir=f"{tmp_path}/run{streaming}")
+        corpus.prepare_corpus(rows, "row_idx", options(tmp_path, total_documents=20, **common), TOKENIZER)
+        with pytest.raises(ValueError, match="begun with the order"):
+            again = options(tmp_path, total_documents=40, seed=7, **common)
+            corpus.prepare_corpus(rows, "row_idx", again, TOKENIZER)
+    with pytest.raises(ValueError, match="had 60 rows"):
+        again = options(tmp_path, total_documents=40, **common)
+        corpus.prepare_corpus(rows.where("row_idx < 50"), "row_idx", again, TOKENIZER)
+
+
+def test_an_order_that_was_not_finished_is_made_again(spark, tmp_path):
+    chosen = options(tmp_path, total_documents=60, streaming=True, shuffle_buffer=8)
+    rows = corpus.open_corpus(spark, chosen)
+    spark.createDataFrame([(0, 0)], "__key long, row_idx long").write.parquet(f"{chosen.output_dir}/order/0")
+    done = corpus.prepare_corpus(rows, "row_idx", chosen, TOKENIZER).first()
+    assert done["trained_documents"] == 60

@@ -146,3 +146,35 @@ def test_monitor_stream_equals_batch(spark, tmp_path):
         stop = naive.early_stop(seen, "max", 0.05, 10, 0.7, 20)
         first = next(((r["record_seq"], r["stop_reason"]) for r in mine if r["stop_reason"]), None)
         assert first == stop
+
+
+def test_rows_behind_a_cap_wait_for_a_higher_one(spark, tmp_path):
+    frames = [
+        spark.createDataFrame([(100 * f + i, f"doc {100 * f + i}") for i in range(30)], "k long, text string")
+        for f in range(3)
+    ]
+    rows = parts(spark, f"{tmp_path}/in", frames[:2])
+    ingest(spark, rows, tmp_path, total_documents=18)
+    assert store.load_progress(spark, f"{tmp_path}/progress").first()["trained_documents"] == 18
+    ingest(spark, rows, tmp_path, total_documents=18)  # nothing new: nothing changes
+    ingest(spark, rows, tmp_path, total_documents=40)
+    done = store.load_progress(spark, f"{tmp_path}/progress").first()
+    assert (done["trained_documents"], done["source_rows_consumed"]) == (40, 40)
+    rows = parts(spark, f"{tmp_path}/in", frames[2:])
+    ingest(spark, rows, tmp_path, total_documents=200)
+    done = store.load_progress(spark, f"{tmp_path}/progress").first()
+    assert (done["trained_documents"], done["source_rows_consumed"]) == (90, 90)
+    assert store.load_pending(spark, f"{tmp_path}/progress") == []
+    found = spark.read.parquet(f"{tmp_path}/sequences").select("chunk_id", "seq_id", "input_ids", "labels")
+    groups, texts = [], [f"doc {100 * f + i}" for f in range(3) for i in range(30)]
+    for a, b in ((0, 18), (18, 30), (30, 40), (40, 60), (60, 90)):  # a set of rows ends in a short chunk
+        groups.append(texts[a:b])
+    assert sorted(map(tuple, found.collect())) == expected_sequences(groups)
+
+
+def test_blank_rows_at_the_end_are_counted(spark, tmp_path):
+    frame = spark.createDataFrame([(1, "a b"), (2, " "), (3, "")], "k long, text string")
+    blank = spark.createDataFrame([(4, " "), (5, "")], "k long, text string")
+    ingest(spark, parts(spark, f"{tmp_path}/in", [frame, blank]), tmp_path)
+    done = store.load_progress(spark, f"{tmp_path}/progress").first()
+    assert (done["trained_documents"], done["source_rows_consumed"]) == (1, 5)

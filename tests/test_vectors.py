@@ -145,3 +145,26 @@ def test_cuts(spark):
     split = vectors.prompt_split(df, "ids", 2)
     assert ids(split, "prompt_ids") == [[5, 6], [8]]
     assert ids(split, "continuation_ids") == [[0, 7, 0], []]
+
+
+def test_a_histogram_keeps_odd_values_apart(spark):
+    values = [float("nan"), 1.0, 3.0, None, float("inf"), float("-inf"), 2.0, float("nan")]
+    df = spark.createDataFrame([("a", values), ("b", [float("nan")]), (None, [5.0])], "name string, v array<double>")
+    got = {(r.name, r.bin, str(r.bin_low)): (str(r.bin_high), r["count"]) for r in vectors.value_histogram(df, "name", "v", 2).collect()}
+    assert got == {
+        ("a", 0, "1.0"): ("2.0", 1),
+        ("a", 1, "2.0"): ("3.0", 2),
+        ("a", None, "nan"): ("nan", 2),
+        ("a", None, "inf"): ("inf", 1),
+        ("a", None, "-inf"): ("-inf", 1),
+        ("b", None, "nan"): ("nan", 1),
+        (None, 0, "5.0"): ("5.0", 1),
+    }
+
+
+@pytest.mark.parametrize("temperature,top", [(0.0, 0), (0.7, 0), (0.7, 2)])
+def test_a_null_group_is_picked_from(spark, temperature, top):
+    rows = [(g, c, float(c % 3)) for g in ("a", None) for c in range(6)]
+    df = spark.createDataFrame(rows, "g string, c long, x double")
+    got = vectors.weighted_pick(df, "g", "c", "x", temperature, top).collect()
+    assert {r.g for r in got} == {"a", None}
