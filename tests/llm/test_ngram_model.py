@@ -93,4 +93,4 @@ def test_nothing_to_learn_from(spark):
 
 def test_the_model_beats_its_base_on_unseen_documents(spark, sf_dir):
     got = lm.op10_ngram_model(spark, sf_dir).where("held_out").agg({"score": "sum", "base_score": "sum"}).first()
-    assert got[0] > got[1] or got["sum(score)"] > got["sum(base_score)"]
+    assert got["sum(score)"] > got["sum(base_score)"]
