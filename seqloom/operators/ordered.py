@@ -291,8 +291,8 @@ def _as_double(df: DataFrame, column: str) -> Column:
         return value.cast("double")
     if kind == "date":
         return F.unix_date(value).cast("double")
-    if kind == "timestamp":
-        return F.unix_micros(value).cast("double")
+    if kind in ("timestamp", "timestamp_ntz"):
+        return F.unix_micros(value.cast("timestamp")).cast("double")
     raise TypeError(
         f"cannot order by {column} of type {kind}: use a number, a date, a timestamp, "
         "or a hash order of the key"

@@ -209,9 +209,15 @@ def load_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def progress_commit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    manifest = corpus.chunk_manifest(_padded_chunks(spark, sf_dir))
-    steps = batching.expected_steps(_counts(spark, sf_dir), B, E)
-    return progress_history(manifest, steps)
+    """Commit every chunk with its progress, and read the progress back from the store."""
+    manifest = written(corpus.chunk_manifest(_padded_chunks(spark, sf_dir)), "manifest")
+    history = progress_history(manifest, batching.expected_steps(_counts(spark, sf_dir), B, E))
+    output, store = new_folder(spark, "chunks"), new_folder(spark, "progress")
+    progress_store.commit_chunks(manifest, history, output, store)
+    kept = spark.read.parquet(output).select((F.col("chunk_id") + 1).alias("__next"))
+    found = spark.read.schema(progress_store.PROGRESS_SCHEMA).json(store)
+    found = found.withColumn("chunk_id", F.col("next_chunk_id") - 1).select(*history.columns)
+    return found.join(kept, F.col("next_chunk_id") == F.col("__next"), "left_semi")
 
 
 def resume_from_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
