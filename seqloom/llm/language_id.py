@@ -5,8 +5,8 @@ frequency of its longest character n-grams that are known, from `order` letters
 ends of the word being part of it.
 
 The model is fitted on a sample of labelled documents, about `docs_per_language` of each language,
-chosen by a hash of key and text; this bound also bounds the model, which goes to all tasks as one
-broadcast. Words and n-grams seen only once in the sample are left to back off. Prediction reads
+none over `most_chars` characters, chosen by a hash of key and text; these bounds also bound the
+model, which goes to all tasks as one broadcast. Words and n-grams seen only once in the sample are left to back off. Prediction reads
 every text whole, next to its key, without a shuffle.
 
 Defined results: null, blank and letterless texts are `und` with score zero; so is everything where
@@ -29,7 +29,7 @@ from seqloom.llm.common import held_out, narrow, per_document, string_field, tab
 
 UNKNOWN = "und"
 FOLDS = 4
-DOCS_PER_LANGUAGE = 1500
+DOCS_PER_LANGUAGE, MOST_CHARS = 1500, 100_000
 ORDER = 5
 #: Words of evidence at which the score stops growing more certain.
 EVIDENCE = 20
@@ -72,6 +72,7 @@ def train(
     docs: DataFrame,
     learn: Column,
     docs_per_language: int = DOCS_PER_LANGUAGE,
+    most_chars: int = MOST_CHARS,
     order: int = ORDER,
     id_col: str = "doc_id",
     text_col: str = "text",
@@ -81,7 +82,8 @@ def train(
     labelled = docs.where(learn).select(
         F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")
     )
-    texts = _sample(labelled.where("lang is not null and text is not null"), docs_per_language)
+    usable = F.col("lang").isNotNull() & (F.length("text") <= most_chars)
+    texts = _sample(labelled.where(usable), docs_per_language)
     letters = F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0))
     words = texts.select("lang", F.explode(letters).alias("key")).groupBy("lang", "key").agg(F.count("*").alias("n"))
     padded = F.concat(F.lit(" "), "key", F.lit(" "))
