@@ -14,6 +14,9 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 #: ASCII white space as the contracts list it.
 SPACE = r"\x20\x09-\x0D"
 
+#: Texts whose results a task holds at a time.
+SLICE = 128
+
 Span = tuple[int, int, str]
 
 
@@ -58,7 +61,8 @@ def per_document(
 
     `docs` has `doc_id` and `text`. `prepare` runs once per task and returns the function, which
     gets a text or None and returns the values of `fields`. Rows stay where the scan put them: no
-    shuffle, memory of one batch, and a lost task is run again from its file split.
+    shuffle, memory of one Arrow batch and the results of `SLICE` texts, and a lost task is run again
+    from its file split.
     """
     schema = StructType([docs.schema["doc_id"], *fields])
     arrow = to_arrow_schema(schema)
@@ -66,12 +70,12 @@ def per_document(
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = prepare()
         for batch in batches:
-            found = [work(text) for text in batch.column("text").to_pylist()]
-            columns = list(zip(*found, strict=True)) or [[] for _ in fields]
-            arrays = [pa.array(c, type=f.type) for c, f in zip(columns, list(arrow)[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").cast(arrow[0].type), *arrays], schema=arrow
-            )
+            for first in range(0, batch.num_rows, SLICE):
+                part = batch.slice(first, SLICE)
+                found = [work(text) for text in part.column("text").to_pylist()]
+                columns = zip(*found, strict=True)
+                arrays = [pa.array(c, type=f.type) for c, f in zip(columns, list(arrow)[1:], strict=True)]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(arrow[0].type), *arrays], schema=arrow)
 
     return docs.mapInArrow(run, schema)
 

@@ -34,7 +34,7 @@ ORDER = 5
 #: Words of evidence at which the score stops growing more certain.
 EVIDENCE = 20
 _WORDS = re.compile(r"[^\W\d_]+")
-_CACHE = 300_000
+_CACHE = 60_000
 
 
 @dataclass(frozen=True)
