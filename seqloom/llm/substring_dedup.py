@@ -26,6 +26,7 @@ null keys come after all others.
 
 from __future__ import annotations
 
+import itertools
 import uuid
 from collections.abc import Iterable, Iterator
 
@@ -50,7 +51,7 @@ _BASE, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 BLOCK = StructType(
     [StructField("block", StringType()), StructField("ids", ArrayType(LongType())), StructField("texts", BinaryType())]
-    + [StructField("n_words", LongType())]
+    + [StructField("n_words", LongType()), StructField("anchors", BinaryType()), StructField("times", BinaryType())]
 )
 REQUEST = StructType(
     [StructField("shard", LongType()), StructField("block", StringType())]
@@ -89,16 +90,15 @@ class Block:
         import xxhash
         import zstandard
 
-        documents = zstandard.ZstdDecompressor().decompress(texts).split(b"\n")
+        data = zstandard.ZstdDecompressor().decompress(texts)
         self.ids, self.window, self.gram = ids, window, gram
-        self.words = [d.split(b" ") if d else [] for d in documents]
-        seen: dict[bytes, int] = {}
-        numbers = [seen.setdefault(w, len(seen)) for words in self.words for w in words]
-        self.numbers = np.array(numbers, dtype=np.int64)
-        self.vocabulary = len(seen)
-        hashes = np.fromiter((xxhash.xxh64_intdigest(w) for w in seen), dtype=np.uint64, count=len(seen))
-        self.hashes = hashes[self.numbers] if len(seen) else np.zeros(0, dtype=np.uint64)
-        self.lengths = np.array([len(w) for w in self.words], dtype=np.int64)
+        self.documents = data.split(b"\n")
+        words = data.split()
+        place = {w: n for n, w in enumerate(dict.fromkeys(words))}
+        self.numbers = np.fromiter(map(place.__getitem__, words), dtype=np.int64, count=len(words))
+        hashes = np.fromiter(map(xxhash.xxh64_intdigest, place), dtype=np.uint64, count=len(place))
+        self.hashes = hashes[self.numbers] if len(place) else np.zeros(0, dtype=np.uint64)
+        self.lengths = np.array([d.count(b" ") + 1 if d else 0 for d in self.documents], dtype=np.int64)
         self.firsts = np.cumsum(self.lengths) - self.lengths
         self.rank = np.array([LAST if i is None else np.uint64(i % 2**64) ^ _SIGN for i in ids], dtype=np.uint64)
         ends = np.repeat(self.firsts + self.lengths, self.lengths)
@@ -112,14 +112,17 @@ class Block:
 
     def anchors(self) -> tuple[np.ndarray, np.ndarray]:
         """The anchor of every window; the group hash of every place that is an anchor of some window."""
-        groups = _rolled(self.hashes, self.gram)
-        width = self.window - self.gram + 1
         if len(self.keys) == 0:
             return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.uint64)
-        least = _sliding(groups, width, True)
+        groups = _rolled(self.hashes, self.gram)
+        return _sliding(groups, self.window - self.gram + 1, True), groups[self.anchor_places(self.whole)]
+
+    def anchor_places(self, windows: np.ndarray) -> np.ndarray:
+        """Where the anchors of the marked windows are."""
+        groups, width = _rolled(self.hashes, self.gram), self.window - self.gram + 1
         border = np.zeros(width - 1, dtype=np.uint64)
-        chosen = np.concatenate([border, np.where(self.whole, least, np.uint64(0)), border])
-        return least, groups[_sliding(chosen, width, False) == groups]
+        chosen = np.where(windows, _sliding(groups, width, True), np.uint64(0))
+        return np.flatnonzero(_sliding(np.concatenate([border, chosen, border]), width, False) == groups)
 
     def places(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Document rank and start of windows."""
@@ -131,9 +134,16 @@ class Block:
         codes = self.numbers + 1
         return (codes + 0x800 * (codes >= 0xD800)).astype("<u4").tobytes().decode("utf-32-le")
 
+    def classes(self) -> str:
+        """One of 64 characters per word: nodes of an automaton search their children one by one."""
+        return (48 + self.numbers * 29 % 64).astype(np.uint8).tobytes().decode("latin-1")
 
-def to_blocks(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """Blocks of documents (`doc_id`, `text`), their words single-spaced, written to the shared folder."""
+
+def to_blocks(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """Blocks of documents (`doc_id`, `text`), written to the shared folder.
+
+    A block has its words, single-spaced, and its anchors with how often they occur (2: twice or more).
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
@@ -142,6 +152,8 @@ def to_blocks(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
 
         def block(ids, texts, size):
             row = {"block": uuid.uuid4().hex, "ids": ids, "texts": squeeze(b"\n".join(texts)), "n_words": size}
+            keys, times = np.unique(Block(ids, row["texts"], window, gram).anchors()[1], return_counts=True)
+            row |= {"anchors": pack_keys(keys), "times": pack(np.minimum(times, 2))}
             return pa.RecordBatch.from_pylist([row], schema=arrow)
 
         ids, texts, size = [], [], 0
@@ -228,27 +240,38 @@ def _ask_windows(block: Block, recurring: np.ndarray) -> dict[str, np.ndarray]:
 
 
 def _kept(block: Block, recurring: np.ndarray, first_here: np.ndarray) -> np.ndarray:
-    """Which words stay, by streaming the documents through the automaton of the recurring windows."""
+    """Which words stay, by streaming the documents through the automaton of the recurring phrases.
+
+    The automaton holds the anchors of the recurring windows, as classes of words. The windows around
+    a hit are compared with the recurring ones word by word.
+    """
     import ahocorasick
 
     kept = np.ones(len(block.numbers), dtype=bool)
     repeated, place = _find(block.keys, recurring)
-    at = np.flatnonzero(repeated & block.whole)
+    repeated &= block.whole
+    at = np.flatnonzero(repeated)
     if not len(at):
         return kept
-    stream, window = block.phrases(), block.window
-    phrases = ahocorasick.Automaton()
-    marks = {}
-    for start, number in zip(at.tolist(), place[at].tolist(), strict=True):
-        phrases.add_word(stream[start : start + window], number)
-        marks[number] = bool(first_here[number])
-    phrases.make_automaton()
-    hits, numbers = [], []
+    window, stream, classes = block.window, block.phrases(), block.classes()
+    number_of = {stream[start : start + window]: n for start, n in zip(at.tolist(), place[at].tolist(), strict=True)}
+    automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
+    for start in block.anchor_places(repeated).tolist():
+        automaton.add_word(classes[start : start + block.gram])
+    automaton.make_automaton()
+    found = []
     for begin, length in zip(block.firsts.tolist(), block.lengths.tolist(), strict=True):
         if length >= window:
-            for last, number in phrases.iter(stream[begin : begin + length]):
-                hits.append(begin + last - window + 1)
-                numbers.append(number)
+            back = begin - block.gram + 1
+            found += [back + last for last, _ in automaton.iter(classes[begin : begin + length])]
+    around = np.zeros(len(kept) + 1, dtype=np.int64)  # starts of windows that hold a hit
+    spots = np.array(found)
+    np.add.at(around, np.maximum(spots - (window - block.gram), 0), 1)
+    np.add.at(around, spots + 1, -1)
+    starts = np.flatnonzero((np.cumsum(around)[: len(block.whole)] > 0) & block.whole)
+    numbers = [number_of.get(stream[start : start + window], -1) for start in starts.tolist()]
+    hits = starts[np.array(numbers) >= 0]
+    numbers = [n for n in numbers if n >= 0]
     hits, numbers = np.array(hits), np.array(numbers)
     docs, starts = block.places(hits)
     order = np.lexsort((starts, docs, numbers))
@@ -257,7 +280,7 @@ def _kept(block: Block, recurring: np.ndarray, first_here: np.ndarray) -> np.nda
     lead = order[opens][np.cumsum(opens) - 1]
     original = np.zeros(len(order), dtype=bool)
     original[order] = (docs[order] == docs[lead]) & (starts[order] == starts[lead])
-    gone = hits[~(original & np.array([marks[n] for n in numbers.tolist()]))]
+    gone = hits[~(original & first_here[numbers])]
     cover = np.zeros(len(kept) + 1, dtype=np.int64)
     np.add.at(cover, gone, 1)
     np.add.at(cover, gone + window, -1)
@@ -274,7 +297,7 @@ def remove_repeats(
     text_col: str = "text",
 ) -> DataFrame:
     """doc_id, n_words, n_removed, kept: the words that stay, single-spaced."""
-    blocks = to_blocks(narrow(docs, id_col, text_col), block_words)
+    blocks = to_blocks(narrow(docs, id_col, text_col), window, gram, block_words)
     words = blocks.agg(F.sum("n_words")).first()[0] or 0
     bits = shard_bits(words // 4, shard_keys)
 
@@ -287,10 +310,9 @@ def remove_repeats(
 
     def ask_anchors(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for n in range(batch.num_rows):
-                row = pa.Table.from_batches([batch.slice(n, 1)])
-                keys, times = np.unique(Block.of(row, window, gram).anchors()[1], return_counts=True)
-                yield from rows(row.column("block")[0].as_py(), {"keys": keys, "times": np.minimum(times, 2)}).to_batches()
+            for row in batch.to_pylist():
+                columns = {"keys": unpack_keys(row["anchors"]), "times": unpack(row["times"])}
+                yield from rows(row["block"], columns).to_batches()
 
     def ask_windows(row: pa.Table, answers: pa.Table) -> pa.Table:
         recurring = _known(answers)[0] if answers.num_rows else np.zeros(0, dtype=np.uint64)
@@ -306,15 +328,19 @@ def remove_repeats(
         keys, first = _known(answers) if answers.num_rows else (np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=bool))
         kept = _kept(block, keys, first)
         found = []
-        for key, own, begin in zip(block.ids, block.words, block.firsts.tolist(), strict=True):
-            stays = kept[begin : begin + len(own)]
-            removed = len(own) - int(stays.sum())
-            left = [w for w, k in zip(own, stays.tolist(), strict=True) if k] if removed else own
-            found.append({"doc_id": key, "n_words": len(own), "n_removed": removed, "kept": b" ".join(left).decode()})
+        for key, text, begin, size in zip(
+            block.ids, block.documents, block.firsts.tolist(), block.lengths.tolist(), strict=True
+        ):
+            stays = kept[begin : begin + size]
+            removed = size - int(stays.sum())
+            if removed:
+                text = b" ".join(itertools.compress(text.split(b" "), stays.tolist()))
+            found.append({"doc_id": key, "n_words": size, "n_removed": removed, "kept": text.decode()})
         return as_table(found, result)
 
-    asked = blocks.mapInArrow(ask_anchors, REQUEST)
+    asked = blocks.select("block", "anchors", "times").mapInArrow(ask_anchors, REQUEST)
     anchors = written(asked.groupBy("shard").applyInArrow(_recurring_anchors, ANSWER), "anchors")
+    blocks = blocks.select("block", "ids", "texts")
     asked = blocks.groupBy("block").cogroup(anchors.groupBy("block")).applyInArrow(ask_windows, REQUEST)
     windows = written(asked.groupBy("shard").applyInArrow(_recurring_windows, ANSWER), "windows")
     return blocks.groupBy("block").cogroup(windows.groupBy("block")).applyInArrow(remove, result)
