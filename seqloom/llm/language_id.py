@@ -63,9 +63,13 @@ def _logs(rows: list, languages: tuple[str, ...]) -> tuple[dict[str, int], np.nd
 
 def _sample(labelled: DataFrame, size: int) -> DataFrame:
     """About `size` rows of each language, by a hash; all rows of a language that has fewer."""
-    share = labelled.groupBy("lang").agg((F.lit(float(size)) / F.count("*")).alias("share"))
+    # One row per language, as the model has; a join would shuffle every text.
+    counts = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
+    if not counts:
+        return labelled.select("lang", "text")
+    shares = F.create_map(*(F.lit(x) for lang, n in sorted(counts.items()) for x in (lang, size / n)))
     drawn = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    return labelled.join(share, "lang").where(drawn < F.col("share")).select("lang", "text")
+    return labelled.where(drawn < shares[F.col("lang")]).select("lang", "text")
 
 
 def train(
