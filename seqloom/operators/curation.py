@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from seqloom.functions.hashing import seeded_digest
 from seqloom.operators.components import components
+from seqloom.session import written
 
 _SALTS = 64
+#: Numbers in a block of vectors, and rows of a block that are multiplied at a time.
+_CELL, _STEP = 1 << 22, 256
 
 
 def stratified_sample(docs: DataFrame, strata: list[str], per_stratum: int, seed: int = 42, key: str = "doc_id") -> DataFrame:
@@ -51,33 +58,68 @@ def filter_discovery(first: DataFrame, second: DataFrame, features: dict[str, tu
     return shares.withColumn("ratio", ratio)
 
 
-def dedup_semantic(
-    vectors: DataFrame, key: str, vector: str, label: str, least: float, planes: DataFrame | int = 8, bands: int = 6
-) -> DataFrame:
-    """key and `cluster_id`: vectors of a label joined to the lowest key of their bucket at cosine `least`.
+def _linked(left: np.ndarray, right: np.ndarray, least: float, same: bool) -> np.ndarray:
+    """The lowest place linked to each row of `left` and `right` (the same rows if `same`), over all pairs."""
+    shift = 0 if same else len(left)
+    root = np.arange(shift + len(right))
+    for first in range(0, len(left), _STEP):
+        a, b = np.nonzero(left[first : first + _STEP] @ right.T >= least)
+        a, b = a + first, b + shift
+        while len(a):
+            high, low = np.maximum(root[a], root[b]), np.minimum(root[a], root[b])
+            apart = high != low
+            a, b = a[apart], b[apart]
+            np.minimum.at(root, high[apart], low[apart])
+            while (root[root] != root).any():
+                root = root[root]
+    return root
+
+
+def _semantic_links(rows: DataFrame, label: str, least: float, block: int) -> DataFrame:
+    """(u, v): edges between the `rows` (u, label, __u), connecting all pairs of a label at cosine `least`.
+
+    A label is cut into blocks, block pairs are the jobs: each is one matrix product of which only a
+    spanning forest leaves the task. A vector goes to as many jobs as its label has blocks.
+    """
+    sized = rows.withColumn("__d", F.size("__u"))
+    count = F.ceil(F.count("*") / F.greatest(F.lit(1), F.least(F.lit(block), F.floor(F.lit(_CELL) / F.col("__d")))))
+    blocks = sized.groupBy(label, "__d").agg(count.cast("int").alias("__n"))
+    own = F.pmod(F.xxhash64("u", F.lit(1)), F.col("__n")).cast("int")
+    cut = sized.join(blocks, [label, "__d"]).withColumn("__b", own)
+    other = F.explode(F.sequence(F.lit(0), F.col("__n") - 1))
+    jobs = cut.select("u", "__u", label, "__d", "__b", other.alias("__o")).select(
+        "u", "__u", label, "__d", F.least("__b", "__o").alias("__i"), F.greatest("__b", "__o").alias("__j"), (F.col("__b") > F.col("__o")).alias("__r")
+    )
+    schema = StructType([StructField(n, rows.schema["u"].dataType) for n in ("u", "v")])
+
+    def compare(job: pa.Table) -> pa.Table:
+        job = job.sort_by("__r").combine_chunks()
+        units = pc.list_flatten(job.column("__u")).to_numpy().reshape(job.num_rows, -1)
+        half = job.num_rows - pc.sum(job.column("__r"), min_count=0).as_py()
+        same = job.column("__i")[0] == job.column("__j")[0]
+        root = _linked(units, units, least, True) if same else _linked(units[:half], units[half:], least, False)
+        moved = np.flatnonzero(root != np.arange(len(root)))
+        keys = job.column("u")
+        return pa.table({"u": keys.take(pa.array(moved)), "v": keys.take(pa.array(root[moved]))})
+
+    return jobs.groupBy(label, "__d", "__i", "__j").applyInArrow(compare, schema)
 
-    Each band is the signs of a few random hyperplanes, whose normals are hashes and so the same
-    everywhere. Members are compared with the lowest key of their bucket only, never pairwise.
+
+def dedup_semantic(vectors: DataFrame, key: str, vector: str, label: str, least: float, block: int = 1 << 14) -> DataFrame:
+    """key and `cluster_id`, the lowest key reachable over pairs of a label at cosine `least` or more.
+
+    All pairs of a label are compared: work grows with the square of its different vectors, memory of
+    a task does not. Vectors of one direction are one for that, so copies cost nothing. Vectors of no
+    direction (zero, NaN, infinite or null elements) and of different lengths link to none.
     """
     norm = F.sqrt(F.aggregate(vector, F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
     unit = F.transform(vector, lambda x: x.cast("double") / F.col("__n"))
-    rows = vectors.select(key, label, vector, norm.alias("__n")).where("__n > 0").select(key, label, unit.alias("__u"))
-
-    def side(plane: int) -> Column:
-        dot = F.aggregate(
-            F.transform("__u", lambda x, i: x * (F.pmod((i + 1) * F.lit(7919 + 104729 * plane), F.lit(1009)) - 504)),
-            F.lit(0.0),
-            lambda s, x: s + x,
-        )
-        return F.when(dot >= 0, F.lit("1")).otherwise(F.lit("0"))
-
-    cut = F.array(*(F.concat(*(side(band * planes + p) for p in range(planes))) for band in range(bands)))
-    banded = rows.select(key, label, "__u", F.posexplode(cut).alias("band", "signs"))
-    names = [label, "band", "signs"]
-    lowest = banded.groupBy(*names).agg(F.min_by(F.struct(F.col(key).alias("low"), F.col("__u").alias("v")), key).alias("b"))
-    dot = F.aggregate(F.zip_with("__u", "b.v", lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)
-    edges = banded.join(lowest, names).where((F.col(key) != F.col("b.low")) & (dot >= least))
-    roots = components(edges.select(F.col(key).alias("u"), F.col("b.low").alias("v")))
+    rows = vectors.select(F.col(key).alias("u"), label, vector, norm.alias("__n"))
+    rows = rows.where((F.col("__n") > 0) & (F.col("__n") < float("inf")) & F.col("u").isNotNull() & F.col(label).isNotNull())
+    rows = written(rows.select("u", label, unit.alias("__u")), "units")
+    single = written(rows.groupBy(label, "__u").agg(F.min("u").alias("u")), "directions")
+    copies = rows.join(single.withColumnRenamed("u", "v"), [label, "__u"]).where("u <> v").select("u", "v")
+    roots = components(copies.union(_semantic_links(single, label, least, block)))
     return vectors.select(key).join(roots.withColumnRenamed("node", key), key, "left").select(
         key, F.coalesce("root", key).alias("cluster_id")
     )

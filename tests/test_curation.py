@@ -5,6 +5,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from seqloom.operators import curation, dedup, filters, vocabulary, web
@@ -127,3 +128,29 @@ def test_strata_and_semantic_copies(spark):
     vectors = [(1, 0, [1.0, 2.0, 3.0]), (2, 0, [2.0, 4.0, 6.0]), (3, 1, [1.0, 2.0, 3.0]), (4, 0, [0.0, 0.0, 0.0]), (5, 0, [-1.0, 0.0, 1.0])]
     found = curation.dedup_semantic(spark.createDataFrame(vectors, "vec_id long, label int, v array<float>"), "vec_id", "v", "label", 0.99)
     assert {r.vec_id: r.cluster_id for r in found.collect()} == {1: 1, 2: 1, 3: 3, 4: 4, 5: 5}
+
+
+def _planted(count, copies, size=32):
+    """Random vectors of one label, and copies of some of them at cosine 0.96 or more."""
+    made = np.random.default_rng(7)
+    base = made.normal(size=(count, size))
+    near = base[:copies] + made.normal(size=(copies, size)) * np.linalg.norm(base[:copies], axis=1)[:, None] * 0.25 / math.sqrt(size)
+    return np.concatenate([base, near]).astype("float32")[made.permutation(count + copies)]
+
+
+@pytest.mark.parametrize("block", [64, 1 << 14])
+def test_semantic_copies_are_all_pairs_of_the_label(spark, block):
+    vectors = _planted(900, 300)
+    unit = vectors.astype(float) / np.linalg.norm(vectors.astype(float), axis=1)[:, None]
+    a, b = np.nonzero(unit @ unit.T >= 0.95)
+    root = np.arange(len(vectors))
+    while (root[a] != root[b]).any():
+        np.minimum.at(root, a, root[b])
+    assert (root != np.arange(len(root))).sum() > 250
+    rows = [(n, n % 2, v.tolist()) for n, v in enumerate(vectors.repeat(2, axis=0))]
+    rows += [(9000, 0, [float("nan")] * 32), (9001, 0, [float("nan")] * 32), (9002, 0, [1.0, None]), (9003, None, vectors[0].tolist()), (9004, 0, vectors[0, :5].tolist())]
+    rows += [(9005, 1, (vectors[3] * 2).tolist()), (None, 1, vectors[3].tolist())]
+    found = curation.dedup_semantic(spark.createDataFrame(rows, "vec_id long, label int, v array<float>"), "vec_id", "v", "label", 0.95, block=block)
+    got = {r.vec_id: r.cluster_id for r in found.collect()}
+    expected = {2 * n + part: 2 * int(root[n]) + part for n in range(len(root)) for part in (0, 1)}
+    assert got == expected | {n: n for n in range(9000, 9005)} | {9005: expected[7], None: None}
