@@ -13,6 +13,7 @@ from seqloom.session import written
 BLOCKED = ("ththre.example.com", "example.org", "ads.example.net")
 BASE_SOURCES = ("src0", "src1", "src2", "src3")
 VOCAB_SIZE, PER_STRATUM = 2000, 3
+LANGUAGE = "en"
 FEATURES = {"n_words": (0, 1000, 10), "n_chars": (0, 8000, 8)}
 
 
@@ -120,6 +121,45 @@ def pipeline_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found
 
 
+def pipeline_funnel_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages left after each stage of the survey's whole pipeline, and the tokens of the last.
+
+    Beside the stages of `pipeline_funnel`: pages in LANGUAGE, by profiles of `documents`; one page of
+    each MinHash cluster behind the exact copies; tokenized pages.
+    """
+    docs = fx.table(spark, sf_dir, "documents")
+    pages = written(web.extract_text(web.url_blocklist(fx.table(spark, sf_dir, "pages"), _blocked(spark))), "pages")
+    profiles = written(web.language_profiles(docs), "profiles")
+    named = web.language_id(pages, profiles, "page_id").where(F.col("predicted") == LANGUAGE).select("page_id")
+    spoken = written(pages.join(named, "page_id", "left_semi"), "spoken-pages")
+    good = filters.quality_filters(spoken, "page_id").where("kept").select("page_id")
+    good = written(spoken.join(good, "page_id", "left_semi"), "good-pages")
+    unique = written(good.join(dedup.dedup_exact(good, "page_id").select("page_id"), "page_id", "left_semi"), "unique-pages")
+    first = dedup.minhash_clusters(unique, "page_id").where("page_id = cluster_id").select("page_id")
+    single = written(unique.join(first, "page_id", "left_semi"), "single-pages")
+    signals = written(filters.heuristic_filters(single, "page_id"), "signals")
+    best = filters.heuristic_score(signals.where("kept"), "page_id").where("score >= 0.5").select("page_id")
+    scored = written(single.join(best, "page_id", "left_semi"), "scored-pages")
+    vocab = written(vocabulary.build_vocab(scored, max_size=VOCAB_SIZE), "vocabulary")
+    coded = vocabulary.encode_vocab(scored, vocab, "page_id").withColumn("n", F.size("ids")).where("n > 0")
+    stages = [
+        ("1 pages", fx.table(spark, sf_dir, "pages")),
+        ("2 allowed hosts", pages),
+        ("3 language", spoken),
+        ("4 quality", good),
+        ("5 exact copies", unique),
+        ("6 near copies", single),
+        ("7 heuristics", signals.where("kept")),
+        ("8 score", scored),
+    ]
+    found = coded.agg(F.count("*").alias("pages"), F.coalesce(F.sum("n"), F.lit(0)).alias("tokens"))
+    found = found.select(F.lit("9 tokenized").alias("stage"), "pages", "tokens")
+    for name, df in stages:
+        row = df.agg(F.count("*").alias("pages"))
+        found = found.unionByName(row.select(F.lit(name).alias("stage"), "pages", F.lit(0).cast("bigint").alias("tokens")))
+    return found
+
+
 QUERIES = {
     "extract_text": extract_text,
     "url_blocklist": url_blocklist,
@@ -136,6 +176,7 @@ QUERIES = {
     "sft_pairs": sft_pairs,
     "preference_pairs": preference_pairs,
     "pipeline_funnel": pipeline_funnel,
+    "pipeline_funnel_whole": pipeline_funnel_whole,
 }
 
 # --- the same in DuckDB SQL -----------------------------------------------------------------
@@ -258,3 +299,29 @@ r AS (SELECT prompt, max(score) - min(score) AS margin,
              first(answer ORDER BY score DESC, answer) AS chosen, first(answer ORDER BY score, answer) AS rejected FROM a GROUP BY prompt)
 SELECT * FROM r WHERE margin > 0 AND margin >= 10""",
 }
+
+
+_CLUSTERED = curation_queries.ORACLES["dedup_minhash"].replace("WITH RECURSIVE", "WITH RECURSIVE documents AS (SELECT *, NULL AS source FROM one),", 1)
+ORACLES["pipeline_funnel_whole"] = rf"""WITH a AS (SELECT page_id AS doc_id, {_text_sql("html")} AS text FROM ({_ALLOWED})),
+mixed AS (SELECT -1 - doc_id AS doc_id, text, lang FROM documents UNION ALL SELECT doc_id, text, NULL FROM a),
+p AS ({_on("mixed", ORACLES["language_id"])}),
+spoken AS (SELECT a.* FROM a JOIN p USING (doc_id) WHERE predicted = '{LANGUAGE}'),
+q AS ({_on("spoken", curation_queries.ORACLES["quality_filters"])}),
+good AS (SELECT spoken.* FROM spoken JOIN q USING (doc_id) WHERE kept),
+one AS (SELECT * FROM good QUALIFY row_number() OVER (
+  PARTITION BY trim(regexp_replace(text, '[{_S}]+', ' ', 'g'), ' ') ORDER BY doc_id) = 1),
+c AS ({_CLUSTERED}),
+single AS (SELECT one.* FROM one JOIN c USING (doc_id) WHERE doc_id = cluster_id),
+h AS ({_on("single", curation_queries.ORACLES["heuristic_filters"])}),
+x AS ({_on("single", curation_queries.ORACLES["heuristic_score"])}),
+z AS (SELECT single.*, len(regexp_extract_all(text, '{_TOKENS}')) AS n
+      FROM single JOIN h USING (doc_id) JOIN x USING (doc_id) WHERE kept AND score >= 0.5)
+SELECT '1 pages' AS stage, count(*) AS pages, 0 AS tokens FROM pages
+UNION ALL SELECT '2 allowed hosts', count(*), 0 FROM a
+UNION ALL SELECT '3 language', count(*), 0 FROM spoken
+UNION ALL SELECT '4 quality', count(*), 0 FROM good
+UNION ALL SELECT '5 exact copies', count(*), 0 FROM one
+UNION ALL SELECT '6 near copies', count(*), 0 FROM single
+UNION ALL SELECT '7 heuristics', count(*), 0 FROM h WHERE kept
+UNION ALL SELECT '8 score', count(*), 0 FROM z
+UNION ALL SELECT '9 tokenized', count(*), CAST(coalesce(sum(n), 0) AS BIGINT) FROM z WHERE n > 0"""

@@ -10,6 +10,7 @@ import pytest
 
 from seqloom.operators import curation, dedup, filters, vocabulary, web
 from seqloom.operators.components import components
+from seqloom.plans import web_queries
 
 TEXTS = [None, "", " \n\t", "one", "One  two", "a b c d e f g", "a b\tc d e f g ", "x " * 500, "the be to of, and that. 12 #$ é"]
 
@@ -154,3 +155,9 @@ def test_semantic_copies_are_all_pairs_of_the_label(spark, block):
     got = {r.vec_id: r.cluster_id for r in found.collect()}
     expected = {2 * n + part: 2 * int(root[n]) + part for n in range(len(root)) for part in (0, 1)}
     assert got == expected | {n: n for n in range(9000, 9005)} | {9005: expected[7], None: None}
+
+
+def test_whole_funnel_drops_other_languages_and_near_copies(spark, sf_dir):
+    rows = {r.stage[2:]: r for r in web_queries.pipeline_funnel_whole(spark, sf_dir).collect()}
+    assert rows["language"].pages < rows["allowed hosts"].pages and rows["near copies"].pages < rows["exact copies"].pages
+    assert rows["tokenized"].pages == rows["score"].pages > 0 and rows["tokenized"].tokens > 0
