@@ -101,6 +101,7 @@ def exact_groups(
     last = F.coalesce(F.max_by("row", "doc_id"), F.min("row")).alias("keep_row")
     groups = rows.where("digest IS NOT NULL").groupBy("size", "digest")
     groups = groups.agg(F.count("*").alias("n"), F.max("doc_id").alias("keep_id"), last).where("n > 1")
+    groups = written(groups, "groups")  # read back, so that the join below is dealt anew and a large group is split
     told_apart = rows.where("digest IS NULL").select(
         "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "carry"
     )
