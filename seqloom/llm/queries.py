@@ -1,6 +1,6 @@
 """Registered queries of this package and the SQL they must agree with, where SQL can say it."""
 
-from seqloom.llm import bpe, decontaminate, exact_dedup, language_id, ngram_model, pii, quality_rules, secret_scan, simhash, substring_dedup, toxicity
+from seqloom.llm import bpe, decontaminate, exact_dedup, language_id, ngram_model, periodic_runs, pii, quality_rules, secret_scan, simhash, substring_dedup, toxicity
 
 QUERIES = {
     "op1_pii": pii.op1_pii,
@@ -13,6 +13,7 @@ QUERIES = {
     "op8_language_id": language_id.op8_language_id,
     "op9_substring_dedup": substring_dedup.op9_substring_dedup,
     "op10_ngram_model": ngram_model.op10_ngram_model,
+    "op11_periodic_runs": periodic_runs.op11_periodic_runs,
     "op13_exact_dedup": exact_dedup.op13_exact_dedup,
 }
 
@@ -20,5 +21,6 @@ ORACLES = {
     "op5_quality_rules": quality_rules.ORACLE,
     "op7_decontaminate": decontaminate.ORACLE,
     "op9_substring_dedup": substring_dedup.ORACLE,
+    "op11_periodic_runs": periodic_runs.ORACLE,
     "op13_exact_dedup": exact_dedup.ORACLE,
 }
