@@ -112,7 +112,8 @@ class Codec:
             level = pairs + level[len(pairs) * 2 :]
         return level[0]
 
-    def _ordinary(self, text: str) -> list[int]:
+    def encode_ordinary(self, text: str) -> list[int]:
+        """The encoding of a text in which the strings of special tokens are ordinary text."""
         if len(text) < self.leaf // 4 or not self._unsplit.search(text):
             return self._base.encode_ordinary(text)
         ids: list[int] = []
@@ -123,13 +124,13 @@ class Codec:
 
     def encode(self, text: str) -> list[int]:
         if self._specials is None or not self._specials.search(text):
-            return self._ordinary(text)
+            return self.encode_ordinary(text)
         ids: list[int] = []
         for part in self._specials.split(text):
             if part in self.special:
                 ids.append(self.special[part])
             elif part:
-                ids += self._ordinary(part)
+                ids += self.encode_ordinary(part)
         return ids
 
     def decode(self, ids: list[int]) -> str:

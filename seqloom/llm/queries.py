@@ -1,6 +1,20 @@
 """Registered queries of this package and the SQL they must agree with, where SQL can say it."""
 
-from seqloom.llm import bpe, decontaminate, exact_dedup, language_id, ngram_model, periodic_runs, pii, quality_rules, secret_scan, simhash, substring_dedup, toxicity
+from seqloom.llm import (
+    alignment,
+    bpe,
+    decontaminate,
+    exact_dedup,
+    language_id,
+    ngram_model,
+    periodic_runs,
+    pii,
+    quality_rules,
+    secret_scan,
+    simhash,
+    substring_dedup,
+    toxicity,
+)
 
 QUERIES = {
     "op1_pii": pii.op1_pii,
@@ -14,6 +28,7 @@ QUERIES = {
     "op9_substring_dedup": substring_dedup.op9_substring_dedup,
     "op10_ngram_model": ngram_model.op10_ngram_model,
     "op11_periodic_runs": periodic_runs.op11_periodic_runs,
+    "op12_token_alignment": alignment.op12_token_alignment,
     "op13_exact_dedup": exact_dedup.op13_exact_dedup,
 }
 
