@@ -29,6 +29,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +43,9 @@ from seqloom.llm.common import long_field, narrow, per_slice, string_field, tabl
 from seqloom.session import written
 
 #: Terms of a product that are held at a time.
-PRODUCTS = 1 << 20
+PRODUCTS = 1 << 18
+#: Characters of the texts that are aligned together.
+CHARACTERS = 1 << 17
 
 
 @dataclass
@@ -70,9 +73,10 @@ class Csr:
 
     def transposed(self) -> Csr:
         rows = np.repeat(np.arange(self.height), np.diff(self.ends))
-        order = np.argsort(self.columns, kind="stable")
+        if (self.columns[1:] < self.columns[:-1]).any():
+            rows = rows[np.argsort(self.columns, kind="stable")]
         ends = np.concatenate([[0], np.cumsum(np.bincount(self.columns, minlength=self.width))])
-        return Csr(ends, rows[order], self.height)
+        return Csr(ends, rows, self.height)
 
     def terms(self, other: Csr) -> np.ndarray:
         """The number of terms of each row of the product: the symbolic pass."""
@@ -91,8 +95,12 @@ class Csr:
             inside = np.arange(count) - np.repeat(np.cumsum(size) - size, size)
             columns = other.columns[np.repeat(begin, size) + inside]
             rows = np.repeat(np.arange(first, last), np.diff(total)[first:last])
-            cells, values = np.unique(rows * other.width + columns, return_counts=True)
-            yield cells // other.width, cells % other.width, values
+            cells = rows * other.width + columns
+            if (cells[1:] < cells[:-1]).any():  # never in products of stretches
+                order = np.argsort(cells, kind="stable")
+                cells, rows, columns = cells[order], rows[order], columns[order]
+            new = np.flatnonzero(np.concatenate([[True], cells[1:] != cells[:-1]])[:count])
+            yield rows[new], columns[new], np.diff(new, append=count)
             first = last
 
 
@@ -111,6 +119,18 @@ def groups_of(a: Csr, b: Csr) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     return left, right, group_a, group_b, overlaps
 
 
+def _offsets(table: pa.Array) -> np.ndarray:
+    return np.frombuffer(table.buffers()[1], np.int64)[table.offset : table.offset + len(table) + 1]
+
+
+def _joined(table: pa.Array, places: np.ndarray) -> tuple[bytes, np.ndarray]:
+    """The entries of `table` at `places`, joined, and where each begins (and the last one ends)."""
+    if not len(places):
+        return b"", np.zeros(1, np.int64)
+    taken = table.take(pa.array(places))
+    return taken.buffers()[2].to_pybytes(), _offsets(taken)
+
+
 class Aligner:
     """The two tokenizers, the bytes of their tokens, and the alignment of the texts of a slice."""
 
@@ -120,69 +140,67 @@ class Aligner:
 
         self._a = Codec.of(byte_level)
         self._b = sentencepiece.SentencePieceProcessor(model_file=pieces or public_tokenizers.path("piece_bpe_32k.model"))
-        size = self._b.get_piece_size()
-        self.size_b = size
-        self.bytes_a = self._a.bytes_of
-        self.bytes_b = [self._piece(i) for i in range(size)]
-        self.length_a = np.zeros(max(self.bytes_a) + 1, np.int64)
-        self.length_a[list(self.bytes_a)] = [len(x) for x in self.bytes_a.values()]
-        self.length_b = np.array([len(x) for x in self.bytes_b], np.int64)
-        self._inner = [f"{i}," for i in range(max(len(self.length_a), size))]
-        self._last = [[f"{i}|" for i in range(len(self.length_a))], [f"{i};" for i in range(size)]]
+        self.size_a, self.size_b = max(self._a.bytes_of) + 1, self._b.get_piece_size()
+        self._bytes_a = pa.array([self._a.bytes_of.get(i, b"") for i in range(self.size_a)], pa.large_binary())
+        self._bytes_b = pa.array([self._piece(i) for i in range(self.size_b)], pa.large_binary())
+        self.length_a, self.length_b = (np.diff(_offsets(x)) for x in (self._bytes_a, self._bytes_b))
+        # ids as they stand in a list of groups: inside their side of a group, and as its last
+        sides = ((self.size_a, "|"), (self.size_b, ";"))
+        self._shown = pa.array([f"{i}{end}" for size, close in sides for i in range(size) for end in (",", close)], pa.large_string())
 
     def _piece(self, i: int) -> bytes:
         piece = self._b.id_to_piece(i)
         return bytes([int(piece[3:5], 16)]) if self._b.is_byte(i) else piece.replace("▁", " ").encode()
 
-    def tokens(self, texts: list[str | None]) -> list[tuple[list[int], list[int]]]:
-        """The ids of both sides; none where either side does not give back the space and the text."""
-        found = []
-        for text, b in zip(texts, self._b.encode([text or "" for text in texts], num_threads=1), strict=True):
-            a: list[int] = []
-            if text:
-                whole = " " + text
-                a = self._a.encode_ordinary(whole)
-                raw = whole.encode()
-                same = b"".join(map(self.bytes_b.__getitem__, b)) == raw and b"".join(map(self.bytes_a.__getitem__, a)) == raw
-                a, b = (a, b) if same else ([], [])
-            found.append((a, b if text else []))
-        return found
-
-    def shown(self, a: np.ndarray, b: np.ndarray, group_a: np.ndarray, group_b: np.ndarray) -> str:
-        """a1,a2|b1;a3|b2,b3 for the tokens of one text and their groups."""
-        group = np.concatenate([group_a, group_b])
-        side = np.repeat([0, 1], [len(a), len(b)])
-        order = np.argsort(2 * group + side, kind="stable")
-        ids, group, side = np.concatenate([a, b])[order], group[order], side[order]
-        last = np.ones(len(ids), bool)
-        last[:-1] = (group[1:] != group[:-1]) | (side[1:] != side[:-1])
-        parts = list(map(self._inner.__getitem__, ids.tolist()))
-        for n in np.flatnonzero(last).tolist():
-            parts[n] = self._last[side[n]][ids[n]]
-        return "".join(parts)[:-1]
+    def tokens(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ids of both sides, and where each text's begin and end in them (a row per text and one more).
+
+        A text has none where either side does not give back the space and the text.
+        """
+        raw = [f" {text}".encode() if text else b"" for text in texts]
+        sides = (
+            ([self._a.encode_ordinary(" " + text) if text else [] for text in texts], self._bytes_a),
+            (self._b.encode([text or "" for text in texts], num_threads=1), self._bytes_b),
+        )
+        fits = np.ones(len(texts), bool)
+        made = []
+        for ids, table in sides:
+            flat = np.fromiter(chain.from_iterable(ids), np.int64)
+            at = np.concatenate([[0], np.cumsum([len(own) for own in ids])])
+            data, ends = _joined(table, flat)
+            ends = ends[at].tolist()
+            fits &= [data[i:j] == own for i, j, own in zip(ends, ends[1:], raw, strict=False)]
+            made.append((flat, np.diff(at)))
+        kept = [flat[np.repeat(fits, counts)] for flat, counts in made]
+        counts = np.stack([counts * fits for _, counts in made], axis=1)
+        return *kept, np.concatenate([np.zeros((1, 2), np.int64), np.cumsum(counts, axis=0)])
+
+    def _listed(self, a: np.ndarray, b: np.ndarray, group_a: np.ndarray, group_b: np.ndarray) -> tuple[bytes, np.ndarray]:
+        """The groups as a1,a2|b1;a3|b2,b3; and where each token, in that order, begins."""
+        codes = np.empty(len(a) + len(b), np.int64)
+        last_a, last_b = (np.diff(group, append=-1) != 0 for group in (group_a, group_b))
+        codes[np.arange(len(a)) + np.searchsorted(group_b, group_a)] = 2 * a + last_a
+        codes[np.arange(len(b)) + np.searchsorted(group_a, group_b, "right")] = 2 * (self.size_a + b) + last_b
+        return _joined(self._shown, codes)
 
     def align(self, texts: list[str | None]) -> Iterator[Aligned]:
         """The alignment of each text."""
-        tokens = self.tokens(texts)
-        counts = np.array([(len(a), len(b)) for a, b in tokens], np.int64).reshape(-1, 2)
-        at = np.concatenate([np.zeros((1, 2), np.int64), np.cumsum(counts, axis=0)])
-        a = np.array([i for own, _ in tokens for i in own], np.int64)
-        b = np.array([i for _, own in tokens for i in own], np.int64)
+        a, b, at = self.tokens(texts)
         if not len(a):
             for _ in texts:
-                yield Aligned(self, a, b, a, a, a, a, 0, 0)
+                yield Aligned(self, a, b, a, a, a, a, 0, 0, b"")
             return
         by_byte_a, by_byte_b = Csr.stretches(self.length_a[a]), Csr.stretches(self.length_b[b])
         left, right, group_a, group_b, overlaps = groups_of(by_byte_a, by_byte_b)
         by_group_a, by_group_b = Csr.labels(group_a, len(left)), Csr.labels(group_b, len(left))
         shared = np.concatenate([[0], np.cumsum(by_group_a.terms(by_group_b.transposed()))])
         overlaps = np.concatenate([[0], np.cumsum(overlaps)])
+        data, begins = self._listed(a, b, group_a, group_b)
         for (i, j), (k, m) in zip(at, at[1:], strict=False):
-            of = slice(*np.searchsorted(left, [i, k]))
-            first = of.start
+            first, end = np.searchsorted(left, [i, k])
             yield Aligned(
-                self, a[i:k], b[j:m], left[of] - i, right[of] - j, group_a[i:k] - first, group_b[j:m] - first,
-                int(overlaps[k] - overlaps[i]), int(shared[k] - shared[i]),
+                self, a[i:k], b[j:m], left[first:end] - i, right[first:end] - j, group_a[i:k] - first, group_b[j:m] - first,
+                int(overlaps[k] - overlaps[i]), int(shared[k] - shared[i]), data[begins[i + j] : begins[k + m]][:-1],
             )
 
 
@@ -199,14 +217,13 @@ class Aligned:
     group_b: np.ndarray
     n_overlaps: int
     n_shared: int
+    #: The groups, as a1,a2|b1;a3|b2,b3.
+    listed: bytes
 
     def pairs(self) -> np.ndarray:
         """The id pairs of the links that end together, one number each."""
         return self.a[self.left] * self.aligner.size_b + self.b[self.right]
 
-    def groups(self) -> str:
-        return self.aligner.shown(self.a, self.b, self.group_a, self.group_b) if len(self.a) else ""
-
     def links(self, kind: str) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """(places in A, places in B, values) of the product of `kind`: "overlap" or "shared"."""
         if kind == "overlap":
@@ -232,16 +249,16 @@ def alignments(
         aligner = Aligner(byte_level, pieces)
 
         def values(found: Aligned) -> tuple:
-            shown, n = found.groups(), len(found.left)
-            digest = hashlib.sha256(shown.encode()).hexdigest() if shown else ""
+            n = len(found.left)
+            digest = hashlib.sha256(found.listed).hexdigest() if n else ""
             row = len(found.a), len(found.b), n, n, found.n_overlaps, found.n_shared, digest, found.pairs()
-            return (*row, shown) if with_groups else row
+            return (*row, found.listed.decode()) if with_groups else row
 
         return lambda texts: [values(found) for found in aligner.align(texts)]
 
     counts = [long_field(name) for name in ("n_a", "n_b", "n_groups", "n_links", "n_overlaps", "n_shared")]
     fields = [*counts, string_field("groups_sha256"), StructField("pairs", ArrayType(LongType()))]
-    return per_slice(narrow(docs, id_col, text_col), prepare, fields + [string_field("groups")] * with_groups)
+    return per_slice(narrow(docs, id_col, text_col), prepare, fields + [string_field("groups")] * with_groups, CHARACTERS)
 
 
 def token_links(

@@ -92,11 +92,14 @@ def per_document(
 
 
 def per_slice(
-    docs: DataFrame, prepare: Callable[[], Callable[[list[str | None]], list[tuple]]], fields: list[StructField]
+    docs: DataFrame,
+    prepare: Callable[[], Callable[[list[str | None]], list[tuple]]],
+    fields: list[StructField],
+    characters: int = SLICE_CHARACTERS,
 ) -> DataFrame:
     """As `per_document`, with one call for the texts of a slice.
 
-    A slice has at most `SLICE` texts and `SLICE_CHARACTERS` characters, or one text that is longer.
+    A slice has at most `SLICE` texts and `characters` characters, or one text that is longer.
     """
     schema = StructType([docs.schema["doc_id"], *fields])
     arrow = to_arrow_schema(schema)
@@ -105,7 +108,7 @@ def per_slice(
         first = held = 0
         for n, text in enumerate(texts):
             length = len(text or "")
-            if n > first and (n - first == SLICE or held + length > SLICE_CHARACTERS):
+            if n > first and (n - first == SLICE or held + length > characters):
                 yield first, n
                 first, held = n, 0
             held += length

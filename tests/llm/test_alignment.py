@@ -98,8 +98,7 @@ def test_query(spark, tmp_path, libraries):
 
 
 @pytest.mark.parametrize("kind", ["overlap", "shared"])
-def test_links(spark, libraries, kind, monkeypatch):
-    monkeypatch.setattr(alignment, "PRODUCTS", 16)
+def test_links(spark, libraries, kind):
     made = texts()[:30]
     docs = spark.createDataFrame(list(enumerate(made)), "doc_id long, text string")
     got = {(r.doc_id, r.place_a, r.place_b, r.id_a, r.id_b, r.value) for r in alignment.token_links(docs, kind).collect()}

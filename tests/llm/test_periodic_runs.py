@@ -8,7 +8,7 @@ import zlib
 import pytest
 
 from seqloom.llm import periodic_runs as pr
-from seqloom.llm.common import per_slice
+from seqloom.llm.common import long_field, per_slice
 
 
 def plain_runs(words):
@@ -100,12 +100,9 @@ def test_query(spark, tmp_path):
     assert pr.periodic_runs(docs.limit(0)).count() == 0
 
 
-def test_slices_hold_few_characters(spark, monkeypatch):
-    from seqloom.llm import common
-
-    monkeypatch.setattr(common, "SLICE_CHARACTERS", 10)
+def test_slices_hold_few_characters(spark):
     docs = spark.createDataFrame([(n, "x" * n) for n in range(20)], "doc_id long, text string").coalesce(1)
-    sizes = per_slice(docs, lambda: lambda texts: [(len(texts),) for _ in texts], [common.long_field("n")]).collect()
+    sizes = per_slice(docs, lambda: lambda texts: [(len(texts),) for _ in texts], [long_field("n")], 10).collect()
     assert [r.doc_id for r in sizes] == list(range(20))
     assert [r.n for r in sizes][:6] == [5, 5, 5, 5, 5, 1]
     assert all(r.n == 1 for r in sizes[6:])
