@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterable, Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -17,6 +20,8 @@ from seqloom.session import written
 _SALTS = 64
 #: Numbers in a block of vectors, and rows of a block that are multiplied at a time.
 _CELL, _STEP = 1 << 22, 256
+#: Most centres of cells, and rows for each that they are fitted on.
+_CENTRES, _FIT = 4096, 64
 
 
 def stratified_sample(docs: DataFrame, strata: list[str], per_stratum: int, seed: int = 42, key: str = "doc_id") -> DataFrame:
@@ -75,20 +80,81 @@ def _linked(left: np.ndarray, right: np.ndarray, least: float, same: bool) -> np
     return root
 
 
-def _semantic_links(rows: DataFrame, label: str, least: float, block: int) -> DataFrame:
-    """(u, v): edges between the `rows` (u, label, __u), connecting all pairs of a label at cosine `least`.
+def _cell_centres(rows: DataFrame, count: int) -> np.ndarray:
+    """k-means centres of `rows` (__u), fitted on at most about `_FIT` rows for each centre."""
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.functions import array_to_vector
+
+    share = min(1.0, _FIT * count / max(1, rows.count()))
+    drawn = rows.where(F.pmod(F.xxhash64("u", F.lit(2)), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
+    model = KMeans(k=count, maxIter=8, seed=42, initMode="random").fit(drawn.select(array_to_vector("__u").alias("features")))
+    return np.array(model.clusterCenters())
+
+
+def _visited(units: np.ndarray, centres: np.ndarray, margin: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(places, cells, at home): the nearest cell of each vector, and those whose border is within `margin`."""
+    lengths = (centres * centres).sum(axis=1)
+    for first in range(0, len(units), _STEP):
+        part = units[first : first + _STEP]
+        far = lengths - 2 * part @ centres.T
+        home = far.argmin(axis=1)
+        apart = np.sqrt(np.maximum(lengths + lengths[home][:, None] - 2 * centres[home] @ centres.T, 0))
+        near = far - far[np.arange(len(part)), home][:, None] <= 2 * apart * margin + 1e-9
+        place, cell = np.nonzero(near)
+        yield place + first, cell, cell == home[place]
 
-    A label is cut into blocks, block pairs are the jobs: each is one matrix product of which only a
-    spanning forest leaves the task. A vector goes to as many jobs as its label has blocks.
+
+def _in_cells(rows: DataFrame, label: str, least: float, cell: int, border: float | None) -> DataFrame:
+    """`rows` with `__c`, a cell of their label, and `__h`, whether it is their own: a row per cell visited.
+
+    A label of up to `cell` vectors is one cell. The centres of the others are as many as the largest
+    of them needs, at most `_CENTRES`, and the same for all labels: their size is bounded, so tasks get them whole.
+    """
+    one = rows.withColumns({"__c": F.lit(0), "__h": F.lit(True)})
+    sizes = rows.groupBy(label, "__d").agg(F.count("*").alias("__n"))
+    large = written(sizes.where(F.col("__n") > cell), "large-labels")
+    most = {r["__d"]: r["m"] for r in large.groupBy("__d").agg(F.max("__n").alias("m")).collect()}
+    if not most:
+        return one
+    found = one.join(large.select(label, "__d"), [label, "__d"], "left_anti").select(one.columns)
+    for size, count in most.items():
+        own = written(rows.where(F.col("__d") == size).join(large.select(label, "__d"), [label, "__d"], "left_semi").select(rows.columns), "large")
+        centres = _cell_centres(own, max(2, min(_CENTRES, -(-2 * count // cell))))
+        share = min(0.5, 1.6 / math.sqrt(size)) if border is None else border
+        margin = share * math.sqrt(max(0.0, 2 - 2 * least))
+        known = rows.sparkSession.sparkContext.broadcast(centres)
+
+        def assign(batches: Iterable[pa.RecordBatch], known=known, margin=margin) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                units = batch.column("__u").flatten().to_numpy().reshape(batch.num_rows, -1)
+                for place, cells, home in _visited(units, known.value, margin):
+                    part = batch.take(pa.array(place))
+                    yield part.append_column("__c", pa.array(cells.astype(np.int32))).append_column("__h", pa.array(home))
+
+        found = found.union(own.mapInArrow(assign, one.schema))
+    return found
+
+
+def _semantic_links(rows: DataFrame, label: str, least: float, block: int, cell: int, border: float | None) -> DataFrame:
+    """(u, v): edges between the `rows` (u, label, __u), connecting the pairs of a label at cosine `least`.
+
+    A vector is compared with all that are at home in a cell that it visits or lives in. A cell is cut
+    into blocks, those at home first; block pairs with one of them are the jobs, and each is a matrix
+    product of which only a spanning forest leaves the task.
     """
     sized = rows.withColumn("__d", F.size("__u"))
-    count = F.ceil(F.count("*") / F.greatest(F.lit(1), F.least(F.lit(block), F.floor(F.lit(_CELL) / F.col("__d")))))
-    blocks = sized.groupBy(label, "__d").agg(count.cast("int").alias("__n"))
-    own = F.pmod(F.xxhash64("u", F.lit(1)), F.col("__n")).cast("int")
-    cut = sized.join(blocks, [label, "__d"]).withColumn("__b", own)
-    other = F.explode(F.sequence(F.lit(0), F.col("__n") - 1))
-    jobs = cut.select("u", "__u", label, "__d", "__b", other.alias("__o")).select(
-        "u", "__u", label, "__d", F.least("__b", "__o").alias("__i"), F.greatest("__b", "__o").alias("__j"), (F.col("__b") > F.col("__o")).alias("__r")
+    placed = written(_in_cells(sized, label, least, cell, border), "cells")
+    wide = F.greatest(F.lit(1), F.least(F.lit(block), F.floor(F.lit(_CELL) / F.col("__d"))))
+    at_home, all_of = F.count_if("__h"), F.count("*")
+    blocks = placed.groupBy(label, "__d", "__c").agg(
+        F.ceil(at_home / wide).cast("int").alias("__n"), F.ceil((all_of - at_home) / wide).cast("int").alias("__v")
+    )
+    hashed = F.xxhash64("u", F.lit(1))
+    own = F.when(F.col("__h"), F.pmod(hashed, F.col("__n"))).otherwise(F.col("__n") + F.pmod(hashed, F.col("__v"))).cast("int")
+    cut = placed.join(blocks, [label, "__d", "__c"]).where("__n > 0").withColumn("__b", own)
+    last = F.when(F.col("__h"), F.col("__n") + F.col("__v")).otherwise(F.col("__n")) - 1
+    jobs = cut.select("u", "__u", label, "__d", "__c", "__b", F.explode(F.sequence(F.lit(0), last)).alias("__o")).select(
+        "u", "__u", label, "__d", "__c", F.least("__b", "__o").alias("__i"), F.greatest("__b", "__o").alias("__j"), (F.col("__b") > F.col("__o")).alias("__r")
     )
     schema = StructType([StructField(n, rows.schema["u"].dataType) for n in ("u", "v")])
 
@@ -102,24 +168,41 @@ def _semantic_links(rows: DataFrame, label: str, least: float, block: int) -> Da
         keys = job.column("u")
         return pa.table({"u": keys.take(pa.array(moved)), "v": keys.take(pa.array(root[moved]))})
 
-    return jobs.groupBy(label, "__d", "__i", "__j").applyInArrow(compare, schema)
+    return jobs.groupBy(label, "__d", "__c", "__i", "__j").applyInArrow(compare, schema)
 
 
-def dedup_semantic(vectors: DataFrame, key: str, vector: str, label: str, least: float, block: int = 1 << 14) -> DataFrame:
+def dedup_semantic(
+    vectors: DataFrame,
+    key: str,
+    vector: str,
+    label: str,
+    least: float,
+    block: int = 1 << 14,
+    cell: int = 1 << 13,
+    border: float | None = None,
+) -> DataFrame:
     """key and `cluster_id`, the lowest key reachable over pairs of a label at cosine `least` or more.
 
-    All pairs of a label are compared: work grows with the square of its different vectors, memory of
-    a task does not. Vectors of one direction are one for that, so copies cost nothing. Vectors of no
-    direction (zero, NaN, infinite or null elements) and of different lengths link to none.
+    A label of up to `cell` vectors is compared whole. A larger one is cut into cells around k-means
+    centres: each vector lives in its nearest cell and visits those whose border it is close to, and is
+    compared with all that live where it lives or visits. Two vectors at `least` are at most
+    d = sqrt(2 - 2 least) apart, so that of two across a border one is within d / 2 of it: `border=0.5`
+    finds every pair. By default it is 1.6 / sqrt(elements), at most 0.5, which misses a pair only if the
+    border cuts it some three standard deviations off its usual slant. `border=0.5` or a `cell` beyond
+    the largest label are the exact modes; no pair below `least` is ever linked.
+
+    Vectors of one direction are one for that, so copies cost nothing. Vectors of no direction (zero,
+    NaN, infinite or null elements), null keys or null labels, and different lengths link to none; repeated
+    rows give repeated results; an empty table gives an empty table; other columns are never looked at.
     """
-    norm = F.sqrt(F.aggregate(vector, F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
-    unit = F.transform(vector, lambda x: x.cast("double") / F.col("__n"))
-    rows = vectors.select(F.col(key).alias("u"), label, vector, norm.alias("__n"))
-    rows = rows.where((F.col("__n") > 0) & (F.col("__n") < float("inf")) & F.col("u").isNotNull() & F.col(label).isNotNull())
-    rows = written(rows.select("u", label, unit.alias("__u")), "units")
-    single = written(rows.groupBy(label, "__u").agg(F.min("u").alias("u")), "directions")
-    copies = rows.join(single.withColumnRenamed("u", "v"), [label, "__u"]).where("u <> v").select("u", "v")
-    roots = components(copies.union(_semantic_links(single, label, least, block)))
+    norm = F.sqrt(F.aggregate("__w", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
+    unit = F.transform("__w", lambda x: x.cast("double") / F.col("__n"))
+    rows = vectors.select(F.col(key).alias("u"), F.col(label).alias("__l"), F.col(vector).alias("__w")).withColumn("__n", norm)
+    rows = rows.where((F.col("__n") > 0) & (F.col("__n") < float("inf")) & F.col("u").isNotNull() & F.col("__l").isNotNull())
+    rows = written(rows.select("u", "__l", unit.alias("__u")), "units")
+    single = written(rows.groupBy("__l", "__u").agg(F.min("u").alias("u")).select("u", "__l", "__u"), "directions")
+    copies = rows.join(single.withColumnRenamed("u", "v"), ["__l", "__u"]).where("u <> v").select("u", "v")
+    roots = components(copies.union(_semantic_links(single, "__l", least, block, cell, border)))
     return vectors.select(key).join(roots.withColumnRenamed("node", key), key, "left").select(
         key, F.coalesce("root", key).alias("cluster_id")
     )

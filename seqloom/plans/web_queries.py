@@ -78,7 +78,17 @@ def filter_discovery(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dedup_semantic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return curation.dedup_semantic(fx.table(spark, sf_dir, "embeddings"), "vec_id", "embedding", "label", 0.95)
+    return curation.dedup_semantic(fx.table(spark, sf_dir, "embeddings"), "vec_id", "embedding", "label", 0.95, border=0.5)
+
+
+def dedup_semantic_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The vectors and a changed copy of each, in cells of 32: even ids stay within the similarity, odd ones do not."""
+    vectors = fx.table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
+    factor = lambda i: 1 + (F.pmod(F.col("vec_id") * 31 + i * 17, F.lit(7)) - 3) / 3 * (1 + F.col("vec_id") % 2) * 0.25
+    changed = F.transform("embedding", lambda x, i: x.cast("double") * factor(i))
+    whole = vectors.withColumn("embedding", F.col("embedding").cast("array<double>"))
+    copies = vectors.withColumn("embedding", changed).withColumn("vec_id", -1 - F.col("vec_id"))
+    return curation.dedup_semantic(whole.unionByName(copies), "vec_id", "embedding", "label", 0.95, cell=32, border=0.5)
 
 
 def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -172,6 +182,7 @@ QUERIES = {
     "stratified_sample": stratified_sample,
     "filter_discovery": filter_discovery,
     "dedup_semantic": dedup_semantic,
+    "dedup_semantic_copies": dedup_semantic_copies,
     "quality_classifier": quality_classifier,
     "sft_pairs": sft_pairs,
     "preference_pairs": preference_pairs,
@@ -194,6 +205,18 @@ def _text_sql(html: str) -> str:
     return f"trim(regexp_replace({text}, '[{_S}]+', ' ', 'g'), ' ')"
 
 
+def _semantic_sql(vectors: str) -> str:
+    """All pairs of a label, and what they reach."""
+    return f"""WITH RECURSIVE v AS ({vectors}),
+n AS (SELECT *, sqrt(list_sum(list_transform(e, lambda x: x * x))) AS norm FROM v),
+u AS (SELECT vec_id, label, list_transform(e, lambda x: x / norm) AS e FROM n WHERE norm > 0),
+m AS (SELECT x.vec_id AS a, y.vec_id AS b FROM u x JOIN u y ON x.label = y.label AND x.vec_id <> y.vec_id
+      WHERE list_dot_product(x.e, y.e) >= 0.95),
+reach(a, b) AS (SELECT a, b FROM m UNION SELECT reach.a, m.b FROM reach JOIN m ON reach.b = m.a)
+SELECT vec_id, least(vec_id, coalesce(low, vec_id)) AS cluster_id
+FROM v LEFT JOIN (SELECT a, min(b) AS low FROM reach GROUP BY a) ON a = vec_id"""
+
+
 _HOST = r"regexp_extract(lower(coalesce(url, '')), '^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)', 1)"
 _ALLOWED = f"""SELECT * FROM pages WHERE len(list_filter([{", ".join(f"'{h}'" for h in BLOCKED)}],
     lambda b: {_HOST} = b OR ends_with({_HOST}, '.' || b))) = 0"""
@@ -275,17 +298,10 @@ p AS (SELECT feature, bucket, coalesce(max(CASE WHEN side = 'first' THEN share E
              coalesce(max(CASE WHEN side = 'second' THEN share END), 0) AS s FROM h GROUP BY ALL)
 SELECT feature, bucket, round(f, 6) AS first_share, round(s, 6) AS second_share,
        round(CASE WHEN s > 0 THEN f / s END, 6) AS ratio FROM p""",
-    "dedup_semantic": """WITH RECURSIVE n AS (
-  SELECT vec_id, label, embedding AS e, sqrt(list_sum(list_transform(embedding, lambda x: x::DOUBLE * x::DOUBLE))) AS norm FROM embeddings),
-u AS (SELECT vec_id, label, list_transform(e, lambda x: x::DOUBLE / norm) AS e FROM n WHERE norm > 0),
-s AS (SELECT vec_id, label, e, band, string_agg(CASE WHEN list_sum(list_transform(e, lambda x, i: x * (i * (7919 + 104729 * (band * 8 + p)) % 1009 - 504))) >= 0
-             THEN '1' ELSE '0' END, '' ORDER BY p) AS signs FROM u, range(0, 6) AS b(band), range(0, 8) AS q(p) GROUP BY ALL),
-l AS (SELECT label, band, signs, min(vec_id) AS low, arg_min(e, vec_id) AS v FROM s GROUP BY ALL),
-g AS (SELECT DISTINCT vec_id AS a, low AS b FROM s JOIN l USING (label, band, signs) WHERE vec_id <> low AND list_dot_product(e, v) >= 0.95),
-m AS (SELECT a, b FROM g UNION SELECT b, a FROM g),
-reach(a, b) AS (SELECT a, b FROM m UNION SELECT reach.a, m.b FROM reach JOIN m ON reach.b = m.a)
-SELECT vec_id, least(vec_id, coalesce(low, vec_id)) AS cluster_id
-FROM embeddings LEFT JOIN (SELECT a, min(b) AS low FROM reach GROUP BY a) ON a = vec_id""",
+    "dedup_semantic": _semantic_sql("SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings"),
+    "dedup_semantic_copies": _semantic_sql("""SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings UNION ALL
+        SELECT -1 - vec_id, label, list_transform(embedding,
+            lambda x, i: x::DOUBLE * (1 + ((vec_id * 31 + (i - 1) * 17) % 7 - 3) / 3 * (1 + vec_id % 2) * 0.25)) FROM embeddings"""),
     "sft_pairs": """SELECT conv_id, turn, context, prompt, response FROM (
         SELECT conv_id, turn, role, text AS prompt, lead(role) OVER w AS following, lead(text) OVER w AS response,
                coalesce(string_agg(role || ': ' || text, chr(10)) OVER (PARTITION BY conv_id ORDER BY turn

@@ -157,6 +157,50 @@ def test_semantic_copies_are_all_pairs_of_the_label(spark, block):
     assert got == expected | {n: n for n in range(9000, 9005)} | {9005: expected[7], None: None}
 
 
+def _all_pairs(vectors, least=0.95):
+    unit = vectors.astype(float) / np.linalg.norm(vectors.astype(float), axis=1)[:, None]
+    a, b = np.nonzero(unit @ unit.T >= least)
+    root = np.arange(len(vectors))
+    while (root[a] != root[b]).any():
+        np.minimum.at(root, a, root[b])
+    return root, int((a < b).sum())
+
+
+@pytest.mark.parametrize("border", [0.5, None])
+def test_semantic_copies_in_cells(spark, border):
+    vectors = _planted(1500, 500)
+    root, pairs = _all_pairs(vectors)
+    rows = [(n, "one", v.tolist()) for n, v in enumerate(vectors)] + [(5000 + n, "two", vectors[n].tolist()) for n in range(40)]
+    docs = spark.createDataFrame(rows, "vec_id long, label string, v array<float>")
+    found = curation.dedup_semantic(docs, "vec_id", "v", "label", 0.95, block=64, cell=100, border=border)
+    got = {r.vec_id: r.cluster_id for r in found.collect()}
+    small, _ = _all_pairs(vectors[:40])
+    assert [got[5000 + n] - 5000 for n in range(40)] == small.tolist()
+    if border == 0.5:
+        assert [got[n] for n in range(len(root))] == root.tolist()
+    linked = sum(got[n] != n for n in range(len(root)))
+    assert pairs >= 400 and linked >= 0.9 * (root != np.arange(len(root))).sum()
+    assert all(root[n] == root[got[n]] for n in range(len(root)))
+
+
+def test_cells_are_few_pairs():
+    """Ten times the vectors of one label, compared in cells, take far less than a hundred times the pairs."""
+    draw = np.random.default_rng(3)
+    themes = draw.normal(size=(400, 64))
+
+    def compared(count):
+        vectors = themes[draw.integers(0, 400, count)] + draw.normal(size=(count, 64)) * 0.4
+        units = vectors / np.linalg.norm(vectors, axis=1)[:, None]
+        centres = units[draw.permutation(count)[: count // 50]]
+        homes, visits = np.zeros(len(centres)), np.zeros(len(centres))
+        for _, cell, home in curation._visited(units, centres, 0.2 * math.sqrt(0.1)):
+            homes += np.bincount(cell[home], minlength=len(centres))
+            visits += np.bincount(cell[~home], minlength=len(centres))
+        return (homes * (homes / 2 + visits)).sum()
+
+    assert compared(10_000) < 40 * compared(1_000)
+
+
 def test_whole_funnel_drops_other_languages_and_near_copies(spark, sf_dir):
     rows = {r.stage[2:]: r for r in web_queries.pipeline_funnel_whole(spark, sf_dir).collect()}
     assert rows["language"].pages < rows["allowed hosts"].pages and rows["near copies"].pages < rows["exact copies"].pages
