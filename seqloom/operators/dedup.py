@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
+from functools import partial
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StructField
 
+from seqloom.functions.batches import with_columns_of_texts
 from seqloom.operators.components import components
 from seqloom.session import written
 
@@ -12,6 +19,8 @@ from seqloom.session import written
 SHINGLE, PRIME = 5, 2**31 - 1
 BANDS, BAND_ROWS = 14, 8
 _SPACE = r"[\x20\x09-\x0D]+"
+#: Shingles that are hashed by all functions at a time.
+_STEP = 2048
 
 
 def coefficients(count: int) -> list[tuple[int, int]]:
@@ -36,27 +45,40 @@ def dedup_exact(docs: DataFrame, key: str = "doc_id", text: str = "text", within
     )
 
 
+def signatures_of(texts: list[str], hashes: int) -> list[pa.Array]:
+    """The minima of each text (null if it has no words): a hash per different shingle, then all functions at once."""
+    factors = np.array(coefficients(hashes), np.int64)
+    found = []
+    for text in texts:
+        words = text.encode().split()  # bytes: ASCII white space only
+        if not words:
+            found.append(None)
+            continue
+        count = max(1, len(words) - (SHINGLE - 1))
+        shingles = {b" ".join(words[n : n + SHINGLE]) for n in range(count)}
+        hashed = np.array([int.from_bytes(hashlib.md5(s).digest()[:4]) for s in shingles], np.int64) % PRIME
+        least = np.full(hashes, PRIME, np.int64)
+        for first in range(0, len(hashed), _STEP):
+            values = (factors[:, :1] * hashed[first : first + _STEP] + factors[:, 1:]) % PRIME
+            np.minimum(least, values.min(axis=1), out=least)
+        found.append(least)
+    return [pa.array(found, pa.list_(pa.int64()))]
+
+
 def minhash_signature(
     docs: DataFrame, key: str = "doc_id", text: str = "text", hashes: int = BANDS * BAND_ROWS, keep: tuple[str, ...] = ()
 ) -> DataFrame:
     """key, `keep` and `signature`: the least value of each hash function over the word shingles.
 
-    Texts shorter than a shingle are one shingle; texts without words have no signature and no row.
-    A document's shingles stay in its task up to one row of minima, which is all that is shuffled.
+    Texts shorter than a shingle are one shingle; texts without words (null, empty, blank) have no
+    signature and no row; repeated rows have a row each; null keys are kept. Shingles stay in the
+    Arrow batch of their text: nothing is shuffled.
     """
-    words = F.filter(F.split(F.coalesce(text, F.lit("")), _SPACE), lambda w: w != "")
-    named = docs.select(key, *keep, words.alias("__w")).where(F.size("__w") > 0)
-    count = F.greatest(F.size("__w") - (SHINGLE - 1), F.lit(1))
-    shingles = F.transform(
-        F.slice("__w", F.lit(1), count), lambda _, i: F.array_join(F.slice("__w", i + 1, F.lit(SHINGLE)), " ")
-    )
-    hashed = named.select(key, *keep, F.explode(F.array_distinct(shingles)).alias("__s")).select(
-        key, *keep, (F.conv(F.substring(F.md5(F.col("__s").cast("binary")), 1, 8), 16, 10).cast("bigint") % PRIME).alias("__h")
-    )
-    least = [F.min((F.col("__h") * a + b) % PRIME).alias(f"__m{n}") for n, (a, b) in enumerate(coefficients(hashes))]
-    return hashed.groupBy(key, *keep).agg(*least).select(
-        key, *keep, F.array(*(f"__m{n}" for n in range(hashes))).alias("signature")
-    )
+    names = {name: f"c{n}" for n, name in enumerate((key, *keep))}
+    slim = docs.select(*(F.col(name).alias(c) for name, c in names.items()), F.col(text).alias("t"))
+    field = StructField("signature", ArrayType(LongType()))
+    signed = with_columns_of_texts(slim, "t", partial(signatures_of, hashes=hashes), [field]).where("signature IS NOT NULL")
+    return signed.select(*(F.col(c).alias(name) for name, c in names.items()), "signature")
 
 
 def minhash_clusters(

@@ -1,11 +1,16 @@
-"""Quality, repetition and heuristic filters: expressions over one text, no shuffle."""
+"""Quality, repetition and heuristic filters: over one text each, no shuffle."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField
+
+from seqloom.functions.batches import Words, doubled, ranked, with_columns_of_texts
 
 _SPACE = r"\x20\x09-\x0D"
 #: Stop words and thresholds of the published rules.
@@ -71,62 +76,73 @@ def quality_filters(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     return found.withColumn("reasons", F.array_join(reasons, ",")).withColumn("kept", F.col("reasons") == "")
 
 
-def _repeats(items: Column) -> Column:
-    """(top, repeated): characters of the commonest item and of all repeated ones, all occurrences.
-
-    Sorted items are read once; equal ones stand together.
-    """
-    start = F.struct(
-        F.lit("").alias("last"), F.lit(0).alias("run"), F.lit(0).alias("top"), F.lit(0).alias("repeated")
+def paragraphs_of(text: Column) -> Column:
+    """Stretches between blank lines, without white space at their ends."""
+    trimmed = F.transform(
+        F.split(F.coalesce(text, F.lit("")), f"\n[{_SPACE}]*\n"), lambda x: F.regexp_replace(x, f"^[{_SPACE}]+|[{_SPACE}]+$", "")
     )
+    return F.filter(trimmed, lambda x: x != "")
 
-    def step(s: Column, x: Column) -> Column:
-        run = F.when(x == s["last"], s["run"] + 1).otherwise(F.lit(1))
-        size = F.length(x)
-        gain = F.when(run == 2, size * 2).when(run > 2, size).otherwise(F.lit(0))
-        return F.struct(
-            x.alias("last"),
-            run.alias("run"),
-            F.when(run > 1, F.greatest(s["top"], run * size)).otherwise(s["top"]).alias("top"),
-            (s["repeated"] + gain).alias("repeated"),
-        )
 
-    return F.aggregate(F.sort_array(items), start, step)
+def group_shares(texts: list[str]) -> list[np.ndarray]:
+    """For each size of `TOP_GRAMS` and `REPEATED_GRAMS` the share of each text, by rank doubling.
+
+    Words are numbered by their text; groups of two, four and eight words by the numbers of their
+    halves; the sizes between by two groups that overlap. A group that holds a part which occurs once
+    occurs once, and is never sorted again.
+    """
+    words = Words(texts)
+    size = len(words.numbers)
+    ranks = {1: ranked(words.numbers, np.arange(size), size)}
+    before = np.concatenate([[0], np.cumsum(words.lengths)])
+    place = np.arange(size) - np.repeat(np.cumsum(words.counts + 1) - words.counts - 1, words.counts + 1)
+    rest = words.counts[words.text] - place  # words of the text from here on
+    shares = []
+    for n in range(2, max(REPEATED_GRAMS) + 1):
+        half = 1 << ((n - 1).bit_length() - 1)
+        ranks[n] = doubled(ranks[half], ranks[half], n - half)
+        starts = np.flatnonzero(rest >= n)
+        chars = before[np.minimum(np.arange(size) + n, size)] - before[:size] + n - 1
+        whole = np.bincount(words.text[starts], chars[starts], len(texts))
+        at = np.flatnonzero(ranks[n] >= 0)
+        part = np.bincount(words.text[at], chars[at], len(texts))
+        if n in TOP_GRAMS:
+            part = np.zeros(len(texts))
+            np.maximum.at(part, words.text[at], np.bincount(ranks[n][at], chars[at])[ranks[n][at]] if len(at) else chars[at])
+        shares.append(np.divide(part, whole, out=np.zeros(len(texts)), where=whole > 0))
+    return shares
 
 
 def repetition_filters(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """key, shares of repeated lines and word groups (rounded to 6 digits) and `kept`.
+    """key, shares of repeated lines, paragraphs and word groups (rounded to 6 digits) and `kept`.
 
     Groups of 2 to 4 words count the characters of the commonest one that repeats; groups of 5 to 10
-    those of all that repeat, as a share of the characters of all groups of that size.
-    """
+    those of all that repeat, as a share of the characters of all groups of that size. Nothing is
+    shuffled; word groups are ranked in Arrow batches, as numbers.
 
-    def grams(w: Column, n: int) -> Column:
-        count = F.greatest(F.size(w) - (n - 1), F.lit(0))
-        return F.transform(F.slice(w, F.lit(1), count), lambda _, i: F.array_join(F.slice(w, i + 1, F.lit(n)), " "))
+    Null, empty and blank texts repeat nothing; very long texts are read whole; repeated rows give
+    repeated results; null keys are kept; an empty table gives an empty table; other columns are
+    never looked at.
+    """
 
-    def shares(w: Column, lines: Column) -> Column:
-        found = [
-            _share(F.size(lines) - F.size(F.array_distinct(lines)), F.size(lines)).alias("line_share"),
-            _share(_chars(lines) - _chars(F.array_distinct(lines)), _chars(lines)).alias("line_char_share"),
+    def shares(kind: str, items: Column) -> list[Column]:
+        once = F.array_distinct(items)
+        return [
+            _share(F.size(items) - F.size(once), F.size(items)).alias(f"{kind}_share"),
+            _share(_chars(items) - _chars(once), _chars(items)).alias(f"{kind}_char_share"),
         ]
-        found += [let(grams(w, n), share_of("top")).alias(f"top_{n}") for n in TOP_GRAMS]
-        found += [let(grams(w, n), share_of("repeated")).alias(f"repeated_{n}") for n in REPEATED_GRAMS]
-        return F.struct(*found)
 
-    def share_of(part: str) -> Callable[[Column], Column]:
-        return lambda g: _share(_repeats(g)[part], _chars(g))
-
-    found = docs.select(
-        key, let(words_of(F.col(text)), lambda w: let(lines_of(F.col(text)), lambda x: shares(w, x))).alias("f")
-    ).select(key, "f.*")
-    limits = {"line_share": 0.30, "line_char_share": 0.20}
+    t = F.col(text)
+    both = let(lines_of(t), lambda x: let(paragraphs_of(t), lambda y: F.struct(*shares("line", x), *shares("paragraph", y))))
+    groups = [f"top_{n}" for n in TOP_GRAMS] + [f"repeated_{n}" for n in REPEATED_GRAMS]
+    slim = docs.select(F.col(key).alias("k"), t.alias("t"), both.alias("f")).select("k", "t", "f.*")
+    found = with_columns_of_texts(slim, "t", group_shares, [StructField(name, DoubleType()) for name in groups])
+    limits = {"line_share": 0.30, "line_char_share": 0.20, "paragraph_share": 0.30, "paragraph_char_share": 0.20}
     limits |= {f"top_{n}": limit for n, limit in TOP_GRAMS.items()}
     limits |= {f"repeated_{n}": limit for n, limit in REPEATED_GRAMS.items()}
-    kept = F.lit(True)
-    for name, limit in limits.items():
-        kept = kept & (F.round(name, 6) <= limit)
-    return found.select(key, *(F.round(name, 6).alias(name) for name in limits), kept.alias("kept"))
+    rounded = found.select(F.col("k").alias(key), *(F.round(name, 6).alias(name) for name in limits))
+    kept = reduce(lambda a, b: a & b, (F.col(name) <= limit for name, limit in limits.items()))
+    return rounded.withColumn("kept", kept)
 
 
 def heuristic_filters(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

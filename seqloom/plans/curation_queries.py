@@ -94,6 +94,8 @@ clusters AS (SELECT doc_id, source, least(doc_id, coalesce(low, doc_id)) AS clus
 
 _LINES = rf"""list_filter(list_transform(string_split(coalesce(text, ''), chr(10)),
     lambda x: regexp_replace(x, '^[{_S}]+|[{_S}]+$', '', 'g')), lambda x: x <> '')"""
+_PARAGRAPHS = rf"""list_filter(list_transform(regexp_split_to_array(coalesce(text, ''), '\n[{_S}]*\n'),
+    lambda x: regexp_replace(x, '^[{_S}]+|[{_S}]+$', '', 'g')), lambda x: x <> '')"""
 _WORDS = f"regexp_extract_all(coalesce(text, ''), '[^{_S}]+')"
 _STOPS = ", ".join(f"'{w}'" for w in filters.STOP_WORDS)
 
@@ -126,7 +128,12 @@ def _repetition_sql() -> str:
     limits = " AND ".join(
         [f"top_{n} <= {x}" for n, x in filters.TOP_GRAMS.items()] + [f"repeated_{n} <= {x}" for n, x in filters.REPEATED_GRAMS.items()]
     )
-    return f"""WITH d AS (SELECT doc_id, {_WORDS} AS w, {_LINES} AS l FROM documents),
+    shares = ", ".join(
+        f"""round(CASE WHEN len({x}) > 0 THEN (len({x}) - len(list_distinct({x}))) / len({x}) ELSE 0 END, 6) AS {kind}_share,
+        round(CASE WHEN len({x}) > 0 THEN ({_chars(x)} - {_chars(f"list_distinct({x})")}) / {_chars(x)} ELSE 0 END, 6) AS {kind}_char_share"""
+        for kind, x in (("line", "l"), ("paragraph", "p"))
+    )
+    return f"""WITH d AS (SELECT doc_id, {_WORDS} AS w, {_LINES} AS l, {_PARAGRAPHS} AS p FROM documents),
 g AS (SELECT doc_id, n, array_to_string(w[i + 1:i + n], ' ') AS g
       FROM (SELECT doc_id, w, n, unnest(range(0, len(w) - n + 1)) AS i FROM d, range(2, 11) AS r(n))),
 c AS (SELECT doc_id, n, g, count(*) AS k FROM g GROUP BY ALL),
@@ -134,11 +141,9 @@ p AS (SELECT doc_id, n, sum(k * length(g)) AS chars,
              coalesce(max(CASE WHEN k > 1 THEN k * length(g) END), 0) AS top,
              coalesce(sum(CASE WHEN k > 1 THEN k * length(g) END), 0) AS repeated FROM c GROUP BY ALL),
 x AS (SELECT doc_id, {", ".join(columns)} FROM d LEFT JOIN p USING (doc_id) GROUP BY doc_id),
-y AS (SELECT doc_id,
-        round(CASE WHEN len(l) > 0 THEN (len(l) - len(list_distinct(l))) / len(l) ELSE 0 END, 6) AS line_share,
-        round(CASE WHEN len(l) > 0 THEN ({_chars('l')} - {_chars('list_distinct(l)')}) / {_chars('l')} ELSE 0 END, 6) AS line_char_share
-      FROM d)
-SELECT *, line_share <= 0.30 AND line_char_share <= 0.20 AND {limits} AS kept FROM y JOIN x USING (doc_id)"""
+y AS (SELECT doc_id, {shares} FROM d)
+SELECT *, line_share <= 0.30 AND line_char_share <= 0.20 AND paragraph_share <= 0.30 AND paragraph_char_share <= 0.20
+    AND {limits} AS kept FROM y JOIN x USING (doc_id)"""
 
 
 ORACLES = {

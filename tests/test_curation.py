@@ -54,16 +54,43 @@ def test_components_of_a_long_path(spark):
     assert got == {n: 0 for n in range(61)} | {90: 90, 91: 90}
 
 
-def test_repetition_shares(docs):
-    got = {r.doc_id: r for r in filters.repetition_filters(docs).collect()}
-    for key, text in enumerate(TEXTS):
-        words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
-        for n in (2, 5):
-            grams = Counter(" ".join(words[i : i + n]) for i in range(len(words) - n + 1))
-            whole = sum(k * len(g) for g, k in grams.items())
-            many = {g: k * len(g) for g, k in grams.items() if k > 1}
-            part = max(many.values(), default=0) if n == 2 else sum(many.values())
-            assert got[key][f"{'top' if n == 2 else 'repeated'}_{n}"] == pytest.approx(part / whole if whole else 0, abs=1e-6)
+def plain_repetition(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    for n in range(2, 11):
+        grams = Counter(" ".join(words[i : i + n]) for i in range(len(words) - n + 1))
+        whole = sum(k * len(g) for g, k in grams.items())
+        many = {g: k * len(g) for g, k in grams.items() if k > 1}
+        part = max(many.values(), default=0) if n < 5 else sum(many.values())
+        yield f"{'top' if n < 5 else 'repeated'}_{n}", part / whole if whole else 0
+    for kind, items in (("line", (text or "").split("\n")), ("paragraph", re.split(r"\n[\x20\x09-\x0D]*\n", text or ""))):
+        items = [x for x in (re.sub(r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", "", x) for x in items) if x]
+        yield f"{kind}_share", (len(items) - len(set(items))) / len(items) if items else 0
+        chars = sum(map(len, items))
+        yield f"{kind}_char_share", (chars - sum(map(len, set(items)))) / chars if items else 0
+
+
+def test_repetition_shares(spark, docs, monkeypatch):
+    draw = random.Random(8)
+    odd = [None, "", " \n", "é", "a b", "x y z " * 20_000, "same\n\nother line\n \t\nsame\n\n\n\nlast", "a\xa0b a\xa0b a\xa0b"]
+    odd += [draw.choice([" ", "\n", "\n\n"]).join(draw.choices(["ab", "é", "cde", "f"], k=draw.choice([1, 9, 40, 200]))) for _ in range(60)]
+    odd += TEXTS
+    rows = [(n, t, 1) for n, t in enumerate(odd)] + [(None, odd[9], 1), (9, odd[9], 1)]
+    monkeypatch.setattr("seqloom.functions.batches.CHARACTERS", 1000)
+    found = filters.repetition_filters(spark.createDataFrame(rows, "doc_id long, text string, k int").coalesce(1))
+    got = found.collect()
+    assert len(got) == len(rows)
+    for (key, text, _), r in zip(rows, got, strict=True):
+        assert r.doc_id == key
+        if len(text or "") < 10_000:
+            for name, share in plain_repetition(text):
+                assert r[name] == pytest.approx(share, abs=1e-6), (name, text)
+    assert not got[5].kept and got[5].repeated_10 == 1
+    assert filters.repetition_filters(docs.limit(0)).count() == 0
+
+
+def test_repetition_has_no_shuffle(docs):
+    plan = filters.repetition_filters(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "MapInArrow" in plan
 
 
 def test_filters_take_any_row(docs):
