@@ -28,9 +28,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def narrow(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def narrow(docs: DataFrame, id_col: str | Column = "doc_id", text_col: str = "text") -> DataFrame:
     """Key and text only, under fixed names: other columns can neither clash nor be read."""
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    key = F.col(id_col) if isinstance(id_col, str) else id_col
+    return docs.select(key.alias("doc_id"), F.col(text_col).alias("text"))
 
 
 def lowered(text: Column) -> Column:

@@ -7,10 +7,12 @@ prefix is that single word. Documents meet windows on it, the place of the word
 fixes the only start possible, starts that do not fit the document are dropped, and what is left is
 compared word by word with the text.
 
-Texts are shuffled once, for the comparison; word counts are combined before their shuffle. The
-prefix table follows the benchmark, never the documents: it is broadcast if its measured size is
-within `broadcast_bytes`, and joined by shuffle beyond that, where adaptive execution splits frequent
-words.
+Word counts cover all documents, for the words of the benchmark, and are combined before their
+shuffle. The prefix table follows the benchmark, never the documents. If its measured size is within
+`broadcast_bytes`, it is broadcast: a text is cut into words once, its words meet the prefixes, and
+start, bounds and words are checked while the text is still at hand, so that only true hits are
+shuffled, and no text is. Beyond that size words meet prefixes by shuffle, where adaptive execution
+splits frequent words, and texts are shuffled once, for the comparison.
 
 Defined results: null has no words; items without words match nothing; equal windows of several
 items count for each; rows repeated under one key give repeated results; null keys are kept.
@@ -29,17 +31,18 @@ from seqloom.session import written
 
 #: Fixed value: word characters are ASCII digits and lower-case letters, and all beyond ASCII.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: Characters beyond ASCII that lower-casing changes.
+OTHER_UPPER = r"[\x{80}-\x{10FFFF}&&[\p{IsUppercase}\p{Lt}]]"
 WINDOW = 10
 BROADCAST_BYTES = 32 << 20
 
 
 def words_of(text: Column) -> Column:
-    """Lower-cases A to Z only; `lower` does the same, faster, where a text is all ASCII."""
+    """Words with A to Z in lower case; `lower` does that, fast, where no other letter has an upper case."""
     text = F.coalesce(text, F.lit(""))
-    lowered = F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(
-        F.translate(text, ascii_uppercase, ascii_lowercase)
-    )
-    return F.regexp_extract_all(lowered, F.lit(WORD), F.lit(0))
+    plain = (F.octet_length(text) == F.length(text)) | ~text.rlike(OTHER_UPPER)
+    low = F.when(plain, F.lower(text)).otherwise(F.translate(text, ascii_uppercase, ascii_lowercase))
+    return F.regexp_extract_all(low, F.lit(WORD), F.lit(0))
 
 
 def item_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "text", size: int = WINDOW) -> DataFrame:
@@ -54,12 +57,14 @@ def item_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "tex
     )
 
 
-def prefix_tokens(windows: DataFrame, docs: DataFrame) -> DataFrame:
+def prefix_tokens(windows: DataFrame, docs: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """(phrase, width, word, place): the word of each window that is rarest in the documents."""
-    counts = docs.select(F.explode(words_of(F.col("text"))).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
     placed = windows.select("phrase", "width").distinct().select(
         "phrase", "width", F.posexplode(F.split("phrase", " ")).alias("place", "word")
     )
+    known = small(placed.select("word").distinct(), broadcast_bytes, "word")
+    words = docs.select(F.explode(words_of(F.col("text"))).alias("word"))
+    counts = words.join(known, "word", "left_semi").groupBy("word").agg(F.count("*").alias("n"))
     rarest = F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "word", "place")).alias("r")
     return (
         placed.join(counts, "word", "left")
@@ -70,12 +75,61 @@ def prefix_tokens(windows: DataFrame, docs: DataFrame) -> DataFrame:
     )
 
 
-def small(df: DataFrame, limit: int, *text_cols: str) -> DataFrame:
-    """Marked for broadcast if its rows, measured now, take at most `limit` bytes."""
+def fits(df: DataFrame, limit: int, *text_cols: str) -> bool:
+    """Whether the rows, measured now, take at most `limit` bytes."""
     width = F.lit(64)
     for name in text_cols:
         width = width + F.octet_length(name)
-    return F.broadcast(df) if (df.agg(F.sum(width)).first()[0] or 0) <= limit else df
+    return (df.agg(F.sum(width)).first()[0] or 0) <= limit
+
+
+def small(df: DataFrame, limit: int, *text_cols: str) -> DataFrame:
+    """Marked for broadcast if it fits."""
+    return F.broadcast(df) if fits(df, limit, *text_cols) else df
+
+
+def _hits_at_hand(docs: DataFrame, prefixes: DataFrame) -> DataFrame:
+    """The columns of `docs` but the text, n_words, and start, width and phrase: a row for each window
+    in a text, and one without a phrase for each text."""
+    base = docs.sparkSession.range(1).select(
+        F.lit("").alias("word"), F.lit(0).alias("place"), F.lit(0).alias("width"), F.lit(None).cast("string").alias("phrase")
+    )
+    known = prefixes.select("word", F.col("place").cast("int").alias("place"), F.col("width").cast("int").alias("width"), "phrase")
+    kept = [c for c in docs.columns if c != "text"]
+    words = docs.select(*kept, words_of(F.col("text")).alias("w"))
+    placed = words.select(*kept, "w", F.posexplode(F.concat(F.array(F.lit("")), "w")).alias("at", "word"))
+    start = F.col("at") - 1 - F.col("place")
+    same = F.array_join(F.slice("w", start + 1, F.col("width")), " ") == F.col("phrase")
+    inside = (start >= 0) & (start + F.col("width") <= F.size("w"))
+    return (
+        placed.join(F.broadcast(known.union(base)), "word")
+        .where(F.when(F.col("at") == 0, True).when(inside, same).otherwise(False))
+        .select(*kept, F.size("w").cast("long").alias("n_words"), start.alias("start"), "width", "phrase")
+    )
+
+
+def _with_items(hits: DataFrame, windows: DataFrame, broadcast_bytes: int) -> DataFrame:
+    """doc_id, n_words, n_hit, n_items, items from a row for each text: row, doc_id, n_words, n_hit, phrases."""
+    owners = small(windows, broadcast_bytes, "phrase").select("phrase", "item_id")
+    return (
+        hits.select("row", "doc_id", "n_words", "n_hit", F.explode_outer("phrases").alias("phrase"))
+        .join(owners, "phrase", "left")
+        .groupBy("row")
+        .agg(
+            F.first("doc_id").alias("doc_id"),
+            F.first("n_words").alias("n_words"),
+            F.first("n_hit").alias("n_hit"),
+            F.array_sort(F.transform(F.collect_set("item_id"), lambda i: i.cast("string"))).alias("ids"),
+        )
+        .select("doc_id", "n_words", "n_hit", F.size("ids").cast("long").alias("n_items"), F.array_join("ids", ",").alias("items"))
+    )
+
+
+def _covered(hits: Column) -> Column:
+    """How many places the windows (start, width) of a text cover."""
+    return F.size(
+        F.array_distinct(F.flatten(F.transform(hits, lambda c: F.sequence(c["start"], c["start"] + c["width"] - 1))))
+    ).cast("long")
 
 
 def contamination(
@@ -89,15 +143,30 @@ def contamination(
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items (their ids as text, sorted, comma-joined)."""
-    keyed = narrow(docs, id_col, text_col).withColumn("h", F.xxhash64("text"))
+    slim = narrow(docs, id_col, text_col)
     windows = written(item_windows(items, item_col, item_text_col, size), "item-windows")
-    prefixes = written(prefix_tokens(windows, keyed), "prefix-tokens")
+    prefixes = written(prefix_tokens(windows, slim, broadcast_bytes), "prefix-tokens")
+    if fits(prefixes, broadcast_bytes, "phrase", "word"):
+        hits = _hits_at_hand(slim.withColumn("row", F.monotonically_increasing_id()), prefixes)
+        hit = F.when(F.col("phrase").isNotNull(), F.struct("start", "width", "phrase"))
+        each = hits.groupBy("row").agg(
+            F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"), F.collect_list(hit).alias("hits")
+        )
+        phrases = F.array_distinct(F.transform("hits", lambda c: c["phrase"])).alias("phrases")
+        found = each.select("row", "doc_id", "n_words", _covered(F.col("hits")).alias("n_hit"), phrases)
+    else:
+        found = _hits_by_shuffle(slim, prefixes)
+    return _with_items(found, windows, broadcast_bytes)
 
+
+def _hits_by_shuffle(docs: DataFrame, prefixes: DataFrame) -> DataFrame:
+    """row, doc_id, n_words, n_hit and phrases of each text, for prefixes of any size."""
+    keyed = docs.withColumn("h", F.xxhash64("text"))
     words = keyed.select("doc_id", "h", words_of(F.col("text")).alias("w"))
     placed = words.select("doc_id", "h", F.size("w").alias("n"), F.posexplode("w").alias("at", "word"))
     start = F.col("at") - F.col("place")
     candidates = (
-        placed.join(small(prefixes, broadcast_bytes, "phrase", "word"), "word")
+        placed.join(prefixes, "word")
         .where((start >= 0) & (start + F.col("width") <= F.col("n")))
         .groupBy("doc_id", "h")
         .agg(F.collect_set(F.struct(start.alias("start"), "width", "phrase")).alias("found"))
@@ -114,33 +183,44 @@ def contamination(
             hits,
             lambda h: F.struct(
                 F.size(w).cast("long").alias("n_words"),
-                F.size(
-                    F.array_distinct(
-                        F.flatten(F.transform(h, lambda c: F.sequence(c["start"], c["start"] + c["width"] - 1)))
-                    )
-                ).cast("long").alias("n_hit"),
+                _covered(h).alias("n_hit"),
                 F.array_distinct(F.transform(h, lambda c: c["phrase"])).alias("phrases"),
             ),
         )
 
-    checked = (
+    return (
         keyed.join(candidates, same, "left")
         .select("doc_id", let(words_of(F.col("text")), verified).alias("v"))
         .select(F.monotonically_increasing_id().alias("row"), "doc_id", "v.*")
     )
-    owners = small(windows, broadcast_bytes, "phrase").select("phrase", "item_id")
-    return (
-        checked.select("row", "doc_id", "n_words", "n_hit", F.explode_outer("phrases").alias("phrase"))
-        .join(owners, "phrase", "left")
-        .groupBy("row")
-        .agg(
-            F.first("doc_id").alias("doc_id"),
-            F.first("n_words").alias("n_words"),
-            F.first("n_hit").alias("n_hit"),
-            F.array_sort(F.transform(F.collect_set("item_id"), lambda i: i.cast("string"))).alias("ids"),
-        )
-        .select("doc_id", "n_words", "n_hit", F.size("ids").cast("long").alias("n_items"), F.array_join("ids", ",").alias("items"))
-    )
+
+
+def keep_clean(
+    docs: DataFrame,
+    items: DataFrame,
+    text_col: str = "text",
+    item_col: str = "item_id",
+    item_text_col: str = "text",
+    size: int = WINDOW,
+    broadcast_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """The rows of `docs`, with all their columns, whose text has no window of an item.
+
+    Equal texts have one fate, so the texts to drop are named by two hashes of 64 bits; rows meet
+    them where they are, by broadcast, as long as the names' measured size allows it.
+    """
+    marks = [F.xxhash64(F.col(text_col)), F.xxhash64(F.lit(1), F.col(text_col))]
+    named = narrow(docs, marks[0], text_col).withColumn("second", F.xxhash64(F.lit(1), "text"))
+    windows = written(item_windows(items, item_col, item_text_col, size), "item-windows")
+    prefixes = written(prefix_tokens(windows, named.select("text"), broadcast_bytes), "prefix-tokens")
+    if fits(prefixes, broadcast_bytes, "phrase", "word"):
+        hits = _hits_at_hand(named, prefixes).where("phrase IS NOT NULL").select("doc_id", "second")
+    else:
+        both = named.select(F.struct("doc_id", "second").alias("doc_id"), "text")
+        hits = _hits_by_shuffle(both, prefixes).where("n_hit > 0").select("doc_id.*")
+    dropped = written(hits.distinct(), "contaminated").select(F.col("doc_id").alias("m0"), F.col("second").alias("m1"))
+    same = (marks[0] == dropped["m0"]) & (marks[1] == dropped["m1"])
+    return docs.join(small(dropped, broadcast_bytes), same, "left_anti")
 
 
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -86,7 +86,13 @@ def test_contamination(spark, broadcast_bytes):
     bench = spark.createDataFrame([(k, t, "x") for k, t in items], "item_id long, text string, word string")
     got = decontaminate.contamination(docs, bench, broadcast_bytes=broadcast_bytes).collect()
     assert sorted(map(str, map(tuple, got))) == sorted(map(str, plain_hits(made, items, 10)))
+    hit = {str((k, t)) for (k, t), (_, _, n, *_) in zip(made, plain_hits(made, items, 10), strict=True) if n}
+    clean = decontaminate.keep_clean(docs, bench, broadcast_bytes=broadcast_bytes)
+    assert clean.columns == docs.columns
+    assert sorted(str((r.doc_id, r.text)) for r in clean.collect()) == sorted(str(x) for x in made if str(x) not in hit)
     if broadcast_bytes > 0:
+        assert decontaminate.keep_clean(docs, bench.limit(0)).count() == len(made)
+        assert decontaminate.keep_clean(docs.limit(0), bench).count() == 0
         assert {r.n_hit for r in decontaminate.contamination(docs, bench.limit(0)).collect()} == {0}
         assert decontaminate.contamination(docs.limit(0), bench).count() == 0
 
