@@ -4,8 +4,8 @@ import re
 
 import public_tokenizers
 from pyspark.sql import functions as F
+from test_near_copies import plain_groups
 from test_rules_and_decontamination import plain_hits
-from test_simhash import plain_components, plain_fingerprint
 from test_spans import SECRETS, plain
 from tokenizers import Tokenizer
 
@@ -17,12 +17,10 @@ from seqloom.llm.common import table, trains
 def plain_run(rows, predict, items):
     """(doc_id, n_tokens) of what all stages keep."""
     kept = [(k, t) for k, t in rows if (found := predict(t))[0] != "und" and found[1] >= 0.5]
-    prints = {plain_fingerprint(t) for _, t in kept}
-    near = [(a, b) for a in prints for b in prints if a < b and (a ^ b).bit_count() <= 2]
-    roots, least = plain_components(prints, near), {}
+    groups, least = plain_groups([t for _, t in kept]), {}
     rank = lambda row: (row[0] is None, row[0] or 0)
-    for row in kept:
-        root = roots[plain_fingerprint(row[1])]
+    for n, row in enumerate(kept):
+        root = groups[n]
         if root not in least or rank(row) < rank(least[root]):
             least[root] = row
     kept = list(least.values())
