@@ -16,8 +16,10 @@ no document could be learned from; repeated rows repeat; a null key is neither h
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -33,10 +35,16 @@ DOCS_PER_LANGUAGE, MOST_CHARS = 1500, 100_000
 ORDER = 5
 #: Words of evidence at which the score stops growing more certain.
 EVIDENCE = 20
-_WORDS = re.compile(r"[^\W\d_]+")
 _CACHE = 60_000
 
 
+@cache
+def _words() -> re.Pattern:
+    r"""Runs of letters, as `\p{L}+` finds them: signs like ½, ² and Ⅷ count as word characters, but are none."""
+    signs = (chr(c) for c in range(sys.maxunicode + 1) if chr(c).isalnum() and not (chr(c).isalpha() or chr(c).isdecimal()))
+    return re.compile(rf"[^\W\d_{''.join(map(re.escape, signs))}]+")
+
+
 @dataclass(frozen=True)
 class Model:
     """Log frequencies by language, a row for each known word and each known n-gram."""
@@ -109,7 +117,7 @@ def train(
 
 def predictor(model: Model) -> Callable[[str | None], tuple[str, float]]:
     """A function from a text to its language and score; it remembers the words it has backed off."""
-    languages, known = model.languages, model.words
+    languages, known, find = model.languages, model.words, _words().findall
     backed: dict[str, np.ndarray] = {}
 
     def back_off(word: str) -> np.ndarray:
@@ -121,7 +129,7 @@ def predictor(model: Model) -> Callable[[str | None], tuple[str, float]]:
         return np.zeros(len(languages), dtype=np.float32)
 
     def predict(text: str | None) -> tuple[str, float]:
-        words = _WORDS.findall((text or "").lower())
+        words = find((text or "").lower())
         if not words or not languages:
             return UNKNOWN, 0.0
         total = np.zeros(len(languages))
