@@ -38,13 +38,24 @@ EVIDENCE = 20
 _CACHE = 60_000
 
 
+_LETTERS_AND_SIGNS = re.compile(r"[^\W\d_]+")
+
+
 @cache
-def _words() -> re.Pattern:
-    r"""Runs of letters, as `\p{L}+` finds them: signs like ½, ² and Ⅷ count as word characters, but are none."""
+def _letters() -> re.Pattern:
+    """Runs of letters alone: signs like ½, ² and Ⅷ count as word characters, but are none."""
     signs = (chr(c) for c in range(sys.maxunicode + 1) if chr(c).isalnum() and not (chr(c).isalpha() or chr(c).isdecimal()))
     return re.compile(rf"[^\W\d_{''.join(map(re.escape, signs))}]+")
 
 
+def letter_words(text: str) -> list[str]:
+    r"""The matches of `\p{L}+`; the slow expression sees only the words that hold a sign."""
+    found = _LETTERS_AND_SIGNS.findall(text)
+    if found and not "".join(found).isalpha():
+        found = [part for word in found for part in ([word] if word.isalpha() else _letters().findall(word))]
+    return found
+
+
 @dataclass(frozen=True)
 class Model:
     """Log frequencies by language, a row for each known word and each known n-gram."""
@@ -117,7 +128,7 @@ def train(
 
 def predictor(model: Model) -> Callable[[str | None], tuple[str, float]]:
     """A function from a text to its language and score; it remembers the words it has backed off."""
-    languages, known, find = model.languages, model.words, _words().findall
+    languages, known = model.languages, model.words
     backed: dict[str, np.ndarray] = {}
 
     def back_off(word: str) -> np.ndarray:
@@ -129,7 +140,7 @@ def predictor(model: Model) -> Callable[[str | None], tuple[str, float]]:
         return np.zeros(len(languages), dtype=np.float32)
 
     def predict(text: str | None) -> tuple[str, float]:
-        words = find((text or "").lower())
+        words = letter_words((text or "").lower())
         if not words or not languages:
             return UNKNOWN, 0.0
         total = np.zeros(len(languages))

@@ -86,6 +86,11 @@ def test_predictions_are_those_of_plain_dictionaries(spark, sf_dir):
         assert r.lang_pred == lang and r.score == pytest.approx(score, abs=1e-3), text
 
 
+def test_words_are_runs_of_letters():
+    for text in ["", "a½b ²", "éà①ü x_y 3z", "中文Ⅷ abc", "plain words only", "e\u0301 ǅ ª"]:
+        assert li.letter_words(text) == regex.findall(r"\p{L}+", text)
+
+
 def test_unknown_words_back_off(model):
     predict = li.predictor(model)
     assert predict("xingthering nthanding")[0] == "en"
