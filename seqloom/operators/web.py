@@ -2,31 +2,117 @@
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seqloom.operators.filters import let
 
-#: Elements whose content is not text, and the entities that are unescaped.
-HIDDEN = ("script", "style", "nav", "head", "noscript")
-ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&"))
+#: Elements whose content is no text. What stands in the first two is no markup either.
+RAW, HIDDEN = ("script", "style"), ("nav", "head", "noscript")
+#: Named entities and their characters, the non-breaking space as a space.
+ENTITIES = {name: " " if name == "nbsp" else chr(code) for name, code in sorted(name2codepoint.items())} | {"apos": "'"}
 _SPACE = r"[\x20\x09-\x0D]+"
 
+_RAW_TOKENS = "|".join(rf"<{name}\b[^>]*>.*?(?:</{name}\s*>|\z)" for name in RAW)
+_TOKEN = rf"(?is)<!--.*?(?:-->|\z)|{_RAW_TOKENS}|<[!?/]?[a-z][^>]*>|[^<]+|<"
+_MARKUP = "(?is)^<(!--|[!?/]?[a-z])"
+_PIECE = "(?s)&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});|[^&]+|&"
+
+
+def _hidden_spans(tokens: Column) -> Column:
+    """(first, end) of the stretches of tokens inside hidden elements: a fold over the tags of these elements.
+
+    Each kind of element has its own depth, never below zero, so that they nest in any way; one that
+    is never closed hides the rest.
+    """
+    tag = rf"(?i)^</?({'|'.join(HIDDEN)})(?![^\s/>])"
+    marks = F.filter(
+        F.transform(
+            tokens,
+            lambda t, i: F.struct(
+                i.alias("at"),
+                F.lower(F.regexp_extract(t, tag, 1)).alias("name"),
+                F.when(t.startswith("</"), -1).when(t.endswith("/>"), 0).otherwise(1).alias("step"),
+            ),
+        ),
+        lambda m: m["name"] != "",
+    )
+    none = F.array().cast("array<struct<first:int,end:int>>")
+    start = F.struct(F.array(*(F.lit(0) for _ in HIDDEN)).alias("depth"), F.lit(None).cast("int").alias("since"), none.alias("spans"))
+
+    def step(state: Column, m: Column) -> Column:
+        names = F.array(*map(F.lit, HIDDEN))
+        depth = F.zip_with(state["depth"], names, lambda d, name: F.when(name == m["name"], F.greatest(d + m["step"], F.lit(0))).otherwise(d))
+        return let(depth, lambda d: moved(state, m, d))
+
+    def moved(state: Column, m: Column, depth: Column) -> Column:
+        shown = F.array_max(depth) == 0
+        closed = F.array(F.struct(state["since"].alias("first"), m["at"].alias("end")))
+        spans = F.when(shown & state["since"].isNotNull(), F.concat(state["spans"], closed)).otherwise(state["spans"])
+        return F.struct(depth.alias("depth"), F.when(~shown, F.coalesce(state["since"], m["at"])).alias("since"), spans.alias("spans"))
+
+    return F.aggregate(
+        marks,
+        start,
+        step,
+        lambda x: F.when(
+            x["since"].isNotNull(),
+            F.concat(x["spans"], F.array(F.struct(x["since"].alias("first"), F.lit((1 << 31) - 1).alias("end")))),
+        ).otherwise(x["spans"]),
+    )
+
+
+def unescaped(text: Column) -> Column:
+    """Named and numeric entities as characters, each once; numbers of no character as U+FFFD; others stay."""
+    named = F.create_map(*(F.lit(x) for pair in ENTITIES.items() for x in pair))
+
+    def sign(code: Column) -> Column:
+        valid = (code > 0) & (code < 0x110000) & ~code.between(0xD800, 0xDFFF)
+        known = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        return F.when(valid, known).otherwise(F.lit("\ufffd"))
+
+    def piece(x: Column) -> Column:
+        body = F.substr(x, F.lit(2), F.length(x) - 2)
+        number = F.when(x.rlike("^&#[xX]"), F.conv(F.substr(body, F.lit(3)), 16, 10)).otherwise(F.substr(body, F.lit(2)))
+        return (
+            F.when(x.rlike("^&#.*;$"), sign(number.cast("bigint")))
+            .when(x.rlike("^&.+;$"), F.coalesce(F.try_element_at(named, body), x))
+            .otherwise(x)
+        )
+
+    whole = F.array_join(F.transform(F.regexp_extract_all(text, F.lit(_PIECE), F.lit(0)), piece), "")
+    return F.when(F.contains(text, F.lit("&")), whole).otherwise(text)
+
 
 def text_of(html: Column) -> Column:
-    """Without comments, hidden elements and tags; entities unescaped, white space collapsed."""
-    text = F.regexp_replace(F.coalesce(html, F.lit("")), "(?s)<!--.*?-->", " ")
-    for name in HIDDEN:
-        text = F.regexp_replace(text, f"(?is)<{name}[^>]*>.*?</{name}>", " ")
-    text = F.regexp_replace(text, "<[^>]*>", " ")
-    for entity, sign in ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(sign))
-    return F.trim(F.regexp_replace(text, _SPACE, " "))
+    """The text outside hidden elements; a tag or comment is a space, entities are unescaped, white space collapses.
+
+    Tags are `<` with a letter behind it (or behind a slash, `!` or `?`), so `1 < 2` stays text. A `>`
+    inside a quoted attribute ends its tag. Null gives the empty text.
+    """
+
+    def visible(tokens: Column) -> Column:
+        def kept(spans: Column) -> Column:
+            hidden = lambda i: F.exists(spans, lambda s: (i >= s["first"]) & (i < s["end"]))
+            return F.transform(
+                tokens, lambda t, i: F.when(t.rlike(_MARKUP), F.lit(" ")).when(hidden(i), F.lit("")).otherwise(t)
+            )
+
+        return F.array_join(let(_hidden_spans(tokens), kept), "")
+
+    tokens = F.regexp_extract_all(F.coalesce(html, F.lit("")), F.lit(_TOKEN), F.lit(0))
+    return F.trim(F.regexp_replace(unescaped(let(tokens, visible)), _SPACE, " "))
 
 
 def extract_text(pages: DataFrame, html: str = "html") -> DataFrame:
-    """The pages with `text` instead of their HTML."""
-    return pages.withColumn("text", text_of(F.col(html))).drop(html)
+    """The pages with `text` instead of their HTML. Nothing is shuffled; null pages have the empty text;
+    repeated rows give repeated results; a table that already has a `text` is refused."""
+    if "text" in pages.columns and html != "text":
+        raise ValueError("the pages already have a column text")
+    found = pages.withColumn("__text", text_of(F.col(html))).drop(html)
+    return found.withColumnRenamed("__text", "text")
 
 
 def host_of(url: Column) -> Column:

@@ -195,14 +195,33 @@ QUERIES = {
 _S = r"\x20\x09-\x0D"
 
 
-def _text_sql(html: str) -> str:
-    text = f"regexp_replace(coalesce({html}, ''), '(?s)<!--.*?-->', ' ', 'g')"
-    for name in web.HIDDEN:
-        text = f"regexp_replace({text}, '(?is)<{name}[^>]*>.*?</{name}>', ' ', 'g')"
-    text = f"regexp_replace({text}, '<[^>]*>', ' ', 'g')"
-    for entity, sign in web.ENTITIES:
-        text = f"replace({text}, '{entity}', '{sign.replace(chr(39), chr(39) * 2)}')"
-    return f"trim(regexp_replace({text}, '[{_S}]+', ' ', 'g'), ' ')"
+def _texts_sql(pages: str) -> str:
+    """page_id, url and text of `pages`: tokens as rows, running depths of the hidden elements by window."""
+    raw = "|".join(rf"<{n}\b[^>]*>.*?(</{n}[ \t\n\v\f\r]*>|\z)" for n in web.RAW)
+    steps = ", ".join(
+        rf"""CASE WHEN NOT regexp_matches(tok, '(?i)^</?{n}([ \t\n\v\f\r/][^>]*)?>$') THEN 0
+             WHEN tok[2] = '/' THEN -1 WHEN tok[-2] = '/' THEN 0 ELSE 1 END AS d{k}"""
+        for k, n in enumerate(web.HIDDEN)
+    )
+    kinds = range(len(web.HIDDEN))
+    sums = ", ".join(f"sum(d{k}) OVER w AS s{k}" for k in kinds)
+    depth = " AND ".join(f"s{k} = least(0, m{k})" for k in kinds)
+    names = ", ".join(f"'&{n};': '{c.replace(chr(39), chr(39) * 2)}'" for n, c in web.ENTITIES.items())
+    code = "(CASE WHEN lower(x[3]) = 'x' THEN ('0x' || x[4:-2])::BIGINT ELSE x[3:-2]::BIGINT END)"
+    piece = f"""CASE WHEN x[1] <> '&' OR x[-1] <> ';' OR length(x) < 2 THEN x
+        WHEN x[2] = '#' THEN CASE WHEN {code} BETWEEN 1 AND 55295 OR {code} BETWEEN 57344 AND 1114111 THEN chr({code}::INT) ELSE chr(65533) END
+        ELSE coalesce(names[x], x) END"""
+    return rf"""(WITH named AS (SELECT MAP {{{names}}} AS names), cut AS (
+  SELECT page_id, url, regexp_extract_all(coalesce(html, ''), '(?is)<!--.*?(-->|\z)|{raw}|<[!?/]?[a-z][^>]*>|[^<]+|<') AS t FROM ({pages})),
+tok AS (SELECT page_id, unnest(t) AS tok, unnest(range(len(t))) AS i FROM cut),
+steps AS (SELECT page_id, i, tok, regexp_matches(tok, '(?is)^<(!--|[!?/]?[a-z])') AS markup, {steps} FROM tok),
+sums AS (SELECT *, {sums} FROM steps WINDOW w AS (PARTITION BY page_id ORDER BY i)),
+lows AS (SELECT *, {", ".join(f"min(s{k}) OVER w AS m{k}" for k in kinds)} FROM sums WINDOW w AS (PARTITION BY page_id ORDER BY i)),
+joined AS (SELECT page_id, string_agg(CASE WHEN markup THEN ' ' WHEN {depth} THEN tok ELSE '' END, '' ORDER BY i) AS raw FROM lows GROUP BY page_id),
+clean AS (SELECT page_id, array_to_string(list_transform(
+    regexp_extract_all(raw, '(?s)&(#[0-9]{{1,7}}|#[xX][0-9a-fA-F]{{1,6}}|[A-Za-z][A-Za-z0-9]{{1,31}});|[^&]+|&'), lambda x: {piece}), '') AS c
+  FROM joined, named)
+SELECT page_id, url, trim(regexp_replace(coalesce(c, ''), '[{_S}]+', ' ', 'g'), ' ') AS text FROM cut LEFT JOIN clean USING (page_id))"""
 
 
 def _semantic_sql(vectors: str) -> str:
@@ -237,7 +256,7 @@ def _on(table: str, sql: str) -> str:
     return sql.strip().replace("WITH", f"WITH documents AS (SELECT * FROM {table}),", 1)
 
 
-_FUNNEL = rf"""WITH a AS (SELECT page_id AS doc_id, {_text_sql("html")} AS text FROM ({_ALLOWED})),
+_FUNNEL = rf"""WITH a AS (SELECT page_id AS doc_id, text FROM {_texts_sql(_ALLOWED)}),
 q AS ({_on("a", curation_queries.ORACLES["quality_filters"])}),
 good AS (SELECT a.* FROM a JOIN q USING (doc_id) WHERE kept),
 one AS (SELECT * FROM good QUALIFY row_number() OVER (
@@ -253,7 +272,7 @@ UNION ALL SELECT '6 score', count(*) FROM h JOIN x USING (doc_id) WHERE kept AND
 
 ORACLES = {
     "pipeline_funnel": _FUNNEL,
-    "extract_text": f"SELECT page_id, url, {_text_sql('html')} AS text FROM pages",
+    "extract_text": f"SELECT page_id, url, text FROM {_texts_sql('SELECT * FROM pages')}",
     "url_blocklist": f"SELECT page_id, url FROM ({_ALLOWED})",
     "language_id": rf"""WITH c AS (SELECT doc_id, lang, ' ' || trim(regexp_replace(lower(coalesce(text, '')), '[{_S}]+', ' ', 'g'), ' ') || ' ' AS t FROM documents),
 g AS (SELECT doc_id, lang, substr(t, i, 3) AS gram FROM (SELECT *, unnest(range(1, length(t) - 1)) AS i FROM c)),
@@ -318,7 +337,7 @@ SELECT * FROM r WHERE margin > 0 AND margin >= 10""",
 
 
 _CLUSTERED = curation_queries.ORACLES["dedup_minhash"].replace("WITH RECURSIVE", "WITH RECURSIVE documents AS (SELECT *, NULL AS source FROM one),", 1)
-ORACLES["pipeline_funnel_whole"] = rf"""WITH a AS (SELECT page_id AS doc_id, {_text_sql("html")} AS text FROM ({_ALLOWED})),
+ORACLES["pipeline_funnel_whole"] = rf"""WITH a AS (SELECT page_id AS doc_id, text FROM {_texts_sql(_ALLOWED)}),
 mixed AS (SELECT -1 - doc_id AS doc_id, text, lang FROM documents UNION ALL SELECT doc_id, text, NULL FROM a),
 p AS ({_on("mixed", ORACLES["language_id"])}),
 spoken AS (SELECT a.* FROM a JOIN p USING (doc_id) WHERE predicted = '{LANGUAGE}'),

@@ -5,6 +5,7 @@ import random
 import re
 from collections import Counter
 
+import duckdb
 import numpy as np
 import pytest
 
@@ -98,6 +99,37 @@ def test_filters_take_any_row(docs):
         assert sorted(r.doc_id for r in found.collect()) == list(range(len(TEXTS)))
 
 
+#: Pages and their text; the query's SQL must agree too.
+PAGES = {
+    "<navbar>x</navbar><p>keep me</p><nav>y</nav>": "x keep me",
+    "<nav>a<nav>b</nav>c</nav>d": "d",
+    "<nav>a<head>b</nav>c</head>d</nav>e": "d e",
+    "caf&eacute; &#8217;&#x41;&#X1F600; &bogus; &amp;lt; &apos; &; & &#0;&#xD800;": "café ’A😀 &bogus; &lt; ' &; & \ufffd\ufffd",
+    "1 < 2 and 3 > 1 <b>x</b>": "1 < 2 and 3 > 1 x",
+    '<script>var t="</p><nav>";</script >seen<STYLE x>p{}</STYLE><!-- <p> --> too': "seen too",
+    "open <noscript>gone": "open",
+    "a<script>gone": "a",
+    "a<!-- gone": "a",
+    "a</nav>b<nav/>c<nav class='x'>d</nav >e": "a b c e",
+    "<?xml v?><!DOCTYPE html>x<br/>y&nbsp;z\n\t w": "x y z w",
+    "": "",
+    "<": "<",
+}
+
+
+def test_text_of_pages(spark):
+    pages = spark.createDataFrame([(n, "u", h) for n, h in enumerate(PAGES)], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in web.extract_text(pages).collect()}
+    assert got == dict(enumerate(PAGES.values()))
+    connection = duckdb.connect()
+    connection.execute("CREATE TABLE pages (page_id BIGINT, url VARCHAR, html VARCHAR)")
+    connection.executemany("INSERT INTO pages VALUES (?, 'u', ?)", list(enumerate(PAGES)))
+    assert {k: t for k, _, t in connection.execute(web_queries.ORACLES["extract_text"]).fetchall()} == got
+    with pytest.raises(ValueError):
+        web.extract_text(pages.withColumn("text", pages["url"]))
+    assert web.extract_text(pages.limit(0)).count() == 0
+
+
 def test_pages(spark):
     rows = [
         (1, "http://A.b.com:80/x", "<head><title>t</title></head><p>a &lt;b&gt;<!-- x --> c<SCRIPT>1</SCRIPT></p>"),
