@@ -236,19 +236,29 @@ def sft_pairs(turns: DataFrame, conversation: str = "conv_id", turn: str = "turn
     )
 
 
-def preference_pairs(answers: DataFrame, margin: float, prompt: str = "prompt", answer: str = "answer", score: str = "score") -> DataFrame:
+def preference_pairs(
+    answers: DataFrame, margin: float, prompt: str = "prompt", answer: str = "answer", score: str = "score", reason: str | None = None
+) -> DataFrame:
     """(prompt, chosen, rejected, margin): best and worst answer of a prompt at least `margin` apart.
 
-    Equal scores go to the lower answer text. One aggregation, combined before its shuffle.
+    With `reason`, the column that says why an answer has its score, also chosen_reason and
+    rejected_reason. Equal scores go to the lower answer text. Answers without a score (null or NaN)
+    are no candidates; null prompts are one prompt; repeated rows change nothing; an empty table
+    gives an empty table. One aggregation, combined before its shuffle.
     """
-    best = F.max(F.col(score)).alias("__high")
-    found = answers.groupBy(prompt).agg(
-        best,
-        F.min(score).alias("__low"),
-        F.min(F.struct((-F.col(score)).alias("s"), F.col(answer).alias("a"))).alias("__best"),
-        F.min(F.struct(F.col(score).alias("s"), F.col(answer).alias("a"))).alias("__worst"),
+    why = F.col(reason) if reason else F.lit(None).cast("string")
+    rated = answers.select(F.col(prompt).alias("p"), F.col(answer).alias("a"), F.col(score).alias("s"), why.alias("r"))
+    rated = rated.where(F.col("s").isNotNull() & ~F.isnan(F.col("s").cast("double")))
+    found = rated.groupBy("p").agg(
+        F.min(F.struct((-F.col("s")).alias("s"), "a", "r")).alias("best"), F.min(F.struct("s", "a", "r")).alias("worst")
     )
-    gap = F.col("__high") - F.col("__low")
+    gap = -F.col("best.s") - F.col("worst.s")
+    reasons = [F.col("best.r").alias("chosen_reason"), F.col("worst.r").alias("rejected_reason")] if reason else []
     return found.where((gap > 0) & (gap >= margin)).select(
-        prompt, F.col("__best.a").alias("chosen"), F.col("__worst.a").alias("rejected"), gap.alias("margin")
+        F.col("p").alias(prompt), F.col("best.a").alias("chosen"), F.col("worst.a").alias("rejected"), gap.alias("margin"), *reasons
     )
+
+
+def save_pairs(pairs: DataFrame, path: str) -> None:
+    """Preference pairs as JSON lines, one object for each pair; an earlier result at `path` is replaced."""
+    pairs.write.mode("overwrite").json(path)

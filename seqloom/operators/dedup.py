@@ -130,3 +130,13 @@ def dedup_report(kept: DataFrame, labels: DataFrame, key: str = "doc_id") -> Dat
             F.avg("toxic").alias("mean_toxic"),
         )
     )
+
+
+def cluster_sizes(clusters: DataFrame, cluster: str = "cluster_id") -> DataFrame:
+    """size, clusters, documents: how many clusters have how many documents.
+
+    Counted twice, each time combined before the shuffle: a cluster of any size is one row of counts.
+    Documents without a cluster (null) are one cluster; an empty table gives an empty table.
+    """
+    counted = clusters.groupBy(cluster).agg(F.count("*").alias("size"))
+    return counted.groupBy("size").agg(F.count("*").alias("clusters"), F.sum("size").alias("documents"))

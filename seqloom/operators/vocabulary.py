@@ -89,3 +89,27 @@ def ngram_perplexity(base: DataFrame, docs: DataFrame, key: str = "doc_id", text
     return found.groupBy(key).agg(
         F.sum("k").alias("tokens"), F.exp(-F.sum(F.col("k") * F.log(chance)) / F.sum("k")).alias("perplexity")
     )
+
+
+def perplexity_distribution(
+    scored: DataFrame,
+    by: str,
+    value: str = "perplexity",
+    quantiles: tuple[float, ...] = (0.1, 0.25, 0.5, 0.75, 0.9),
+    accuracy: int = 10_000,
+) -> DataFrame:
+    """`by`, documents, scored, mean and the quantiles (`p10`, ...) of `value` in each group.
+
+    Quantiles come from sketches that merge before the shuffle, so that a group with most of the rows
+    is summed up in its tasks. A quantile is a value of the group whose rank is off by at most
+    rows / accuracy: exact in groups of fewer rows than that. Null values are counted in documents
+    only; null groups are kept; an empty table gives an empty table.
+    """
+    names = [f"p{round(q * 100)}" for q in quantiles]
+    found = scored.groupBy(by).agg(
+        F.count("*").alias("documents"),
+        F.count(value).alias("scored"),
+        F.avg(value).alias("mean"),
+        F.percentile_approx(value, list(quantiles), accuracy).alias("q"),
+    )
+    return found.select(by, "documents", "scored", "mean", *(F.col("q")[n].alias(name) for n, name in enumerate(names)))

@@ -37,6 +37,10 @@ def dedup_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.withColumns({c: F.round(c, 6) for c in ("mean_quality", "mean_toxic")})
 
 
+def dedup_cluster_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup.cluster_sizes(dedup_minhash(spark, sf_dir))
+
+
 def quality_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filters.quality_filters(fx.table(spark, sf_dir, "documents"))
 
@@ -60,6 +64,7 @@ QUERIES = {
     "dedup_per_dump": dedup_per_dump,
     "dedup_across_dumps": dedup_across_dumps,
     "dedup_report": dedup_report,
+    "dedup_cluster_sizes": dedup_cluster_sizes,
     "quality_filters": quality_filters,
     "repetition_filters": repetition_filters,
     "heuristic_filters": heuristic_filters,
@@ -159,6 +164,9 @@ ORACLES = {
         SELECT doc_id = cluster_id AS kept, count(*) AS documents, count(quality) AS labelled,
                round(avg(quality), 6) AS mean_quality, round(avg(toxic), 6) AS mean_toxic
         FROM clusters LEFT JOIN labels USING (doc_id) GROUP BY 1""",
+    "dedup_cluster_sizes": f"""WITH RECURSIVE {_clusters()}
+        SELECT size, count(*) AS clusters, CAST(sum(size) AS BIGINT) AS documents
+        FROM (SELECT count(*) AS size FROM clusters GROUP BY cluster_id) GROUP BY size""",
     "quality_filters": rf"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t, {_WORDS} AS w, {_LINES} AS l FROM documents),
 f AS (SELECT doc_id, len(w) BETWEEN 50 AND 100000 AS word_count,
     {_chars('w')} BETWEEN 3 * len(w) AND 10 * len(w) AS word_length,

@@ -63,6 +63,11 @@ def ngram_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vocabulary.ngram_perplexity(base, docs).withColumn("perplexity", F.round("perplexity", 4))
 
 
+def perplexity_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = ngram_perplexity(spark, sf_dir).join(fx.table(spark, sf_dir, "documents").select("doc_id", "source"), "doc_id")
+    return vocabulary.perplexity_distribution(scored, "source").withColumn("mean", F.round("mean", 4))
+
+
 def stratified_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = fx.table(spark, sf_dir, "documents")
     return curation.stratified_sample(docs, ["source", "lang"], PER_STRATUM)
@@ -104,8 +109,8 @@ def preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = fx.table(spark, sf_dir, "conversations")
     prompts = turns.where("role = 'user'").groupBy("conv_id").agg(F.min_by("text", "turn").alias("asked"))
     answers = turns.where("role = 'assistant'").join(prompts, "conv_id")
-    scored = answers.select(F.concat_ws(": ", F.col("conv_id").cast("string"), "asked").alias("prompt"), F.col("text").alias("answer"), F.length("text").alias("score"))
-    return curation.preference_pairs(scored, 10).withColumn("margin", F.col("margin").cast("bigint"))
+    scored = answers.select(F.concat_ws(": ", F.col("conv_id").cast("string"), "asked").alias("prompt"), F.col("text").alias("answer"), F.length("text").alias("score"), F.concat(F.lit("turn "), "turn").alias("reason"))
+    return curation.preference_pairs(scored, 10, reason="reason").withColumn("margin", F.col("margin").cast("bigint"))
 
 
 def pipeline_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -179,6 +184,7 @@ QUERIES = {
     "decode_vocab": decode_vocab,
     "word_index": word_index,
     "ngram_perplexity": ngram_perplexity,
+    "perplexity_by_source": perplexity_by_source,
     "stratified_sample": stratified_sample,
     "filter_discovery": filter_discovery,
     "dedup_semantic": dedup_semantic,
@@ -328,14 +334,18 @@ SELECT feature, bucket, round(f, 6) AS first_share, round(s, 6) AS second_share,
         FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn))
         WHERE role = 'user' AND following = 'assistant'""",
     "preference_pairs": """WITH p AS (SELECT conv_id, arg_min(text, turn) AS asked FROM conversations WHERE role = 'user' GROUP BY conv_id),
-a AS (SELECT conv_id || ': ' || asked AS prompt, text AS answer, length(text) AS score
+a AS (SELECT conv_id || ': ' || asked AS prompt, text AS answer, length(text) AS score, 'turn ' || turn AS reason
       FROM conversations JOIN p USING (conv_id) WHERE role = 'assistant'),
 r AS (SELECT prompt, max(score) - min(score) AS margin,
-             first(answer ORDER BY score DESC, answer) AS chosen, first(answer ORDER BY score, answer) AS rejected FROM a GROUP BY prompt)
+             first(answer ORDER BY score DESC, answer) AS chosen, first(answer ORDER BY score, answer) AS rejected,
+             first(reason ORDER BY score DESC, answer, reason) AS chosen_reason, first(reason ORDER BY score, answer, reason) AS rejected_reason FROM a GROUP BY prompt)
 SELECT * FROM r WHERE margin > 0 AND margin >= 10""",
 }
 
 
+ORACLES["perplexity_by_source"] = f"""SELECT source, count(*) AS documents, count(perplexity) AS scored, round(avg(perplexity), 4) AS mean,
+       {", ".join(f"quantile_disc(perplexity, {q / 100}) AS p{q}" for q in (10, 25, 50, 75, 90))}
+FROM ({ORACLES["ngram_perplexity"]}) JOIN documents USING (doc_id) GROUP BY source"""
 _CLUSTERED = curation_queries.ORACLES["dedup_minhash"].replace("WITH RECURSIVE", "WITH RECURSIVE documents AS (SELECT *, NULL AS source FROM one),", 1)
 ORACLES["pipeline_funnel_whole"] = rf"""WITH a AS (SELECT page_id AS doc_id, text FROM {_texts_sql(_ALLOWED)}),
 mixed AS (SELECT -1 - doc_id AS doc_id, text, lang FROM documents UNION ALL SELECT doc_id, text, NULL FROM a),

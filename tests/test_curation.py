@@ -1,5 +1,6 @@
 """Curation operators on odd rows, against plain definitions."""
 
+import hashlib
 import math
 import random
 import re
@@ -264,3 +265,38 @@ def test_whole_funnel_drops_other_languages_and_near_copies(spark, sf_dir):
     rows = {r.stage[2:]: r for r in web_queries.pipeline_funnel_whole(spark, sf_dir).collect()}
     assert rows["language"].pages < rows["allowed hosts"].pages and rows["near copies"].pages < rows["exact copies"].pages
     assert rows["tokenized"].pages == rows["score"].pages > 0 and rows["tokenized"].tokens > 0
+
+
+def test_cluster_sizes(spark):
+    rows = [(1, 1), (2, 1), (3, 1), (4, 4), (5, 5), (6, None)]
+    found = dedup.cluster_sizes(spark.createDataFrame(rows, "doc_id long, cluster_id long")).collect()
+    assert {tuple(r) for r in found} == {(3, 1, 3), (1, 3, 3)}
+
+
+def test_signatures_are_a_row_for_each_row(spark):
+    rows = [(1, "a b c d e f"), (1, "g h i j k l"), (None, "a b c d e f"), (4, None), (5, " ")]
+    found = dedup.minhash_signature(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert [r.doc_id for r in found] == [1, 1, None]
+    assert found[0].signature == found[2].signature != found[1].signature
+    shingles = ["a b c d e", "b c d e f"]
+    hashed = [int(hashlib.md5(s.encode()).hexdigest()[:8], 16) % dedup.PRIME for s in shingles]
+    assert found[0].signature == [min((h * a + b) % dedup.PRIME for h in hashed) for a, b in dedup.coefficients(112)]
+
+
+def test_quantiles_of_a_sketch(spark):
+    draw = np.random.default_rng(2).permutation(20_000).tolist()
+    rows = [("many", float(x)) for x in draw] + [("few", 3.0), ("few", 1.0), ("few", None), (None, None)]
+    scored = spark.createDataFrame(rows, "source string, perplexity double").repartition(7)
+    found = {r.source: r for r in vocabulary.perplexity_distribution(scored, "source", accuracy=200).collect()}
+    for name, share in (("p10", 0.1), ("p50", 0.5), ("p90", 0.9)):
+        assert abs(found["many"][name] - share * 20_000) <= 20_000 / 200
+    assert (found["few"].documents, found["few"].scored, found["few"].p10, found["few"].p90) == (3, 2, 1.0, 3.0)
+    assert found[None].documents == 1 and found[None].p50 is None
+
+
+def test_pairs_have_their_reasons(spark, tmp_path):
+    rows = [("p", "good", 9.0, "clear"), ("p", "bad", 1.0, "wrong"), ("p", "odd", None, "x"), ("p", "nan", float("nan"), "y"), ("q", "one", 5.0, "z")]
+    pairs = curation.preference_pairs(spark.createDataFrame(rows, "prompt string, answer string, score double, why string"), 2, reason="why")
+    assert [tuple(r) for r in pairs.collect()] == [("p", "good", "bad", 8.0, "clear", "wrong")]
+    curation.save_pairs(pairs, f"{tmp_path}/pairs")
+    assert spark.read.json(f"{tmp_path}/pairs").first()["chosen_reason"] == "clear"
