@@ -6,15 +6,14 @@ in its key.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seqloom.functions.numeric import as_minimised, reaches
-from seqloom.operators.ordered import Running, by_width, running
+from seqloom.operators.ordered import Running, by_value, by_width, running
+from seqloom.session import written
 
 RUN = ("run_id",)
 POINT = ("record_seq", "global_step", "chunk_id", "value")
@@ -83,56 +82,32 @@ def best_events(
 def _spaced(lows: DataFrame, keys: Sequence[str], min_delta: float) -> DataFrame:
     """From a falling series keep each value more than `min_delta` below the one kept before.
 
-    Each choice depends on the one before, so that a key's lows pass one task in order: as a stream
-    of Arrow batches with a carry of one number, in bounded memory, with one binary search per kept
-    value. Only record lows come here, of a noisy series about the logarithm of its length.
+    Each low points to the greatest one that far below it: a running maximum over lows and bounds in
+    the order of their values, cut into buckets of it. What the first low of a key reaches is kept.
+    Pointers are doubled: a round adds what the kept ones point to and joins the pointers with
+    themselves, so that the rounds grow with the logarithm of the values kept, and a key with any
+    number of lows is spread by its values. Only record lows come here, of a noisy series about the
+    logarithm of its length.
     """
-    sent = (
-        lows.select(*keys, *POINT, "__goal")
-        .repartition(*[F.col(k) for k in keys])
-        .sortWithinPartitions(*keys, "record_seq")
-    )
-
-    def keep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current: tuple | None = None
-        bound = np.inf
-        for batch in batches:
-            if batch.empty:
-                continue
-            columns = [batch[k].to_numpy() for k in keys]
-            changed = np.zeros(len(batch), dtype=bool)
-            for column in columns:
-                changed[1:] |= column[1:] != column[:-1]
-            changed[0] = tuple(column[0] for column in columns) != current
-            starts = np.flatnonzero(changed)
-            if not changed[0]:
-                starts = np.concatenate([[0], starts])
-            goals = batch["__goal"].to_numpy(dtype=float)
-            chosen: list[int] = []
-            for start, stop in zip(starts, [*starts[1:], len(batch)]):
-                at = start
-                if changed[start]:
-                    chosen.append(start)
-                    # A NaN first value can never be improved on: no later row follows it here.
-                    bound, at = goals[start] - min_delta, start + 1
-                falling = -goals[at:stop]
-                base = at
-                while True:
-                    step = np.searchsorted(falling, -bound, side="right")
-                    if step >= len(falling):
-                        break
-                    chosen.append(base + step)
-                    bound = goals[base + step] - min_delta
-                    falling, base = falling[step + 1 :], base + step + 1
-            current = tuple(column[-1] for column in columns)
-            yield batch.iloc[chosen]
-
-    return _nan_for_null(sent.mapInPandas(keep, sent.schema), "value")
-
-
-def _nan_for_null(df: DataFrame, *columns: str) -> DataFrame:
-    """Undo what pandas makes of NaN, in columns that are never null."""
-    return df.withColumns({c: F.coalesce(F.col(c), F.lit(float("nan"))) for c in columns})
+    lows = written(lows.select(*keys, *POINT, "__goal"), "lows")
+    known = lows.filter(F.col("__goal").isNotNull())
+    places = known.select(*keys, F.col("__goal").alias("__x"), F.lit(1).alias("__kind"), F.lit(None).cast("double").alias("__from"))
+    bounds = known.select(*keys, (F.col("__goal") - F.lit(min_delta)).alias("__x"), F.lit(0), F.col("__goal"))
+    points = places.union(bounds)  # at equal values the bound comes first
+    below = Running("max", F.when(F.col("__kind") == 1, F.col("__x")))
+    ranked = running(points, by_value(points, "__x", ["__kind"]), {"__to": below}, keys)
+    jumps = ranked.filter((F.col("__kind") == 0) & F.col("__to").isNotNull()).select(*keys, "__from", "__to")
+    kept = known.groupBy(*keys).agg(F.max("__goal").alias("__goal"))
+    jumps = written(jumps, "jumps")
+    while not jumps.isEmpty():
+        here = kept.withColumnRenamed("__goal", "__from")
+        reached = jumps.join(here, [*keys, "__from"], "left_semi").select(*keys, F.col("__to").alias("__goal"))
+        kept = written(kept.union(reached), "kept-lows")
+        onward = jumps.select(*keys, F.col("__from").alias("__to"), F.col("__to").alias("__end"))
+        jumps = written(jumps.join(onward, [*keys, "__to"]).select(*keys, "__from", F.col("__end").alias("__to")), "jumps")
+    chosen = known.join(kept, [*keys, "__goal"], "left_semi")
+    # A NaN first value can never be improved on: it is the only row of its key here.
+    return lows.filter(F.col("__goal").isNull()).unionByName(chosen.select(lows.columns))
 
 
 def threshold_events(

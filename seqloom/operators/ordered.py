@@ -12,6 +12,7 @@ A key that holds a third of the table is thus spread over as many tasks as it ha
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
@@ -56,7 +57,7 @@ def by_value(df: DataFrame, column: str, ties: Sequence[str] = (), buckets: int
     bounds: list[float] = []
     if probabilities:
         row = df.agg(F.percentile_approx(number, probabilities, 10 * count).alias("q")).first()
-        bounds = sorted(set(row["q"] or []))
+        bounds = sorted({bound for bound in row["q"] or [] if math.isfinite(bound)})
     splits = [float("-inf"), *bounds, float("inf")]
 
     def add_bucket(frame: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ import naive
 from seqloom.functions.numeric import perplexity, reaches
 from seqloom.functions.text import axis_label, file_safe
 from seqloom.operators import intervals, monitors, series, summary
+from seqloom.operators.ordered import BUCKET, by_value
 
 OBSERVED = "run_id long, record_seq long, global_step long, chunk_id long, value double"
 NAN = math.nan
@@ -56,17 +57,17 @@ def test_best_events_equal_the_fold(spark, small_buckets, mode, delta):
     assert all(str(r["value"]) == values[r["run_id"], r["record_seq"]] for r in rows)
 
 
-def test_a_long_falling_run_crosses_batches(spark):
-    """One key in several Arrow batches, next to short ones in the same task."""
-    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")
-    try:
-        runs = {1: [(i, i, 1000 - i * 0.25) for i in range(700)], 2: [(0, 1, 3.0), (1, 2, 1.0)], 3: [(0, 1, 5.0)]}
-        table = as_table(spark, runs).coalesce(1)
-        found = by_run(monitors.best_events(table, "min", 0.6).collect(), "record_seq")
-        assert found == {run: naive.best(rows, "min", 0.6) for run, rows in runs.items()}
-    finally:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+def test_a_long_falling_run_is_native_and_spread(spark):
+    """One key whose every value is a low, next to short ones."""
+    runs = {1: [(i, i, 1000 - i * 0.25) for i in range(700)], 2: [(0, 1, 3.0), (1, 2, 1.0)], 3: [(0, 1, 5.0)]}
+    runs[4] = [(0, 1, math.inf), (1, 2, 7.0), (2, 3, 6.5), (3, 4, -math.inf)]
+    events = monitors.best_events(as_table(spark, runs), "min", 0.6)
+    assert by_run(events.collect(), "record_seq") == {run: naive.best(rows, "min", 0.6) for run, rows in runs.items()}
+    plan = events._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Pandas" not in plan
+    lows = as_table(spark, runs).withColumn("__x", F.col("value")).where("run_id = 1")
+    buckets = by_value(lows, "__x").add_bucket(lows)
+    assert buckets.select(BUCKET).distinct().count() >= 16
 
 
 @pytest.mark.parametrize(
