@@ -1,5 +1,7 @@
 """The network's gradients, its windows, and what it learns."""
 
+import math
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -40,13 +42,53 @@ def test_gradients_match_differences():
 
 
 def test_windows_cover_every_word():
-    for length in (0, 1, 23, 24, 25, 36, 37, 500):
+    for length in (0, 1, 7, 8, 9, 12, 13, 500):
         windows = tx.windows_of(np.arange(length))
         assert set(windows.ravel()) - {-1} == set(range(length))
         inner = [set(w) for w in windows]
         assert all(a & b - {-1} for a, b in zip(inner, inner[1:], strict=False))
 
 
+def plain_logit(p, vectors, words):
+    """The network word by word and unit by unit, for the numbers of one window."""
+    size, bend = tx.STATE, lambda x: x / (1 + abs(x))
+    states = [[0.0] * (2 * size) for _ in words]
+    for way, offset, steps in (("f", 0, range(len(words))), ("b", size, reversed(range(len(words))))):
+        before = [0.0] * size
+        for t in steps:
+            fed = [float(b) + sum(float(x) * float(w) for x, w in zip(vectors[words[t]], c, strict=True)) for b, c in zip(p[f"bias_{way}"], p[f"in_{way}"].T, strict=True)]
+            sent = [sum(x * float(w) for x, w in zip(before, c, strict=True)) for c in p[f"state_{way}"].T]
+            z, r = ([0.5 + 0.5 * bend(fed[k + u] + sent[k + u]) for u in range(size)] for k in (0, size))
+            new = [bend(fed[2 * size + u] + r[u] * sent[2 * size + u]) for u in range(size)]
+            before = [new[u] + z[u] * (before[u] - new[u]) for u in range(size)]
+            states[t][offset : offset + size] = before
+    marks = []
+    for state in states:
+        hidden = [bend(sum(x * float(w) for x, w in zip(state, c, strict=True))) for c in p["attend"].T]
+        marks.append(math.exp(sum(h * float(q) for h, q in zip(hidden, p["query"], strict=True))))
+    pooled = [sum(m * s[u] for m, s in zip(marks, states, strict=True)) / sum(marks) for u in range(2 * size)] if words else [0.0] * (2 * size)
+    return float(p["out_bias"][0]) + sum(x * float(w) for x, w in zip(pooled, p["out"], strict=True))
+
+
+def test_scores_are_those_of_the_worst_of_all_windows():
+    draw = np.random.default_rng(3)
+    names = ["idiot", "the", "of", "ünder", "x", "and", "in", "a"]
+    own = {"the": 1, "of": 2, "idiot": 3}
+    p = tx.start(4)
+    vectors = tx.type_vectors(p, np.array([own.get(w, 0) for w in names]), *tx.gram_rows(names))
+    texts = [None, "", "#$%", *(" ".join(draw.choice(names, n)) for n in (1, 5, 7, 8, 9, 20, 8, 33, 3, 61))]
+    for chunk in (1, 10, 4096):
+        score = tx.scorer(p, own, 1.5, -0.25, chunk=chunk)
+        for group in (texts, texts[:4], texts[8:9], texts[::-1]):
+            expected = []
+            for text in group:
+                words = [names.index(w) for w in tx.words_of(text)]
+                starts = range(max(1, len(words) - tx.WINDOW + 1))
+                worst = max(plain_logit(p, vectors, words[i : i + tx.WINDOW]) for i in starts)
+                expected.append(1 / (1 + math.exp(-(1.5 * worst - 0.25))))
+            assert score(group) == pytest.approx(expected, abs=1e-5)
+
+
 def test_grams_follow_their_words():
     rows, begins = tx.gram_rows(["ab", "x", "ab"])
     ends = [*begins[1:], len(rows)]
