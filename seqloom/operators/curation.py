@@ -15,6 +15,7 @@ from pyspark.sql.types import StructField, StructType
 
 from seqloom.functions.hashing import seeded_digest
 from seqloom.operators.components import components
+from seqloom.operators.ordered import Running, by_value, running
 from seqloom.session import written
 
 _SALTS = 64
@@ -208,17 +209,57 @@ def dedup_semantic(
     )
 
 
-def quality_classifier(docs: DataFrame, labels: DataFrame, target: str, features: int = 1 << 14, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """key and `score` of all documents: logistic regression on hashed word counts, fitted on all labelled rows."""
+def quality_classifier(
+    docs: DataFrame,
+    labels: DataFrame,
+    target: str,
+    features: int = 1 << 14,
+    key: str = "doc_id",
+    text: str = "text",
+    folds: int = 4,
+    held: int = 2,
+) -> DataFrame:
+    """key, `held_out` and `score` of all documents: logistic regression on hashed word counts.
+
+    It learns from the labelled rows whose crc32(key as text) mod `folds` is not `held`; the others
+    are held out, labelled or not. Rows without a label teach nothing; null texts have no words; a
+    null key is scored and neither held out nor learned from. Other columns are never looked at.
+    Without a labelled row to learn from there is no model and the fit fails.
+    """
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import HashingTF
     from pyspark.ml.functions import vector_to_array
 
-    words = F.split(F.lower(F.coalesce(text, F.lit(""))), r"[\x20\x09-\x0D]+")
-    counted = HashingTF(inputCol="words", outputCol="counts", numFeatures=features).transform(docs.select(key, words.alias("words")))
-    known = counted.join(labels.select(key, F.col(target).cast("double").alias("label")), key).where("label is not null")
-    model = LogisticRegression(featuresCol="counts", maxIter=20, regParam=0.01).fit(known.select("counts", "label"))
-    return model.transform(counted).select(key, vector_to_array("probability")[1].alias("score"))
+    words = F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    held_out = F.coalesce(F.crc32(F.col(key).cast("string")) % F.lit(folds) == F.lit(held), F.lit(False))
+    rows = docs.select(key, held_out.alias("held_out"), words.alias("words"))
+    counted = HashingTF(inputCol="words", outputCol="counts", numFeatures=features).transform(rows)
+    known = counted.where(~F.col("held_out")).join(labels.select(key, F.col(target).cast("double").alias("label")), key)
+    model = LogisticRegression(featuresCol="counts", maxIter=20, regParam=0.01).fit(known.where("label is not null").select("counts", "label"))
+    return model.transform(counted).select(key, "held_out", vector_to_array("probability")[1].alias("score"))
+
+
+def classifier_quality(scored: DataFrame, labels: DataFrame, target: str, key: str = "doc_id") -> DataFrame:
+    """(held_out, documents, positives, auc) of the labelled rows of `quality_classifier`, by held_out.
+
+    auc is the chance that a row of label 1 scores above one of label 0, equal scores counting half:
+    exact, from counts per score and their running sums. It is null where a label is missing.
+    Rows without a label or a score are left out; an empty table gives an empty table.
+    """
+    known = scored.join(labels.select(key, F.col(target).cast("int").alias("label")), key)
+    known = known.where("label is not null and score is not null and held_out is not null")
+    counts = written(
+        known.groupBy("held_out", "score").agg(F.sum("label").alias("up"), F.sum(1 - F.col("label")).alias("down")), "score-counts"
+    )
+    placed = running(counts, by_value(counts, "score"), {"below": Running("sum", F.col("down"))}, ["held_out"])
+    wins = F.sum(F.col("up") * (F.col("below") + F.col("down") / 2))
+    found = placed.groupBy("held_out").agg(wins.alias("wins"), F.sum("up").alias("positives"), F.sum("down").alias("negatives"))
+    return found.select(
+        "held_out",
+        (F.col("positives") + F.col("negatives")).alias("documents"),
+        "positives",
+        F.try_divide("wins", F.col("positives") * F.col("negatives")).alias("auc"),
+    )
 
 
 def sft_pairs(turns: DataFrame, conversation: str = "conv_id", turn: str = "turn", context: int = 4) -> DataFrame:

@@ -12,9 +12,12 @@ A key that holds a third of the table is thus spread over as many tasks as it ha
 
 from __future__ import annotations
 
+import json
 import math
+from collections import Counter
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from itertools import accumulate
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
@@ -30,6 +33,8 @@ BUCKET = "__bucket"
 MAX_BUCKETS = 1 << 16
 # Rows per bucket where the order is a unique integer inside its key.
 BUCKET_WIDTH = 1 << 16
+# Sampled rows per bucket where a value is split by its ties.
+SPLIT_ROWS = 32
 
 
 @dataclass(frozen=True)
@@ -45,8 +50,9 @@ class RowOrder:
 def by_value(df: DataFrame, column: str, ties: Sequence[str] = (), buckets: int | None = None) -> RowOrder:
     """Order by a numeric, date or timestamp column with buckets of about equal row counts.
 
-    The bucket bounds come from one approximate-quantile aggregate over that column alone. They
-    steer only the balance, never the result. `column` and `ties` together must be unique.
+    The bucket bounds come from one approximate-quantile aggregate over that column alone. A value
+    that fills several buckets is split further by `ties`, at splitters from a sample. Bounds and
+    splitters steer only the balance, never the result. `column` and `ties` together must be unique.
     """
     _require(df, [column, *ties])
     count = buckets or default_buckets(df)
@@ -54,13 +60,16 @@ def by_value(df: DataFrame, column: str, ties: Sequence[str] = (), buckets: int
         raise ValueError(f"buckets must be between 1 and {MAX_BUCKETS}")
     number = _as_double(df, column)
     probabilities = [i / count for i in range(1, count)]
-    bounds: list[float] = []
+    found: Counter[float] = Counter()
+    rows = 0
     if probabilities:
-        row = df.agg(F.percentile_approx(number, probabilities, 10 * count).alias("q")).first()
-        bounds = sorted({bound for bound in row["q"] or [] if math.isfinite(bound)})
+        quantiles = F.percentile_approx(number, probabilities, 10 * count).alias("q")
+        row = df.agg(quantiles, F.count("*").alias("n")).first()
+        found, rows = Counter(bound for bound in row["q"] or [] if math.isfinite(bound)), row["n"]
+    bounds = sorted(found)
     splits = [float("-inf"), *bounds, float("inf")]
 
-    def add_bucket(frame: DataFrame) -> DataFrame:
+    def add_range(frame: DataFrame) -> DataFrame:
         key = "__order_key"
         keyed = frame.withColumn(key, _present(number, column))
         if not bounds:
@@ -68,9 +77,53 @@ def by_value(df: DataFrame, column: str, ties: Sequence[str] = (), buckets: int
         cut = Bucketizer(splits=splits, inputCol=key, outputCol=BUCKET).transform(keyed)
         return cut.withColumn(BUCKET, F.col(BUCKET).cast("bigint")).drop(key)
 
+    parts = [1, *(found[bound] for bound in bounds)]
+    add_bucket = add_range
+    if max(parts) > 1:
+        sample = add_range(df.select(column, *ties)).sample(min(1.0, SPLIT_ROWS * count / rows), seed=0)
+        add_bucket = _split_ranges(sample, add_range, [column, *ties], parts)
     return RowOrder((F.col(column), *[F.col(t) for t in ties]), add_bucket, count)
 
 
+def _split_ranges(
+    sample: DataFrame, add_range: Callable[[DataFrame], DataFrame], columns: Sequence[str], parts: Sequence[int]
+) -> Callable[[DataFrame], DataFrame]:
+    """Cuts each range into its number of parts, by the tuple of `columns`; buckets are numbered on.
+
+    A range is cut at tuples of equal distance in its sorted sample, SPLIT_ROWS times the buckets in
+    all. A row finds its part by halving, so many parts cost little.
+    """
+    place = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+    fields = [f"t{n}" for n in range(len(columns))]
+    row = F.struct(*[F.col(c).alias(f) for f, c in zip(fields, columns, strict=True)])
+    wide = F.get(F.from_json(F.lit(json.dumps(list(parts))), "array<int>"), F.col(BUCKET).cast("int"))
+    tuples = F.array_sort(F.collect_list(row))
+    cuts = F.transform(
+        F.sequence(F.lit(1), F.col("__parts") - 1),
+        lambda n: F.get(F.col("__sorted"), F.floor(n * F.size("__sorted") / F.col("__parts")).cast("int")),
+    )
+    grouped = sample.withColumn("__parts", wide).where("__parts > 1").groupBy(BUCKET, "__parts").agg(tuples.alias("__sorted"))
+    kept = grouped.select(BUCKET, cuts.alias("cuts"))
+    cut_type = kept.schema["cuts"].dataType.simpleString()
+    found = {r[0]: r[1] for r in kept.select(BUCKET, F.to_json("cuts", place)).collect()}
+    text = "[" + ",".join(found.get(n, "[]") for n in range(len(parts))) + "]"
+    starts = list(accumulate(parts, initial=0))[:-1]
+    halves = [1 << n for n in reversed(range(max(parts).bit_length()))]
+
+    def add_bucket(frame: DataFrame) -> DataFrame:
+        here = F.col(BUCKET).cast("int")
+        own = F.get(F.from_json(F.lit(text), f"array<{cut_type}>", place), here)
+        first = F.get(F.from_json(F.lit(json.dumps(starts)), "array<bigint>"), here)
+        part = F.aggregate(
+            F.array(*[F.lit(h) for h in halves]),
+            F.lit(0),
+            lambda at, half: F.when(F.get(own, at + half - 1) <= row, at + half).otherwise(at),
+        )
+        return add_range(frame).withColumn(BUCKET, first + part)
+
+    return add_bucket
+
+
 def by_hash(df: DataFrame, seed: int, key: str, buckets: int | None = None) -> RowOrder:
     """A seeded permutation: order by md5 of seed and key. The buckets are slices of the hash.
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterable, Mapping
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -65,6 +67,62 @@ def word_index(docs: DataFrame, key: str = "doc_id", text: str = "text", width:
     )
 
 
+def write_word_index(
+    docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", width: int = 4096, buckets: int = 64
+) -> None:
+    """Writes the word index of `docs` to a new folder: what `word_lookup` reads.
+
+    Rows are (word, shard, base, documents, offsets): a posting is its key less `base`, the lowest key
+    of the shard, so that Parquet's dictionaries pack it into the bits of `width`. Folders are hash
+    buckets of the words; inside one the rows lie by word. A frequent word's shards are spread over
+    many tasks and files. Keys are integers; rows without a key are in no posting; rows that share a
+    key count as one document; null and blank texts have no words; a table without words gives a
+    folder without an index, in which nothing is found.
+    """
+    if not 0 < width <= 1 << 15 or buckets < 1:
+        raise ValueError("width must be between 1 and 32768, buckets at least 1")
+    index = word_index(docs.select(F.col(key).cast("bigint").alias("k"), F.col(text).alias("t")).where("k is not null"), "k", "t", width)
+    base = F.col("shard") * F.lit(width)
+    offsets = F.transform(F.array_distinct("postings"), lambda k: (k - base).cast("smallint"))
+    rows = index.select("word", "shard", base.alias("base"), F.size(offsets).alias("documents"), offsets.alias("offsets"))
+    rows = rows.withColumns({"buckets": F.lit(buckets), "bucket": _word_bucket(F.col("word"), F.lit(buckets))})
+    sort = ["bucket", "word", "shard"]
+    rows.repartitionByRange(*sort).sortWithinPartitions(*sort).write.partitionBy("buckets", "bucket").parquet(path)
+
+
+def _word_bucket(word: Column, buckets: Column) -> Column:
+    return F.pmod(F.xxhash64(word), buckets).cast("int")
+
+
+_INDEX = "word string, shard bigint, base bigint, documents int, offsets array<smallint>, buckets int, bucket int"
+
+
+def word_lookup(spark: SparkSession, path: str, queries: Mapping[str, Iterable[str]], key: str = "doc_id") -> DataFrame:
+    """(query, key): the documents that hold every word of a query, each a complete word.
+
+    Reads the buckets of the asked words only, and in them the row groups that hold one. Postings
+    meet by query and shard, so that a task intersects at most `width` keys of each word; no text
+    is read. Upper and lower case are the same. A word that the index does not hold, or that is
+    no single token, is in no document; a query without words finds nothing.
+    """
+    asked = sorted({(name, word.lower()) for name, words in queries.items() for word in words})
+    rows = spark.read.schema(_INDEX).parquet(path)
+    words = sorted({word for _, word in asked})
+    here = F.lit(False)
+    for word in words:
+        here = here | (F.col("bucket") == _word_bucket(F.lit(word), F.col("buckets")))
+    found = rows.where(here & F.col("word").isin(words)).select("word", "shard", "base", "offsets")
+    sizes = {name: sum(n == name for n, _ in asked) for name, _ in asked}
+    wanted = spark.createDataFrame([(n, w, sizes[n]) for n, w in asked], "query string, word string, words int")
+    # The asked words are the caller's own list, already in the driver.
+    met = found.join(F.broadcast(wanted), "word").groupBy("query", "shard", "base", "words").agg(F.collect_list("offsets").alias("lists"))
+    common = F.aggregate(
+        F.slice("lists", 2, F.size("lists")), F.get("lists", F.lit(0)), lambda left, right: F.array_intersect(left, right)
+    )
+    hits = met.where(F.size("lists") == F.col("words")).select("query", "base", F.explode(common).alias("offset"))
+    return hits.select("query", (F.col("base") + F.col("offset")).alias(key))
+
+
 def bigrams(docs: DataFrame, keep: tuple[str, ...], text: str = "text") -> DataFrame:
     """(keep, before, word): every token with the one before it; a text starts behind an empty one."""
     tokens = tokens_of(F.lower(text))

@@ -8,11 +8,13 @@ from pyspark.sql import functions as F
 from seqloom.operators import curation, dedup, filters, vocabulary, web
 from seqloom.plans import curation_queries
 from seqloom.plans import fixtures as fx
-from seqloom.session import written
+from seqloom.session import new_folder, written
 
 BLOCKED = ("ththre.example.com", "example.org", "ads.example.net")
 BASE_SOURCES = ("src0", "src1", "src2", "src3")
 VOCAB_SIZE, PER_STRATUM = 2000, 3
+#: Lookups over the word index: all words of a list, complete and in any case.
+LOOKUPS = {"one": ["ther"], "two": ["IN", "are"], "mixed": ["est", "heth", "ier"], "absent": ["in", "qqqq"], "sign": [".", "im"]}
 LANGUAGE = "en"
 FEATURES = {"n_words": (0, 1000, 10), "n_chars": (0, 8000, 8)}
 
@@ -57,6 +59,13 @@ def word_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("postings", F.array_join(F.col("postings").cast("array<string>"), " "))
 
 
+def word_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold all words of LOOKUPS, by the written index of all documents."""
+    path = new_folder(spark, "word-index")
+    vocabulary.write_word_index(fx.table(spark, sf_dir, "documents"), path)
+    return vocabulary.word_lookup(spark, path, LOOKUPS)
+
+
 def ngram_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = fx.table(spark, sf_dir, "documents")
     base = docs.where(F.col("source").isin(*BASE_SOURCES))
@@ -100,6 +109,12 @@ def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curation.quality_classifier(fx.table(spark, sf_dir, "documents"), fx.table(spark, sf_dir, "labels"), "quality")
 
 
+def classifier_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How well the classifier ranks the labelled rows it learned from, and those it did not."""
+    labels = fx.table(spark, sf_dir, "labels")
+    return curation.classifier_quality(written(quality_classifier(spark, sf_dir), "scores"), labels, "quality")
+
+
 def sft_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curation.sft_pairs(fx.table(spark, sf_dir, "conversations"))
 
@@ -183,6 +198,7 @@ QUERIES = {
     "encode_vocab": encode_vocab,
     "decode_vocab": decode_vocab,
     "word_index": word_index,
+    "word_lookup": word_lookup,
     "ngram_perplexity": ngram_perplexity,
     "perplexity_by_source": perplexity_by_source,
     "stratified_sample": stratified_sample,
@@ -190,6 +206,7 @@ QUERIES = {
     "dedup_semantic": dedup_semantic,
     "dedup_semantic_copies": dedup_semantic_copies,
     "quality_classifier": quality_classifier,
+    "classifier_quality": classifier_quality,
     "sft_pairs": sft_pairs,
     "preference_pairs": preference_pairs,
     "pipeline_funnel": pipeline_funnel,
@@ -346,6 +363,10 @@ SELECT * FROM r WHERE margin > 0 AND margin >= 10""",
 ORACLES["perplexity_by_source"] = f"""SELECT source, count(*) AS documents, count(perplexity) AS scored, round(avg(perplexity), 4) AS mean,
        {", ".join(f"quantile_disc(perplexity, {q / 100}) AS p{q}" for q in (10, 25, 50, 75, 90))}
 FROM ({ORACLES["ngram_perplexity"]}) JOIN documents USING (doc_id) GROUP BY source"""
+_ASKED = " UNION ALL ".join(f"SELECT '{name}' AS query, {[w.lower() for w in words]} AS asked" for name, words in LOOKUPS.items())
+ORACLES["word_lookup"] = rf"""SELECT DISTINCT query, doc_id
+FROM (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '{_TOKENS}') AS w FROM documents), ({_ASKED})
+WHERE list_has_all(w, asked)"""
 _CLUSTERED = curation_queries.ORACLES["dedup_minhash"].replace("WITH RECURSIVE", "WITH RECURSIVE documents AS (SELECT *, NULL AS source FROM one),", 1)
 ORACLES["pipeline_funnel_whole"] = rf"""WITH a AS (SELECT page_id AS doc_id, text FROM {_texts_sql(_ALLOWED)}),
 mixed AS (SELECT -1 - doc_id AS doc_id, text, lang FROM documents UNION ALL SELECT doc_id, text, NULL FROM a),

@@ -4,11 +4,13 @@ import hashlib
 import math
 import random
 import re
+import zlib
 from collections import Counter
 
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from seqloom.operators import curation, dedup, filters, vocabulary, web
 from seqloom.operators.components import components
@@ -165,6 +167,67 @@ def test_word_index_is_cut_into_shards(docs):
     assert sorted(got) == [("b", 0, [5]), ("b", 1, [6])]
 
 
+def test_lookup_equals_a_search_of_all_texts(spark, tmp_path):
+    rng = random.Random(5)
+    words = [f"w{n}" for n in range(12)] + ["all"]
+    rows = [(n * 7 - 500, " ".join({*rng.choices(words, k=5), "All"}) + ".") for n in range(300)]
+    rows += [(None, "all w1"), (2000, None), (2001, ""), (rows[0][0], "w3 extra"), (-(2**62), "all w2"), (2**62, "all w2")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("word", F.lit("clash"))
+    path = str(tmp_path / "index")
+    vocabulary.write_word_index(df, path, width=16, buckets=5)
+    queries = {"a": ["w1"], "b": ["W1", "w2", "w1"], "c": ["ALL"], "d": ["all", "none"], "e": [], "f": ["w3", "extra"], "g": ["w1 w2"], "h": ["w"], "i": [".", "w4"]}
+    got = [tuple(r) for r in vocabulary.word_lookup(spark, path, queries).collect()]
+    held = {}
+    for key, text in rows:
+        if key is not None:
+            held.setdefault(key, set()).update(re.findall(r"\w+|[^\w\s]", (text or "").lower()))
+    expected = [(q, k) for q, asked in queries.items() if asked for k, own in held.items() if own >= {w.lower() for w in asked}]
+    assert sorted(got) == sorted(expected) and {q for q, _ in got} == set("abcfi")
+
+
+def test_lookup_reads_the_buckets_of_its_words_only(spark, docs, tmp_path):
+    path = str(tmp_path / "index")
+    vocabulary.write_word_index(docs, path, buckets=16)
+    own = spark.sql("SELECT pmod(xxhash64('b'), 16)").first()[0]
+    others = [f for f in (tmp_path / "index").glob("buckets=16/bucket=*/*.parquet") if f.parent.name != f"bucket={own}"]
+    assert len(others) > 4
+    for file in others:
+        file.write_bytes(b"no table")  # reading one fails
+    found = vocabulary.word_lookup(spark, path, {"q": ["b"]})
+    assert sorted(r.doc_id for r in found.collect()) == [5, 6]
+    vocabulary.write_word_index(docs.limit(0), str(tmp_path / "none"))
+    assert vocabulary.word_lookup(spark, str(tmp_path / "none"), {"q": ["b"]}).count() == 0
+    assert vocabulary.word_lookup(spark, path, {}).count() == 0
+
+
+def test_classifier_learns_nothing_from_held_out_rows(spark):
+    rng = random.Random(9)
+    rows, labels = [], []
+    for n in range(400):
+        good = n % 2
+        common = rng.choices(["the", "of", "a"], k=6)
+        rows.append((n, " ".join(common + rng.choices(["fine", "well", "so"] if good else ["bad", "worse", "so"], k=3))))
+        labels.append((n, good if n % 9 else None))
+    rows += [(None, "fine well"), (5000, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("score", F.lit("clash"))
+    held = {n for n in range(400) if zlib.crc32(str(n).encode()) % 4 == 2}
+    known = spark.createDataFrame(labels, "doc_id long, good int")
+    turned = known.withColumn("good", F.when(F.col("doc_id").isin(sorted(held)), 1 - F.col("good")).otherwise(F.col("good")))
+    first = curation.quality_classifier(docs, known, "good")
+    scores = {r.doc_id: (r.held_out, r.score) for r in first.collect()}
+    assert len(scores) == 402 and {n for n, (h, _) in scores.items() if h} - {5000} == held and not scores[None][0]
+    again = {r.doc_id: r.score for r in curation.quality_classifier(docs, turned, "good").collect()}
+    assert {n: pytest.approx(s, abs=1e-9) for n, (_, s) in scores.items()} == again
+    got = {r.held_out: r for r in curation.classifier_quality(first, known, "good").collect()}
+    for side in (True, False):
+        ups = [scores[n][1] for n, good in labels if good == 1 and scores[n][0] == side]
+        downs = [scores[n][1] for n, good in labels if good == 0 and scores[n][0] == side]
+        wins = sum((u > d) + (u == d) / 2 for u in ups for d in downs)
+        assert (got[side].documents, got[side].positives) == (len(ups) + len(downs), len(ups))
+        assert got[side].auc == pytest.approx(wins / len(ups) / len(downs)) and got[side].auc > 0.9
+    assert curation.classifier_quality(first.limit(0), known, "good").count() == 0
+
+
 def test_perplexity(spark):
     base = spark.createDataFrame([("a b a b",)], "text string")
     docs = spark.createDataFrame([(1, "a b"), (2, "z"), (3, None)], "doc_id long, text string")
