@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from seqloom.functions.numeric import int_div
 from seqloom.functions.tokenizers import Tokenizer
 from seqloom.operators.batching import assign_batches, collate_batches, expected_steps
 from seqloom.operators.corpus import row_ordinal, shuffle_buffered, shuffle_full, skip_rows
 from seqloom.operators.monitors import DATASET_EXHAUSTED, TOTAL_DOCUMENTS
-from seqloom.operators.ordered import RowOrder, by_hash, by_value, by_width
+from seqloom.operators.ordered import BUCKET, RowOrder, by_hash, by_value, by_width
 from seqloom.operators.packing import (
     CorpusIndex,
     chunk_documents,
@@ -20,6 +21,7 @@ from seqloom.operators.packing import (
     sequence_counts,
 )
 from seqloom.options import RunOptions
+from seqloom.session import new_folder
 from seqloom.sources import progress as progress_store
 from seqloom.sources.corpus import require_text_column, scan_corpus, toy_corpus
 
@@ -152,55 +154,82 @@ def corpus_index(
 
 
 def prepare_corpus(
-    rows: DataFrame, key: str, options: RunOptions, tokenizer: Tokenizer
+    rows: DataFrame, key: str, options: RunOptions, tokenizer: Tokenizer, commit_every: int | None = None
 ) -> DataFrame:
     """Pack what is left of a run, commit it, and give the run's progress with `stop_reason`.
 
-    Sequences go to `<output_dir>/sequences`, one partition per call, progress to
-    `<output_dir>/progress`. A call that died in between is repeated by the next one.
+    Sequences go to `<output_dir>/sequences`, one partition per commit, progress to
+    `<output_dir>/progress`. Without `commit_every` a call is one commit, and one that died is
+    repeated whole by the next. With it every so many chunks are a commit, and the next call
+    repeats the one range that was under way; for that the token streams are written by range
+    once a call, and shuffled once more than in a single commit.
     """
+    if commit_every is not None and commit_every <= 0:
+        raise ValueError("commit_every must be positive")
     spark = rows.sparkSession
-    store, output = f"{options.output_dir}/progress", f"{options.output_dir}/sequences"
+    store = f"{options.output_dir}/progress"
     done = progress_store.load_progress(spark, store).first().asDict()
     reached = done["trained_documents"] >= options.total_documents
     if not reached:
         buffered = options.shuffle_buffer > 0 and options.streaming
         if not buffered and _order_log(spark, options) is None:
             _log_order(spark, key, options, 0, rows.count())
-        index = corpus_index(rows, key, options, tokenizer, done)
-        packed = pack_sequences(chunk_documents(index), options.context_length)
-        part = packed.withColumn("first_chunk_id", F.lit(done["next_chunk_id"]))
-        progress_store.commit_output(part, output, "first_chunk_id")
-
-        counts = sequence_counts(index.chunks, options.context_length)
-        steps = expected_steps(counts, options.batch_size, options.epochs)
-        new = (
-            index.chunks.join(steps.select("chunk_id", "expected_steps"), "chunk_id")
-            .groupBy()
-            .agg(
-                F.sum("documents").alias("documents"),
-                F.sum("source_rows").alias("source_rows"),
-                F.sum("expected_steps").alias("steps"),
-                F.max("chunk_id").alias("last_chunk"),
-            )
-            .filter(F.col("last_chunk").isNotNull())
-        )
-        progress_store.save_progress(
-            new.select(
-                (F.col("documents") + done["trained_documents"]).alias("trained_documents"),
-                (F.col("source_rows") + done["source_rows_consumed"]).alias("source_rows_consumed"),
-                (F.col("last_chunk") + 1).alias("next_chunk_id"),
-                (F.col("steps") + done["global_step"]).alias("global_step"),
-                F.lit("").alias("checkpoint_path"),
-            ),
-            store,
-        )
+        _commit_ranges(corpus_index(rows, key, options, tokenizer, done), options, done, commit_every)
     full = F.col("trained_documents") >= F.lit(options.total_documents)
     return progress_store.load_progress(spark, store).withColumn(
         "stop_reason", F.when(full, F.lit(TOTAL_DOCUMENTS)).otherwise(F.lit(DATASET_EXHAUSTED))
     )
 
 
+def _commit_ranges(index: CorpusIndex, options: RunOptions, done: dict[str, int], every: int | None) -> None:
+    """Packs and commits the chunks of an index in ranges of `every`, or all at once, with progress after each.
+
+    The driver holds one row of sums per range and no more.
+    """
+    first = done["next_chunk_id"]
+    number = int_div(F.col("chunk_id") - first, every) if every else F.lit(0).cast("bigint")
+    steps = expected_steps(sequence_counts(index.chunks, options.context_length), options.batch_size, options.epochs)
+    sums = (
+        index.chunks.join(steps.select("chunk_id", "expected_steps"), "chunk_id")
+        .groupBy(number.alias("range"))
+        .agg(
+            F.sum("documents").alias("documents"),
+            F.sum("source_rows").alias("source_rows"),
+            F.sum("expected_steps").alias("steps"),
+            F.min("chunk_id").alias("first_chunk"),
+            F.max("chunk_id").alias("last_chunk"),
+        )
+    )
+    ranges = sorted(sums.collect(), key=lambda r: r["range"])
+    docs = chunk_documents(index)
+    if len(ranges) > 1:
+        docs = _by_range(docs, number)
+    total = dict(done)
+    for found in ranges:
+        own = docs.where(F.col("__range") == found["range"]) if len(ranges) > 1 else docs
+        part = pack_sequences(own, options.context_length).withColumn("first_chunk_id", F.lit(found["first_chunk"]))
+        total["trained_documents"] += found["documents"]
+        total["source_rows_consumed"] += found["source_rows"]
+        total["global_step"] += found["steps"]
+        total["next_chunk_id"] = found["last_chunk"] + 1
+        names = ("trained_documents", "source_rows_consumed", "next_chunk_id", "global_step")
+        record = index.rows.sparkSession.range(1).select(
+            *[F.lit(total[name]).cast("bigint").alias(name) for name in names], F.lit("").alias("checkpoint_path")
+        )
+        progress_store.commit_chunks(
+            part, record, f"{options.output_dir}/sequences", f"{options.output_dir}/progress", "first_chunk_id"
+        )
+
+
+def _by_range(docs: DataFrame, number: Column) -> DataFrame:
+    """The token streams of documents in one folder per range, so that a commit reads its own only."""
+    names = [BUCKET, "chunk_id", "n_tok", "tok_start", "chunk_tokens", "bucket_low", "bucket_high", "tokens"]
+    staged = docs.select(*names, number.alias("__range"))
+    path = new_folder(docs.sparkSession, "ranges")
+    staged.write.partitionBy("__range").parquet(path)
+    return docs.sparkSession.read.schema(staged.schema).parquet(path)
+
+
 def training_batches(
     rows: DataFrame, key: str, options: RunOptions, tokenizer: Tokenizer, pad_token_id: int | None = None
 ) -> DataFrame:

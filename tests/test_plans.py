@@ -9,6 +9,7 @@ from test_metrics import simulate
 from seqloom.functions.tokenizers import CharTokenizer
 from seqloom.operators import summary
 from seqloom.plans import corpus, metrics
+from seqloom.sources import progress as progress_store
 from seqloom.sources.metrics_log import load_metrics_log
 
 TOKENIZER = CharTokenizer()
@@ -55,6 +56,55 @@ def test_resuming_gives_what_one_run_gives(spark, tmp_path, streaming, buffer):
     assert (last["trained_documents"], last["stop_reason"]) == (34, "dataset_exhausted")
 
 
+@pytest.mark.parametrize("streaming,buffer", [(True, 0), (True, 8), (False, 8)])
+def test_a_killed_run_repeats_one_range(spark, tmp_path, monkeypatch, streaming, buffer):
+    rows = corpus.open_corpus(spark, options(tmp_path, total_documents=60)).withColumn(
+        "text", F.when(F.col("row_idx") % 7 == 3, F.lit(" ")).otherwise(F.col("text"))
+    )
+    common = dict(streaming=streaming, shuffle_buffer=buffer, total_documents=48)
+    once = options(tmp_path, output_dir=f"{tmp_path}/once", **common)
+    end = corpus.prepare_corpus(rows, "row_idx", once, TOKENIZER).first()
+
+    committed, saved = [], progress_store.save_progress
+    write = progress_store.commit_output
+
+    def output(part, *rest):
+        committed.append(part.select("first_chunk_id").first()[0])
+        write(part, *rest)
+
+    def dies(record, path):
+        if len(committed) == 3:
+            raise KeyboardInterrupt
+        saved(record, path)
+
+    monkeypatch.setattr(progress_store, "commit_output", output)
+    monkeypatch.setattr(progress_store, "save_progress", dies)
+    again = options(tmp_path, output_dir=f"{tmp_path}/ranges", **common)
+    with pytest.raises(KeyboardInterrupt):
+        corpus.prepare_corpus(rows, "row_idx", again, TOKENIZER, commit_every=2)
+    assert committed == [0, 2, 4]
+    kept = progress_store.load_progress(spark, f"{again.output_dir}/progress").first()
+    assert (kept["trained_documents"], kept["next_chunk_id"]) == (20, 4)
+    resumed = corpus.prepare_corpus(rows, "row_idx", again, TOKENIZER, commit_every=2).first()
+    assert committed == [0, 2, 4, 4, 6, 8]
+
+    def sequences(run):
+        found = spark.read.parquet(f"{run.output_dir}/sequences")
+        return sorted(map(tuple, found.select("chunk_id", "seq_id", "input_ids", "labels").collect()))
+
+    assert sequences(again) == sequences(once)
+    assert resumed.asDict() == end.asDict()
+
+
+def test_ranges_of_a_run_without_rows(spark, tmp_path):
+    chosen = options(tmp_path, chunk_size=1)
+    rows = corpus.open_corpus(spark, chosen)
+    end = corpus.prepare_corpus(rows.limit(0), "row_idx", chosen, TOKENIZER, commit_every=1).first()
+    assert (end["trained_documents"], end["stop_reason"]) == (0, "dataset_exhausted")
+    with pytest.raises(ValueError, match="positive"):
+        corpus.prepare_corpus(rows, "row_idx", chosen, TOKENIZER, commit_every=0)
+
+
 def test_batches_of_a_run(spark, tmp_path):
     chosen = options(tmp_path, epochs=2)
     found = corpus.training_batches(corpus.open_corpus(spark, chosen), "row_idx", chosen, TOKENIZER)
