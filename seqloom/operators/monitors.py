@@ -182,19 +182,23 @@ def stop_reason(
     mode: str = "min",
     min_delta: float = 0.0,
     warmup: int = 0,
-    at_end: str = DATASET_EXHAUSTED,
+    at_end: str | Column = DATASET_EXHAUSTED,
     keys: Sequence[str] = RUN,
 ) -> DataFrame:
     """Where and why each run ends: (keys, global_step, stop_reason).
 
     A record due by its step is tested before the fixed limits of that step; the record of what
     remains at a chunk's end comes after them. Between metric rules the threshold goes first. A run
-    that nothing stops ends with its last step and `at_end`.
+    that nothing stops ends with its last step and `at_end`: a reason for all runs, or a column of
+    `steps` read at the last step of each, null meaning that the dataset was exhausted.
     """
     last = F.max("global_step").alias("global_step")
-    candidates = steps.groupBy(*keys).agg(last).select(
-        *keys, "global_step", F.lit(9).alias("priority"), F.lit(at_end).alias("stop_reason")
-    )
+    if isinstance(at_end, Column):
+        said = F.coalesce(F.max_by(at_end, "global_step"), F.lit(DATASET_EXHAUSTED))
+        ends = steps.groupBy(*keys).agg(last, said.alias("stop_reason"))
+    else:
+        ends = steps.groupBy(*keys).agg(last).withColumn("stop_reason", F.lit(at_end))
+    candidates = ends.select(*keys, "global_step", F.lit(9).alias("priority"), "stop_reason")
     after_limits = F.when(F.col("global_step") % F.lit(every) == 0, F.lit(0)).otherwise(F.lit(4))
 
     def add(found: DataFrame, priority: Column, reason: Column) -> None:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seqloom.operators import intervals, monitors, series, summary
@@ -27,8 +27,10 @@ class MetricAnalysis:
     taken: DataFrame
 
 
-def analyse_steps(steps: DataFrame, options: RunOptions) -> MetricAnalysis:
-    """What a run's options make of its steps.
+def analyse_steps(
+    steps: DataFrame, options: RunOptions, at_end: str | Column = monitors.DATASET_EXHAUSTED
+) -> MetricAnalysis:
+    """What a run's options make of its steps; `at_end` is why a run ends that nothing stops.
 
     Nothing is logged after a run has stopped, and the record of the stopping step covers what ran
     of its interval: the steps are cut at the stop before they are logged.
@@ -47,6 +49,7 @@ def analyse_steps(steps: DataFrame, options: RunOptions) -> MetricAnalysis:
             options.early_stop_mode,
             options.early_stop_min_delta,
             options.early_stop_warmup_steps,
+            at_end,
         ),
         "stops",
     )

@@ -181,6 +181,18 @@ def test_stop_reason_equals_the_loop(spark, small_buckets, every, early, most, t
     }
 
 
+def test_each_run_ends_for_its_own_reason(spark):
+    rows = [(run, s, 0, why if s == 4 else "early") for run, why in ((1, "total_documents"), (2, None), (3, "early")) for s in range(1, 5)]
+    steps = spark.createDataFrame(rows, "run_id long, global_step long, chunk_id long, why string")
+    seen = spark.createDataFrame([], "run_id long, record_seq long, global_step long, value double, finite boolean")
+    found = monitors.stop_reason(steps, seen, 2, at_end=F.col("why")).collect()
+    assert sorted((r["run_id"], r["global_step"], r["stop_reason"]) for r in found) == [
+        (1, 4, "total_documents"), (2, 4, "dataset_exhausted"), (3, 4, "early"),
+    ]
+    found = monitors.stop_reason(steps, seen, 2, max_steps=3, at_end=F.col("why")).collect()
+    assert {(r["global_step"], r["stop_reason"]) for r in found} == {(3, "max_steps")}
+
+
 def test_interval_sums_and_times(spark):
     start = datetime.datetime(2024, 3, 31, 1, 59, 50)
     rows = [
