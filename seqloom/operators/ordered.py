@@ -79,8 +79,9 @@ def by_value(df: DataFrame, column: str, ties: Sequence[str] = (), buckets: int
 
     parts = [1, *(found[bound] for bound in bounds)]
     add_bucket = add_range
-    if max(parts) > 1:
-        sample = add_range(df.select(column, *ties)).sample(min(1.0, SPLIT_ROWS * count / rows), seed=0)
+    # Buckets of fewer rows than the sample takes are not worth a split.
+    if max(parts) > 1 and rows >= SPLIT_ROWS * count:
+        sample = add_range(df.select(column, *ties)).sample(SPLIT_ROWS * count / rows, seed=0)
         add_bucket = _split_ranges(sample, add_range, [column, *ties], parts)
     return RowOrder((F.col(column), *[F.col(t) for t in ties]), add_bucket, count)
 
