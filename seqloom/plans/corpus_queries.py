@@ -245,9 +245,13 @@ def resume_from_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents as a stream, of one file or a folder of files: a pattern names either.
+
+    All files are one micro-batch, as a batch ends its last chunk and the chunks here run through the
+    whole table.
+    """
     rows = scan_corpus(
-        spark, sf_dir, streaming=True, schema=fx.documents(spark, sf_dir).schema,
-        pathGlobFilter="documents.parquet", maxFilesPerTrigger=1,
+        spark, sf_dir, split="documents.parque[t]", streaming=True, schema=fx.documents(spark, sf_dir).schema
     ).select("doc_id", "text")
     output = new_folder(spark, "sequences")
     query = ingest_stream(

@@ -178,3 +178,15 @@ def test_blank_rows_at_the_end_are_counted(spark, tmp_path):
     ingest(spark, parts(spark, f"{tmp_path}/in", [frame, blank]), tmp_path)
     done = store.load_progress(spark, f"{tmp_path}/progress").first()
     assert (done["trained_documents"], done["source_rows_consumed"]) == (1, 5)
+
+
+@pytest.mark.parametrize("files", [1, 3])
+def test_ingest_query_reads_a_folder_of_files(spark, tmp_path, files):
+    from seqloom.plans import corpus_queries
+
+    rows = [(n, "en", "s", f"text {n} " * (n % 5), 0) for n in range(250)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, source string, text string, n_chars long")
+    docs.repartition(files).write.parquet(f"{tmp_path}/documents.parquet")
+    got = corpus_queries.stream_ingest(spark, str(tmp_path)).collect()
+    assert len(got) > 3
+    assert sorted(got) == sorted(corpus_queries.pack_sequences(spark, str(tmp_path)).collect())
