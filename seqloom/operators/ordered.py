@@ -245,6 +245,10 @@ def running(
     )
     if not keys and order.max_buckets is not None:
         carries = F.broadcast(carries)  # at most MAX_BUCKETS rows
+    else:
+        # The rows already lie by `group`. The planner does not see how many an explode has made, and
+        # would broadcast them all where they look fewer than the totals.
+        carries = carries.hint("merge")
 
     joined = local.join(carries, group)
     kept = [c for c in df.columns if c not in values]
