@@ -88,7 +88,8 @@ def collate_batches(
     real id.
     """
     if assignment is not None:
-        rows = sequences.join(assignment, ["chunk_id", "seq_id"])
+        # A row per sequence and epoch, which the planner takes for a row per chunk: never broadcast.
+        rows = sequences.join(assignment.hint("merge"), ["chunk_id", "seq_id"])
         if "tokens" in rows.columns:
             rows = shift_labels(rows)
     else:

@@ -297,3 +297,14 @@ def test_texts_are_shuffled_once(spark):
     joined = next(i for i, line in enumerate(plan) if "ObjectHashAggregate(keys=[__bucket" in line)
     window = next(i for i, line in enumerate(plan) if i > joined and "Window" in line)
     assert not [line for line in plan[joined:window] if "Exchange" in line]
+
+
+def test_rows_of_sequences_are_never_broadcast(spark):
+    """The planner takes the rows of an explode for as many as the chunks; a broadcast passes the driver."""
+    counts = spark.createDataFrame([(n, 900, 225) for n in range(3)], "chunk_id long, chunk_tokens long, sequences long")
+    windows = spark.range(3 * 225).selectExpr("id div 225 AS chunk_id", "id % 225 AS seq_id", "array(1, 2, 3, 4, 5) AS tokens")
+    batches = batching.assign_batches(counts, 4, 8, 2)
+    collated = batching.collate_batches(windows, 0, batches)
+    for made in (batches, batching.batch_token_counts(batches), collated):
+        assert "BroadcastHashJoin" not in made._jdf.queryExecution().executedPlan().toString()
+    assert collated.count() == batches.count() == 3 * 225 * 2
