@@ -8,12 +8,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seqloom.operators.filters import let
+from seqloom.session import written
 
 #: Elements whose content is no text. What stands in the first two is no markup either.
 RAW, HIDDEN = ("script", "style"), ("nav", "head", "noscript")
 #: Named entities and their characters, the non-breaking space as a space.
 ENTITIES = {name: " " if name == "nbsp" else chr(code) for name, code in sorted(name2codepoint.items())} | {"apos": "'"}
 _SPACE = r"[\x20\x09-\x0D]+"
+#: Rows of profiles that are broadcast at most.
+PROFILE_ROWS = 1 << 18
 
 _RAW_TOKENS = "|".join(rf"<{name}\b[^>]*>.*?(?:</{name}\s*>|\z)" for name in RAW)
 _TOKEN = rf"(?is)<!--.*?(?:-->|\z)|{_RAW_TOKENS}|<[!?/]?[a-z][^>]*>|[^<]+|<"
@@ -167,9 +170,17 @@ def language_profiles(docs: DataFrame, text: str = "text", lang: str = "lang") -
 
 
 def language_scores(docs: DataFrame, profiles: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, lang, score): the mean log share of the document's groups; groups in no profile are left out."""
-    own = docs.select(key, F.explode(trigrams(F.col(text))).alias("gram")).groupBy(key, "gram").agg(F.count("*").alias("n"))
-    joined = own.join(profiles, "gram")
+    """(key, lang, score): the mean log share of the document's groups; groups in no profile are left out.
+
+    Profiles of up to PROFILE_ROWS rows go to the texts: their groups are then summed where they are, and
+    a text's sums are all that is shuffled. Larger ones meet the groups by a shuffle, counted before.
+    """
+    profiles = written(profiles, "profiles")
+    own = docs.select(key, F.explode(trigrams(F.col(text))).alias("gram"))
+    if profiles.count() <= PROFILE_ROWS:
+        joined = own.join(F.broadcast(profiles.select("lang", "gram", F.log("share").alias("chance"))), "gram")
+        return joined.groupBy(key, "lang").agg((F.sum("chance") / F.count("*")).alias("score"))
+    joined = own.groupBy(key, "gram").agg(F.count("*").alias("n")).join(profiles, "gram")
     return joined.groupBy(key, "lang").agg((F.sum(F.col("n") * F.log("share")) / F.sum("n")).alias("score"))
 
 

@@ -363,3 +363,16 @@ def test_pairs_have_their_reasons(spark, tmp_path):
     assert [tuple(r) for r in pairs.collect()] == [("p", "good", "bad", 8.0, "clear", "wrong")]
     curation.save_pairs(pairs, f"{tmp_path}/pairs")
     assert spark.read.json(f"{tmp_path}/pairs").first()["chosen_reason"] == "clear"
+
+
+def test_language_scores_shuffle_no_groups_where_profiles_are_small(spark, monkeypatch):
+    rows = [(1, "a the cat", "x"), (2, "der hund", "y"), (3, "the the hund", None), (4, None, "x"), (5, "qq", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    profiles = web.language_profiles(docs)
+    small = web.language_scores(docs, profiles)
+    plan = small._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and plan.count("Exchange hashpartitioning") == 1
+    monkeypatch.setattr(web, "PROFILE_ROWS", 0)
+    plain = {(r.doc_id, r.lang): r.score for r in web.language_scores(docs, profiles).collect()}
+    found = {(r.doc_id, r.lang): r.score for r in small.collect()}
+    assert found.keys() == plain.keys() and all(abs(found[k] - plain[k]) < 1e-9 for k in plain)
