@@ -12,6 +12,8 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from seqloom.functions.batches import slices
+
 
 class Tokenizer(Protocol):
     eos_token_id: int
@@ -66,9 +68,11 @@ def _encoder_udf(factory: Callable[[], Any]) -> Callable[[Column], Column]:
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encoder = factory()
         for texts in batches:
-            yield texts.map(
-                lambda text: None if text is None else _ids(encoder.encode(text, add_special_tokens=False))
-            )
+            # Ids are many times their text in Python: those of a slice at a time leave the worker.
+            for first, end in slices([len(text or "") for text in texts]):
+                yield texts.iloc[first:end].map(
+                    lambda text: None if text is None else _ids(encoder.encode(text, add_special_tokens=False))
+                )
 
     return encode
 

@@ -308,3 +308,22 @@ def test_rows_of_sequences_are_never_broadcast(spark):
     for made in (batches, batching.batch_token_counts(batches), collated):
         assert "BroadcastHashJoin" not in made._jdf.queryExecution().executedPlan().toString()
     assert collated.count() == batches.count() == 3 * 225 * 2
+
+
+def test_a_python_tokenizer_holds_the_ids_of_a_slice(spark):
+    """All ids of an Arrow batch of 10,000 texts at once take gigabytes in a worker."""
+    import pandas as pd
+
+    from seqloom.functions.batches import SLICE
+
+    class CharEncoder:
+        def encode(self, text, add_special_tokens=False):
+            return [ord(c) for c in text]
+
+    texts = pd.Series([None if n % 7 == 0 else "ab " * (n % 5) for n in range(1000)])
+    encode = PythonTokenizer(CharEncoder, eos_token_id=0)._udf.func
+    parts = list(encode(iter([texts, texts[:3]])))
+    assert max(len(part) for part in parts) <= SLICE
+    rows = spark.createDataFrame([(n, t) for n, t in enumerate(texts) if t is not None], "n long, text string").coalesce(1)
+    made = packing.tokenize_docs(rows, PythonTokenizer(CharEncoder, eos_token_id=0)).collect()
+    assert {r.n: r.tokens for r in made} == {n: [ord(c) for c in t] + [0] for n, t in enumerate(texts) if t is not None}
