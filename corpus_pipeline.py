@@ -17,8 +17,9 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 import seqloom  # noqa: E402
-from seqloom.llm import bpe, decontaminate, language_id, near_copies, secret_scan  # noqa: E402
+from seqloom.llm import bpe, decontaminate, language_id, near_copies, secret_scan, simhash  # noqa: E402
 from seqloom.llm.common import table, trains  # noqa: E402
+from seqloom.operators.components import components  # noqa: E402
 from seqloom.session import written  # noqa: E402
 
 cloudpickle.register_pickle_by_value(seqloom)
@@ -44,14 +45,17 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the smallest doc_id of every group of near copies (five-word shingles, Jaccard 0.8 or more).
+    """Keeps the smallest doc_id of every group of near copies. Of rows that share it, any one.
 
-    Of rows that share it, any one.
+    Texts are linked by SimHash fingerprints within op3's radius, and by five-word shingles at a Jaccard
+    similarity of 0.8 or more, many of which lie beyond that radius. A group is closed over both.
     """
     numbered, row = _numbered(docs)
-    groups = near_copies.near_copies(numbered, id_col=row)
-    key = numbered.select(F.col(row).alias("doc"), F.struct(F.col("doc_id").isNull(), "doc_id", row).alias("key"))
-    named = groups.join(key, groups["doc_id"] == key["doc"]).groupBy("component_id").agg(F.min("key").alias("key"))
+    found = [simhash.near_duplicates(numbered, id_col=row), near_copies.near_copies(numbered, id_col=row)]
+    links = [groups.select(F.col("doc_id").alias("u"), F.col("component_id").alias("v")).where("u <> v") for groups in found]
+    roots = components(links[0].unionByName(links[1]))
+    key = numbered.select(F.col(row).alias("node"), F.struct(F.col("doc_id").isNull(), "doc_id", row).alias("key"))
+    named = key.join(roots, "node", "left").groupBy(F.coalesce("root", "node")).agg(F.min("key").alias("key"))
     return _chosen(numbered, row, named.select(F.col(f"key.{row}").alias("chosen")))
 
 

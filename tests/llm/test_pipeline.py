@@ -56,3 +56,11 @@ def test_odd_rows_pass_every_stage(spark, sf_dir):
             assert now.columns == source.columns
         assert cp.STAGES[-1][1](spark, now, sf_dir).count() == now.count()
     assert 902 in {r.doc_id for r in cp.one_of_each_group(spark, odd, sf_dir).collect()}
+
+
+def test_copies_by_fingerprint_alone_are_one_group(spark, sf_dir):
+    """Repeats outweigh the ends in a fingerprint, but not in a set of shingles."""
+    ends = [" ".join(f"{c}{n}" for n in range(20)) for c in "xyz"]
+    rows = [(n, "the of and " * 300 + end) for n, end in enumerate(ends)] + [(7, ends[0]), (8, ends[1])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r.doc_id for r in cp.one_of_each_group(spark, docs, sf_dir).collect()) == [0, 7, 8]
