@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from seqloom.operators.bigrams import log_chances
+
 #: The special tokens in the order of their ids.
 SPECIALS = ("<pad>", "<bos>", "<eos>", "<unk>")
 UNKNOWN = 3
@@ -130,30 +132,17 @@ def word_lookup(spark: SparkSession, path: str, queries: Mapping[str, Iterable[s
     return hits.select("query", (F.col("base") + F.col("offset")).alias(key))
 
 
-def bigrams(docs: DataFrame, keep: tuple[str, ...], text: str = "text") -> DataFrame:
-    """(keep, before, word): every token with the one before it; a text starts behind an empty one."""
-    tokens = tokens_of(F.lower(text))
-    paired = F.transform(
-        F.arrays_zip(F.concat(F.array(F.lit("")), "__t").alias("before"), F.col("__t").alias("word")), lambda x: x
-    )
-    return docs.select(*keep, tokens.alias("__t")).select(*keep, F.inline(paired)).where("word is not null")
-
-
 def ngram_perplexity(base: DataFrame, docs: DataFrame, key: str = "doc_id", text: str = "text", extra: float = 0.1) -> DataFrame:
     """key, `tokens` and `perplexity` under a smoothed bigram model of all texts of `base`.
 
     p(word | before) = (count(before word) + extra) / (count(before) + extra * V), V the different
-    words of the base and one more. A document's equal pairs are counted before they are shuffled.
+    words of the base and one more; a text starts behind an empty word. Blocks of documents ask for the
+    counts of their different bigrams, so that only those travel.
     """
-    pairs = bigrams(base, (), text).groupBy("before", "word").agg(F.count("*").alias("n"))
-    contexts = pairs.groupBy("before").agg(F.sum("n").alias("all"))
-    size = pairs.select("word").distinct().count() + 1
-    own = bigrams(docs, (key,), text).groupBy(key, "before", "word").agg(F.count("*").alias("k"))
-    found = own.join(pairs, ["before", "word"], "left").join(contexts, "before", "left")
-    chance = (F.coalesce("n", F.lit(0)) + extra) / (F.coalesce("all", F.lit(0)) + extra * size)
-    return found.groupBy(key).agg(
-        F.sum("k").alias("tokens"), F.exp(-F.sum(F.col("k") * F.log(chance)) / F.sum("k")).alias("perplexity")
-    )
+    words = tokens_of(F.lower(text))
+    size = base.select(F.explode(words).alias("word")).distinct().count() + 1
+    found = log_chances(base, docs, words, size, extra, key, text)
+    return found.groupBy(key).agg(F.sum("tokens").alias("tokens"), F.exp(-F.sum("log") / F.sum("tokens")).alias("perplexity"))
 
 
 def perplexity_distribution(

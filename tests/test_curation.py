@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from seqloom.operators import curation, dedup, filters, vocabulary, web
+from seqloom.operators import bigrams, curation, dedup, filters, vocabulary, web
 from seqloom.operators.components import components
 from seqloom.plans import web_queries
 
@@ -236,6 +236,28 @@ def test_perplexity(spark):
     assert got == {1: pytest.approx(math.exp(-(math.log(first) + math.log(second)) / 2)), 2: pytest.approx(1.3 / 0.1)}
 
 
+def test_perplexity_of_small_blocks_and_its_shuffle(spark, monkeypatch):
+    """Small blocks and shards change no chance, and a document's bigrams do not travel row by row."""
+    made = np.random.default_rng(3)
+    words = ["a", "b", "É", ".", "straße", "x1"]
+    rows = [(int(n) if n % 9 else None, " ".join(made.choice(words, n % 40))) for n in range(200)] + [(5, "a b"), (7, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    base = docs.where("doc_id % 2 = 0")
+    texts = [(key, (text or "").lower().split()) for key, text in rows]
+    learned = [w for key, w in texts if key is not None and key % 2 == 0]
+    pairs, single = Counter(p for w in learned for p in zip(["", *w], w)), Counter(b for w in learned for b in ["", *w][: len(w)])
+    size, logs = len({x for w in learned for x in w}) + 1, {}
+    for key, own in texts:
+        for before, word in zip(["", *own], own):
+            logs.setdefault(key, []).append(math.log((pairs[before, word] + 0.1) / (single[before] + 0.1 * size)))
+    want = {key: (len(x), pytest.approx(math.exp(-sum(x) / len(x)))) for key, x in logs.items()}
+    monkeypatch.setattr(bigrams.log_chances, "__defaults__", (50, 200))
+    found = vocabulary.ngram_perplexity(base, docs)
+    assert {r.doc_id: (r.tokens, r.perplexity) for r in found.collect()} == want
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and plan.count("Join") == 0
+
+
 def test_pairs_of_turns_and_answers(spark):
     turns = [(1, 0, "user", "q"), (1, 1, "assistant", "a"), (1, 2, "user", "r"), (2, 0, "assistant", "x"), (1, 3, "assistant", "b")]
     got = curation.sft_pairs(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string"), context=2).collect()
