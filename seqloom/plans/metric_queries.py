@@ -269,10 +269,9 @@ def stream_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = new_folder(spark, "steps")
     steps = written(fx.steps(spark, sf_dir).drop("ts"), "steps")
     late = F.col("global_step") > 30
-    steps.filter(~late).coalesce(1).write.parquet(source)
-    steps.filter(late).coalesce(1).write.mode("append").parquet(source)
-    rows = spark.readStream.schema(steps.schema).option("maxFilesPerTrigger", 1).parquet(source)
-    found = _drained(interval_stream(rows, EVERY))
+    steps.limit(0).write.parquet(source)
+    rows = spark.readStream.schema(steps.schema).parquet(source)
+    found = _drained(interval_stream(rows, EVERY), source, steps.filter(~late), steps.filter(late))
     return _rounded(found, "train_loss", "grad_norm")
 
 
@@ -283,9 +282,8 @@ def stream_monitors(spark: SparkSession, sf_dir: str) -> DataFrame:
         "run_id", "record_seq", "global_step", F.col("train_loss").alias("value")
     )
     late = F.col("record_seq") > 4
-    log.filter(~late).coalesce(1).write.parquet(source)
-    log.filter(late).coalesce(1).write.mode("append").parquet(source)
-    rows = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    log.limit(0).write.parquet(source)
+    rows = spark.readStream.schema(log.schema).parquet(source)
     found = _drained(
         monitor_stream(
             rows,
@@ -295,23 +293,31 @@ def stream_monitors(spark: SparkSession, sf_dir: str) -> DataFrame:
             stop_threshold=STOP_THRESHOLD,
             patience=PATIENCE,
             warmup=WARMUP,
-        )
+        ),
+        source,
+        log.filter(~late),
+        log.filter(late),
     )
     return _rounded(found, "value", "smoothed")
 
 
-def _drained(stream: DataFrame) -> DataFrame:
-    """Run a stream until its files are used up and give what it wrote."""
+def _drained(stream: DataFrame, source: str, *parts: DataFrame) -> DataFrame:
+    """Run a stream over parts that arrive in its source one after the other, and give what it wrote.
+
+    A part is as many files as tasks wrote it, and one micro-batch; the next one goes on from the checkpoint.
+    """
     spark = stream.sparkSession
-    output = new_folder(spark, "stream")
-    query = (
-        stream.writeStream.format("parquet")
-        .option("path", output)
-        .option("checkpointLocation", new_folder(spark, "checkpoint"))
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    output, checkpoint = new_folder(spark, "stream"), new_folder(spark, "checkpoint")
+    for part in parts:
+        part.write.mode("append").parquet(source)
+        query = (
+            stream.writeStream.format("parquet")
+            .option("path", output)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
     return spark.read.schema(stream.schema).parquet(output)
 
 

@@ -35,22 +35,7 @@ def interval_stream(steps: DataFrame, every: int) -> DataFrame:
     def advance(
         key: tuple, frames: Iterator[pd.DataFrame], state: GroupState
     ) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(list(frames)).sort_values("global_step", kind="stable")
-        rows["interval"] = -(-rows["global_step"] // every)
-        rows["due"] = (rows["global_step"] % every == 0) | rows["last_in_chunk"]
-        parts = (
-            rows.groupby(["chunk_id", "interval"], sort=False)
-            .agg(
-                step=("global_step", "last"),
-                steps=("global_step", "size"),
-                loss=("loss", lambda x: x.sum(skipna=False)),
-                grad_norm=("grad_norm", lambda x: x.sum(skipna=False)),
-                tokens=("tokens", "sum"),
-                samples=("samples", "sum"),
-                due=("due", "any"),
-            )
-            .reset_index()
-        )
+        parts = _interval_parts(list(frames), every)
         open_part = None
         seen = (0, 0)
         if state.exists:
@@ -59,7 +44,7 @@ def interval_stream(steps: DataFrame, every: int) -> DataFrame:
             names = ("chunk_id", "interval", "step", "steps", "loss", "grad_norm", "tokens", "samples")
             open_part = dict(zip(names, values)) if values[3] > 0 else None
         out = []
-        for part in parts.to_dict("records"):
+        for part in parts:
             if open_part:
                 if (open_part["chunk_id"], open_part["interval"]) == (part["chunk_id"], part["interval"]):
                     for name in ("steps", "loss", "grad_norm", "tokens", "samples"):
@@ -87,7 +72,8 @@ def interval_stream(steps: DataFrame, every: int) -> DataFrame:
                 int(seen[1]),
             )
         )
-        yield pd.DataFrame(out, columns=[c.split()[0] for c in INTERVAL_OUTPUT.split(", ")])
+        if out:
+            yield pd.DataFrame(dict(zip((c.split()[0] for c in INTERVAL_OUTPUT.split(", ")), zip(*out))))
 
     found = steps.groupBy("run_id").applyInPandasWithState(
         advance, INTERVAL_OUTPUT, INTERVAL_STATE, "append", GroupStateTimeout.NoTimeout
@@ -95,6 +81,40 @@ def interval_stream(steps: DataFrame, every: int) -> DataFrame:
     return _nan_for_null(found, "train_loss", "grad_norm")
 
 
+def _interval_parts(frames: list[pd.DataFrame], every: int) -> list[dict]:
+    """What the rows of one run add to each (chunk, interval), in order of their steps.
+
+    Plain arrays: a frame operation costs more than the rows of a short run. Rows without a chunk or
+    a step are in no interval.
+    """
+    names = ("global_step", "chunk_id", "loss", "grad_norm", "tokens", "samples", "last_in_chunk")
+    step, chunk, loss, norm, tokens, samples, last = (np.concatenate([f[name].to_numpy() for f in frames]) for name in names)
+    order = np.argsort(step, kind="stable")
+    known = ~(pd.isna(step) | pd.isna(chunk))
+    if not known.all():
+        order = order[known[order]]
+    if not len(order):
+        return []
+    step, chunk = step[order], chunk[order]
+    interval = -(-step // every)
+    start = np.flatnonzero(np.append(True, (chunk[1:] != chunk[:-1]) | (interval[1:] != interval[:-1])))
+    keys = list(zip(chunk[start].tolist(), interval[start].tolist()))
+    numbers: dict[tuple, int] = {}
+    place = np.array([numbers.setdefault(key, len(numbers)) for key in keys])
+    if len(numbers) < len(keys):  # chunks alternate inside an interval: each is one part, from its first row on
+        number = np.repeat(place, np.diff(np.append(start, len(order))))
+        moved = np.argsort(number, kind="stable")
+        order, step, keys = order[moved], step[moved], list(numbers)
+        start = np.searchsorted(number[moved], np.arange(len(keys)))
+    end = np.append(start[1:], len(order))
+    due = np.logical_or.reduceat((step % every == 0) | (last[order] == True), start)  # noqa: E712 (a null is not due)
+    sums = [np.add.reduceat(x[order], start).tolist() for x in (loss, norm)]
+    sums += [np.add.reduceat(np.where(pd.isna(x), 0, x)[order], start).tolist() for x in (tokens, samples)]
+    columns = (step[end - 1].tolist(), (end - start).tolist(), *sums, due.tolist())
+    named = ("chunk_id", "interval", "step", "steps", "loss", "grad_norm", "tokens", "samples", "due")
+    return [dict(zip(named, (*key, *values))) for key, values in zip(keys, zip(*columns))]
+
+
 def _emit(out: list, key: tuple, part: dict, seen: tuple[int, int]) -> tuple[int, int]:
     seen = (seen[0] + part["tokens"], seen[1] + part["samples"])
     out.append(

@@ -1,14 +1,16 @@
 import random
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 import naive
 from seqloom.functions.tokenizers import CharTokenizer
 from seqloom.operators.ordered import by_value
+from seqloom.plans.metric_queries import _drained
 from seqloom.sources import progress as store
 from seqloom.streaming.ingest import ingest_stream
-from seqloom.streaming.metrics import interval_stream, monitor_stream
+from seqloom.streaming.metrics import _interval_parts, interval_stream, monitor_stream
 
 
 def parts(spark, path, frames):
@@ -120,6 +122,30 @@ def test_interval_stream_equals_batch(spark, tmp_path):
         assert [m[2] for m in mine] == [5 * s for s, _ in expected]
 
 
+def test_intervals_of_a_short_run_take_no_frame_operation(monkeypatch):
+    """A run's rows are summed as plain arrays; chunks that alternate inside an interval stay one part each."""
+    nan, names = float("nan"), ["global_step", "chunk_id", "loss", "grad_norm", "tokens", "samples", "last_in_chunk"]
+    rows = [(3, 0, 1.0, 1.0, 5, 2, False), (1, 0, nan, 2.0, 5, 2, False), (3, 1, 3.0, 3.0, 5, 2, None), (4, 0, 4.0, 4.0, 5, 2, False), (5, 1, 5.0, 5.0, 7, 2, True)]
+    frames = [pd.DataFrame(rows[:2], columns=names), pd.DataFrame(rows[2:], columns=names)]
+    for name in ("groupby", "sort_values"):
+        monkeypatch.delattr(pd.DataFrame, name, raising=False)
+    got = [tuple(part.values()) for part in _interval_parts(frames, 4)]
+    assert repr(got) == repr([(0, 1, 4, 3, nan, 7.0, 15, 6, True), (1, 1, 3, 1, 3.0, 3.0, 5, 2, False), (1, 2, 5, 1, 5.0, 5.0, 7, 2, True)])
+    empty = pd.DataFrame([(nan, 0, 1.0, 1.0, 5, 2, False)], columns=names)
+    assert _interval_parts([empty], 4) == []
+
+
+def test_stream_parts_are_written_by_more_than_one_task(spark, tmp_path):
+    """A part is one micro-batch of several files, and the next part goes on with its state."""
+    table = [(run, 0, s, 1.0, 1.0, 5, 2, s == 12) for run in range(40) for s in range(1, 13)]
+    schema = "run_id long, chunk_id long, global_step long, loss double, grad_norm double, tokens long, samples long, last_in_chunk boolean"
+    frame, source = spark.createDataFrame(table, schema).repartition(4), f"{tmp_path}/in"
+    frame.limit(0).write.parquet(source)
+    found = _drained(interval_stream(spark.readStream.schema(frame.schema).parquet(source), 8), source, frame.where("global_step <= 6"), frame.where("global_step > 6"))
+    assert sorted(map(tuple, found.select("run_id", "global_step", "interval_steps", "tokens_seen").collect())) == sorted(x for r in range(40) for x in ((r, 8, 8, 40), (r, 12, 4, 60)))
+    assert len(spark.read.parquet(source).inputFiles()) >= 8
+
+
 def test_monitor_stream_equals_batch(spark, tmp_path):
     rng = random.Random(6)
     runs = {
