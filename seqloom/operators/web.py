@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+from functools import partial
 from html.entities import name2codepoint
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from seqloom.functions.batches import slices
 from seqloom.operators.filters import let
 from seqloom.session import written
 
@@ -17,6 +24,8 @@ ENTITIES = {name: " " if name == "nbsp" else chr(code) for name, code in sorted(
 _SPACE = r"[\x20\x09-\x0D]+"
 #: Rows of profiles that are broadcast at most.
 PROFILE_ROWS = 1 << 18
+#: Different character groups of a language that a task counts before it passes them on.
+_GRAMS = 1 << 20
 
 _RAW_TOKENS = "|".join(rf"<{name}\b[^>]*>.*?(?:</{name}\s*>|\z)" for name in RAW)
 _TOKEN = rf"(?is)<!--.*?(?:-->|\z)|{_RAW_TOKENS}|<[!?/]?[a-z][^>]*>|[^<]+|<"
@@ -141,21 +150,67 @@ def url_blocklist(pages: DataFrame, blocked: DataFrame, url: str = "url", host:
     return pages.withColumn("__host", host_of(F.col(url))).join(found, "__host", "left_anti").drop("__host")
 
 
+def clean_text(text: Column) -> Column:
+    """Lower case, white space collapsed, with a space at both ends; a null is empty."""
+    return F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), _SPACE, " ")), F.lit(" "))
+
+
 def trigrams(text: Column) -> Column:
     """Groups of three characters of the text, lower case, white space collapsed, with a space at both ends."""
-    clean = F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), _SPACE, " ")), F.lit(" "))
 
     def cut(letters: Column) -> Column:
         starts = F.slice(letters, F.lit(1), F.greatest(F.size(letters) - 2, F.lit(0)))
         return F.transform(starts, lambda a, i: F.concat(a, F.get(letters, i + 1), F.get(letters, i + 2)))
 
-    return let(F.split(clean, ""), cut)
+    return let(F.split(clean_text(text), ""), cut)
+
+
+def _added(found: tuple[np.ndarray, np.ndarray], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted keys and their counts, with one more for each of `keys`."""
+    own, counts = np.unique(keys, return_counts=True)
+    both, place = np.unique(np.concatenate([found[0], own]), return_inverse=True)
+    return both, np.bincount(place, np.concatenate([found[1], counts]), len(both)).astype(np.int64)
+
+
+def _gram_counts(batches: Iterable[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """lang, gram and how often a task's cleaned texts (`lang`, `text`) have it; in parts where there are many."""
+    nothing = (np.empty(0, np.int64), np.empty(0, np.int64))
+    found: dict = {}
+
+    def rows(lang: object) -> pa.RecordBatch:
+        keys, counts = found.pop(lang)
+        points = np.stack([keys >> 42, keys >> 21 & 0x1FFFFF, keys & 0x1FFFFF], axis=1).astype("<u4")
+        letters = points.tobytes().decode("utf-32-le")
+        grams = [letters[n : n + 3] for n in range(0, len(letters), 3)]
+        return pa.RecordBatch.from_arrays([pa.array([lang] * len(keys), schema.field("lang").type), pa.array(grams), pa.array(counts)], schema=schema)
+
+    for batch in batches:
+        langs = batch.column("lang").to_pylist()
+        for lang in set(langs):
+            texts = batch.column("text").filter(pa.array([own == lang for own in langs])).to_pylist()
+            lengths = [len(text) for text in texts]
+            for first, end in slices(lengths, len(texts)):
+                points = np.frombuffer("".join(texts[first:end]).encode("utf-32-le"), "<u4").astype(np.int64)
+                inside = np.ones(len(points), bool)
+                last = np.cumsum(lengths[first:end])
+                inside[np.concatenate([last - 1, last - 2])] = False  # a cleaned text has two characters at least
+                at = np.flatnonzero(inside)
+                found[lang] = _added(found.get(lang, nothing), points[at] << 42 | points[at + 1] << 21 | points[at + 2])
+                if len(found[lang][0]) > _GRAMS:
+                    yield rows(lang)
+    for lang in list(found):
+        yield rows(lang)
 
 
 def language_profiles(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
-    """(lang, gram, share): smoothed shares of every group of three characters in every language."""
-    counts = docs.where(F.col(lang).isNotNull()).select(F.col(lang).alias("lang"), F.explode(trigrams(F.col(text))).alias("gram"))
-    counts = counts.groupBy("lang", "gram").agg(F.count("*").alias("n"))
+    """(lang, gram, share): smoothed shares of every group of three characters in every language.
+
+    The groups are counted where the texts are, and the counts written once: they are read twice.
+    """
+    known = docs.where(F.col(lang).isNotNull()).select(F.col(lang).alias("lang"), clean_text(F.col(text)).alias("text"))
+    schema = StructType([known.schema["lang"], StructField("gram", StringType()), StructField("n", LongType())])
+    added = known.mapInArrow(partial(_gram_counts, schema=to_arrow_schema(schema)), schema)
+    counts = written(added.groupBy("lang", "gram").agg(F.sum("n").alias("n")), "gram-counts")
     # One row per language is all that comes to the driver.
     totals = {r.lang: r.total for r in counts.groupBy("lang").agg(F.sum("n").alias("total")).collect()}
     by_gram = counts.groupBy("gram").agg(F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("n"))

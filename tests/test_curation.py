@@ -400,6 +400,24 @@ def test_language_scores_shuffle_no_groups_where_profiles_are_small(spark, monke
     assert found.keys() == plain.keys() and all(abs(found[k] - plain[k]) < 1e-9 for k in plain)
 
 
+@pytest.mark.parametrize("most", [1 << 20, 2])
+def test_profiles_are_counted_where_the_texts_are(spark, monkeypatch, most):
+    """Neighbouring texts share no group, any characters count, and no group travels before it is counted."""
+    texts = [(None, "x"), ("", "x"), ("Ab  c\t", "x"), ("abc", "x"), ("a😀É\x00", "y"), ("zz", None), ("q", "y")] * 3
+    docs = spark.createDataFrame(texts, "text string, lang string").repartition(2)
+    counts = Counter()
+    for text, lang in texts:
+        clean = f" {' '.join((text or '').lower().split())} "
+        counts.update((lang, clean[n : n + 3]) for n in range(len(clean) - 2) if lang)
+    totals = {lang: sum(n for (own, _), n in counts.items() if own == lang) for lang in "xy"}
+    monkeypatch.setattr(web, "_GRAMS", most)
+    found = web.language_profiles(docs)
+    want = {(lang, gram): pytest.approx((counts[lang, gram] + 0.5) / (totals[lang] + 1)) for _, gram in counts for lang in "xy"}
+    assert {(r.lang, r.gram): r.share for r in found.collect()} == want
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "gram-counts" in "".join(found.inputFiles()) and "documents" not in plan and "regexp_replace" not in plan
+
+
 def test_codes_travel_as_flat_lists(spark):
     """A list of structs takes more than twice the bytes in a shuffle."""
     docs = spark.createDataFrame([(1, "a b a c"), (2, None), (3, "c . c")], "doc_id long, text string")
