@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from functools import partial
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -19,8 +20,8 @@ from seqloom.session import written
 SHINGLE, PRIME = 5, 2**31 - 1
 BANDS, BAND_ROWS = 14, 8
 _SPACE = r"[\x20\x09-\x0D]+"
-#: Shingles that are hashed by all functions at a time.
-_STEP = 2048
+#: Shingles that are hashed by all functions at a time: their values stay in a core's cache.
+_STEP = 256
 
 
 def coefficients(count: int) -> list[tuple[int, int]]:
@@ -48,18 +49,22 @@ def dedup_exact(docs: DataFrame, key: str = "doc_id", text: str = "text", within
 def signatures_of(texts: list[str], hashes: int) -> list[pa.Array]:
     """The minima of each text (null if it has no words): a hash per different shingle, then all functions at once."""
     factors = np.array(coefficients(hashes), np.int64)
-    found = []
+    md5, found = hashlib.md5, []
     for text in texts:
         words = text.encode().split()  # bytes: ASCII white space only
         if not words:
             found.append(None)
             continue
-        count = max(1, len(words) - (SHINGLE - 1))
-        shingles = {b" ".join(words[n : n + SHINGLE]) for n in range(count)}
-        hashed = np.array([int.from_bytes(hashlib.md5(s).digest()[:4]) for s in shingles], np.int64) % PRIME
+        joined, ends = b" ".join(words), list(accumulate(map(len, words), lambda end, size: end + size + 1))
+        starts = [0, *(end + 1 for end in ends[: max(0, len(ends) - SHINGLE)])]
+        shingles = {joined[start:end] for start, end in zip(starts, ends[min(SHINGLE, len(ends)) - 1 :], strict=True)}
+        digests = np.frombuffer(b"".join([md5(s).digest() for s in shingles]), ">u4")
+        hashed = digests[::4].astype(np.int64) % PRIME
         least = np.full(hashes, PRIME, np.int64)
         for first in range(0, len(hashed), _STEP):
-            values = (factors[:, :1] * hashed[first : first + _STEP] + factors[:, 1:]) % PRIME
+            values = factors[:, :1] * hashed[first : first + _STEP]
+            values += factors[:, 1:]
+            values %= PRIME
             np.minimum(least, values.min(axis=1), out=least)
         found.append(least)
     return [pa.array(found, pa.list_(pa.int64()))]

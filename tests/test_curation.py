@@ -400,6 +400,17 @@ def test_language_scores_shuffle_no_groups_where_profiles_are_small(spark, monke
     assert found.keys() == plain.keys() and all(abs(found[k] - plain[k]) < 1e-9 for k in plain)
 
 
+def test_signatures_are_the_minima_and_their_steps_stay_in_cache():
+    texts = [*TEXTS[1:], "a", "a b c d", "a b c d e", "\u00a0 é x\x0by", "u v w x y z " * 100]
+    got = dedup.signatures_of(texts, 7)[0].to_pylist()
+    for text, found in zip(texts, got, strict=True):
+        words = re.split(r"[\x20\x09-\x0D]+", text.strip(" \t\n\v\f\r"))
+        grams = {" ".join(words[n : n + 5]) for n in range(max(1, len(words) - 4))} if words != [""] else set()
+        hashed = [int(hashlib.md5(g.encode()).hexdigest()[:8], 16) % dedup.PRIME for g in grams]
+        assert found == ([min((a * h + b) % dedup.PRIME for h in hashed) for a, b in dedup.coefficients(7)] if grams else None)
+    assert dedup._STEP * dedup.BANDS * dedup.BAND_ROWS * 8 <= 1 << 18
+
+
 @pytest.mark.parametrize("most", [1 << 20, 2])
 def test_profiles_are_counted_where_the_texts_are(spark, monkeypatch, most):
     """Neighbouring texts share no group, any characters count, and no group travels before it is counted."""
