@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from seqloom.functions.hashing import seeded_digest
+from seqloom.functions.vectors import bind
 from seqloom.operators.components import components
 from seqloom.operators.ordered import Running, by_value, running
 from seqloom.session import written
@@ -88,7 +89,8 @@ def _cell_centres(rows: DataFrame, count: int) -> np.ndarray:
 
     share = min(1.0, _FIT * count / max(1, rows.count()))
     drawn = rows.where(F.pmod(F.xxhash64("u", F.lit(2)), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
-    model = KMeans(k=count, maxIter=8, seed=42, initMode="random").fit(drawn.select(array_to_vector("__u").alias("features")))
+    # By blocks: the other solver runs a task per centre in every round, for the distances between centres.
+    model = KMeans(k=count, maxIter=8, seed=42, initMode="random", solver="block").fit(drawn.select(array_to_vector("__u").alias("features")))
     return np.array(model.clusterCenters())
 
 
@@ -197,10 +199,10 @@ def dedup_semantic(
     rows give repeated results; an empty table gives an empty table; other columns are never looked at.
     """
     norm = F.sqrt(F.aggregate("__w", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
-    unit = F.transform("__w", lambda x: x.cast("double") / F.col("__n"))
-    rows = vectors.select(F.col(key).alias("u"), F.col(label).alias("__l"), F.col(vector).alias("__w")).withColumn("__n", norm)
-    rows = rows.where((F.col("__n") > 0) & (F.col("__n") < float("inf")) & F.col("u").isNotNull() & F.col("__l").isNotNull())
-    rows = written(rows.select("u", "__l", unit.alias("__u")), "units")
+    # Bound, as the norm would be made anew for every element; filtered when written, as a filter makes it anew as well.
+    unit = bind(norm, lambda n: F.when((n > 0) & (n < float("inf")), F.transform("__w", lambda x: x.cast("double") / n)))
+    rows = vectors.select(F.col(key).alias("u"), F.col(label).alias("__l"), F.col(vector).alias("__w"))
+    rows = written(rows.where("u is not null and __l is not null").select("u", "__l", unit.alias("__u")), "units").where("__u is not null")
     single = written(rows.groupBy("__l", "__u").agg(F.min("u").alias("u")).select("u", "__l", "__u"), "directions")
     copies = rows.join(single.withColumnRenamed("u", "v"), ["__l", "__u"]).where("u <> v").select("u", "v")
     roots = components(copies.union(_semantic_links(single, "__l", least, block, cell, border)))

@@ -400,6 +400,23 @@ def test_language_scores_shuffle_no_groups_where_profiles_are_small(spark, monke
     assert found.keys() == plain.keys() and all(abs(found[k] - plain[k]) < 1e-9 for k in plain)
 
 
+def test_norms_are_made_once_for_each_vector(spark, monkeypatch):
+    """Not for every element and by the filter again; odd vectors and nulls link to none."""
+    plans, real = {}, curation.written
+
+    def seen(df, label):
+        plans[label] = df._jdf.queryExecution().optimizedPlan().toString()
+        return real(df, label)
+
+    monkeypatch.setattr(curation, "written", seen)
+    nan, inf = float("nan"), float("inf")
+    vectors = [(1, 0, [1.0, 2.0]), (2, 0, [2.0, 4.0]), (3, 0, [nan, 1.0]), (4, 0, [inf, 2.0]), (5, 0, [None, 2.0]), (6, 0, None), (7, None, [1.0, 2.0]), (8, 0, [0.0, 0.0]), (None, 0, [1.0, 2.0]), (9, 0, [])]
+    rows = spark.createDataFrame(vectors, "k long, l int, v array<double>").repartition(2)
+    found = curation.dedup_semantic(rows, "k", "v", "l", 0.99)
+    assert {r.k: r.cluster_id for r in found.collect()} == {None: None, **{n: n for n in range(1, 10)}, 2: 1}
+    assert plans["units"].count("aggregate(") == 1
+
+
 def test_signatures_are_the_minima_and_their_steps_stay_in_cache():
     texts = [*TEXTS[1:], "a", "a b c d", "a b c d e", "\u00a0 é x\x0by", "u v w x y z " * 100]
     got = dedup.signatures_of(texts, 7)[0].to_pylist()
