@@ -18,6 +18,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 import seqloom  # noqa: E402
 from seqloom.llm import bpe, decontaminate, language_id, near_copies, secret_scan, simhash  # noqa: E402
+from seqloom.llm.bit_fields import without  # noqa: E402
 from seqloom.llm.common import table, trains  # noqa: E402
 from seqloom.operators.components import components  # noqa: E402
 from seqloom.session import written  # noqa: E402
@@ -33,11 +34,6 @@ def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
     return written(docs.withColumn(name, F.monotonically_increasing_id()), "numbered"), name
 
 
-def _chosen(docs: DataFrame, row: str, rows: DataFrame) -> DataFrame:
-    """The rows whose numbers are in `rows` (`chosen`), without their numbers."""
-    return docs.join(rows, docs[row] == rows["chosen"], "left_semi").drop(row)
-
-
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops texts without a recognisable language. The model learns from labelled rows of `docs`."""
     model = language_id.train(docs, trains(F.col("doc_id"), language_id.FOLDS))
@@ -55,8 +51,10 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     links = [groups.select(F.col("doc_id").alias("u"), F.col("component_id").alias("v")).where("u <> v") for groups in found]
     roots = components(links[0].unionByName(links[1]))
     key = numbered.select(F.col(row).alias("node"), F.struct(F.col("doc_id").isNull(), "doc_id", row).alias("key"))
-    named = key.join(roots, "node", "left").groupBy(F.coalesce("root", "node")).agg(F.min("key").alias("key"))
-    return _chosen(numbered, row, named.select(F.col(f"key.{row}").alias("chosen")))
+    linked = written(key.join(roots, "node"), "linked")
+    stay = linked.groupBy("root").agg(F.min("key").alias("key")).select(F.col(f"key.{row}").alias("node"))
+    dropped = written(linked.select("node").join(stay, "node", "left_anti").withColumnRenamed("node", row), "dropped")
+    return without(numbered, row, dropped).drop(row)
 
 
 def no_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

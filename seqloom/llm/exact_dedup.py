@@ -29,6 +29,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from seqloom.llm.bit_fields import asked, bits_of
 from seqloom.llm.common import lowered, table
 from seqloom.session import written
 
@@ -40,30 +41,7 @@ FILTER_BITS = 24
 
 def _shared_bits(keys: DataFrame, bits: int) -> DataFrame:
     """(word, field): the bits of the hashes (`key`) that several rows have, in words of 64."""
-    shared = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    place = F.shiftrightunsigned("key", 64 - bits)
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("place").bitwiseAND(63).cast("int"))
-    return (
-        shared.select(place.alias("place"))
-        .select(F.shiftright("place", 6).alias("word"), bit.alias("bit"))
-        .groupBy("word")
-        .agg(F.bit_or("bit").alias("field"))
-    )
-
-
-def _sharing(rows: DataFrame, key: Column, field: DataFrame, bits: int) -> DataFrame:
-    """`rows` with `go`: whether the bit of their key is set. A null key has none."""
-    place = F.shiftrightunsigned("level_key", 64 - bits)
-    at = F.col("place").bitwiseAND(63).cast("int")
-    is_set = F.call_function("shiftrightunsigned", F.col("field"), at).bitwiseAND(1) == 1
-    return (
-        rows.withColumn("level_key", key)
-        .withColumn("place", place)
-        .withColumn("word", F.shiftright("place", 6))
-        .join(F.broadcast(field), "word", "left")
-        .withColumn("go", F.coalesce(is_set, F.lit(False)))
-        .drop("word", "field", "place", "level_key")
-    )
+    return bits_of(keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), bits)
 
 
 def exact_groups(
@@ -88,10 +66,10 @@ def exact_groups(
     by_size = F.xxhash64("size")
     by_prefix = F.when(F.col("go"), F.xxhash64("size", lowered(F.substring("text", 1, prefix))))
     sizes = written(_shared_bits(slim.select(by_size.alias("key")), filter_bits), "shared-sizes")
-    same_size = _sharing(slim, by_size, sizes, filter_bits)
+    same_size = asked(slim, by_size, sizes, filter_bits)
     prefixes = _shared_bits(same_size.select(by_prefix.alias("key")).where("key IS NOT NULL"), filter_bits)
     prefixes = written(prefixes, "shared-prefixes")
-    same_prefix = _sharing(same_size, by_prefix, prefixes, filter_bits)
+    same_prefix = asked(same_size, by_prefix, prefixes, filter_bits)
 
     digest = F.when(F.col("go"), F.unhex(F.sha2(lowered(F.col("text")), 256)))
     rows = written(

@@ -2,6 +2,7 @@
 
 Texts of one shingle set become one. Bands of MinHash values link the others to candidate groups: a
 bucket links to its lowest key, which loses no candidate, since the groups are closed over all links.
+Only their texts are shuffled.
 A group is cut into blocks, block pairs are the jobs, and each compares the shingle sets themselves,
 all pairs that are not connected yet; only a spanning forest of the links leaves the task.
 
@@ -17,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField
 
+from seqloom.llm.bit_fields import joined, without
 from seqloom.llm.common import narrow, per_document, string_field
 from seqloom.operators.components import components
 from seqloom.session import written
@@ -108,12 +110,13 @@ def near_copies(docs: DataFrame, least: float = SIMILAR, block: int = BLOCK, id_
     """
     slim = narrow(docs, id_col, text_col)
     marked = written(per_document(slim, _marker, [string_field("same"), StructField("bands", ArrayType(LongType()))]), "bands")
-    single = marked.groupBy("same").agg(F.min("doc_id").alias("least"))
-    named = written(marked.join(single, "same").select("doc_id", "least", F.when(F.col("doc_id") == F.col("least"), F.col("bands")).alias("bands")), "sets")
-    banded = named.where("doc_id = least").select("doc_id", F.explode("bands").alias("bucket"))
+    # read back, so that the join is dealt anew and a large group of copies is split
+    single = written(marked.groupBy("same").agg(F.min("doc_id").alias("least")), "sets")
+    named = written(marked.select("doc_id", "same").join(single, "same").select("doc_id", "least"), "named")
+    banded = without(marked, "doc_id", named.where("doc_id <> least")).select("doc_id", F.explode("bands").alias("bucket"))
     lowest = banded.groupBy("bucket").agg(F.min("doc_id").alias("low"), F.count("*").alias("n")).where("n > 1")
     edges = banded.join(lowest, "bucket").where("doc_id <> low").select(F.col("doc_id").alias("u"), F.col("low").alias("v"))
     groups = components(edges).select(F.col("node").alias("doc_id"), "root")
-    texts = written(slim.join(groups, "doc_id"), "candidates")
+    texts = written(joined(slim, "doc_id", groups), "candidates")
     roots = components(_links(texts, least, block)).select(F.col("node").alias("least"), "root")
     return named.join(roots, "least", "left").select("doc_id", F.coalesce("root", "least").alias("component_id"))
