@@ -3,11 +3,16 @@
 Stages take (spark, docs, sf_dir) and return the columns of `docs`; the last returns tokens. Rows of
 any content pass: null or blank texts end at the language stage; equal rows are copies of each other,
 of which one stays; extra columns are carried, whatever their names.
+
+A stage has its session move texts in small batches (`session.small_batches`). That stays set, since what
+a stage returns is run later; `run` sets it back.
 """
 
 from __future__ import annotations
 
 import sys
+from collections.abc import Callable
+from functools import wraps
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -21,11 +26,23 @@ from seqloom.llm import bpe, decontaminate, language_id, near_copies, secret_sca
 from seqloom.llm.bit_fields import without  # noqa: E402
 from seqloom.llm.common import table, trains  # noqa: E402
 from seqloom.operators.components import components  # noqa: E402
-from seqloom.session import written  # noqa: E402
+from seqloom.session import small_batches, written  # noqa: E402
 
 cloudpickle.register_pickle_by_value(seqloom)
 
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def _in_small_batches(stage: Stage) -> Stage:
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        small_batches(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
 def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
     """The rows with a number each, written so that every branch sees the same numbers."""
     name = "row"
@@ -34,12 +51,14 @@ def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
     return written(docs.withColumn(name, F.monotonically_increasing_id()), "numbered"), name
 
 
+@_in_small_batches
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops texts without a recognisable language. The model learns from labelled rows of `docs`."""
     model = language_id.train(docs, trains(F.col("doc_id"), language_id.FOLDS))
     return language_id.keep_identified(docs, model)
 
 
+@_in_small_batches
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the smallest doc_id of every group of near copies. Of rows that share it, any one.
 
@@ -57,16 +76,19 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return without(numbered, row, dropped).drop(row)
 
 
+@_in_small_batches
 def no_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold a window of a benchmark item."""
     return decontaminate.keep_clean(docs, table(spark, sf_dir, "benchmark"))
 
 
+@_in_small_batches
 def no_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold a secret."""
     return secret_scan.keep_clean(docs)
 
 
+@_in_small_batches
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, the token ids, and digests of ids and decoded text."""
     return bpe.round_trip(docs, with_ids=True)
@@ -86,6 +108,11 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), name)
+    ours = small_batches(spark)
+    try:
+        for name, stage in STAGES:
+            docs = written(stage(spark, docs, sf_dir), name)
+    finally:
+        for key in ours:
+            spark.conf.unset(key)
     return docs

@@ -26,6 +26,22 @@ def build_session(app_name: str = "seqloom", master: str | None = None, **conf:
     return builder.getOrCreate()
 
 
+#: For rows that hold whole texts. Spark's own sizes count rows, 4,096 and 10,000: tens of megabytes of text, which a task
+#: holds several times, in the scan's vectors, in the Arrow buffers of both sides and in its Python worker.
+SMALL_BATCHES = {"spark.sql.parquet.columnarReaderBatchSize": "512", "spark.sql.execution.arrow.maxBytesPerBatch": "1m"}
+
+
+def small_batches(spark: SparkSession) -> list[str]:
+    """Set `SMALL_BATCHES` for the plans that this session runs from now on, and return the keys set.
+
+    A size that the session already names is left as it is.
+    """
+    missing = [key for key in SMALL_BATCHES if spark.conf.get(key, None) is None]
+    for key in missing:
+        spark.conf.set(key, SMALL_BATCHES[key])
+    return missing
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach.
 

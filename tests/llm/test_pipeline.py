@@ -3,6 +3,7 @@
 import re
 
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import functions as F
 from test_near_copies import plain_groups
 from test_rules_and_decontamination import plain_hits
@@ -12,6 +13,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline as cp
 from seqloom.llm import language_id
 from seqloom.llm.common import table, trains
+from seqloom.session import SMALL_BATCHES
 
 
 def plain_run(rows, predict, items):
@@ -64,3 +66,39 @@ def test_copies_by_fingerprint_alone_are_one_group(spark, sf_dir):
     rows = [(n, "the of and " * 300 + end) for n, end in enumerate(ends)] + [(7, ends[0]), (8, ends[1])]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert sorted(r.doc_id for r in cp.one_of_each_group(spark, docs, sf_dir).collect()) == [0, 7, 8]
+
+
+def test_stages_move_texts_in_small_batches(spark, sf_dir, monkeypatch):
+    """Whatever the texts' sizes, a Python task gets about a megabyte at a time, or a longer text."""
+    rows = [(0, "of the " * 500_000)] + [(n, "the of and to in " * 1200) for n in range(1, 300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [batch.num_rows], "size": [batch.nbytes]})
+
+    monkeypatch.setattr(cp.secret_scan, "keep_clean", lambda docs: docs.mapInArrow(sizes, "n long, size long"))
+    before = {key: spark.conf.get(key, None) for key in SMALL_BATCHES}
+    try:
+        found = cp.no_secrets(spark, docs, sf_dir).collect()
+    finally:
+        for key in [key for key, value in before.items() if value is None]:
+            spark.conf.unset(key)
+    assert sum(r.n for r in found) == len(rows)
+    assert all(r["size"] < 2 << 20 for r in found if r.n > 1), found
+
+
+def test_run_leaves_the_session_as_it_was(spark, sf_dir, monkeypatch):
+    seen = []
+    stage = lambda spark, docs, sf_dir: seen.append({k: spark.conf.get(k, None) for k in SMALL_BATCHES}) or docs.limit(1)
+    monkeypatch.setattr(cp, "STAGES", [("one", stage)])
+    arrow, *others = reversed(SMALL_BATCHES)
+    before = spark.conf.get(arrow, None)
+    spark.conf.set(arrow, "2m")
+    try:
+        assert cp.run(spark, sf_dir).count() == 1
+        assert seen == [{arrow: "2m"} | {k: SMALL_BATCHES[k] for k in others}]
+        assert spark.conf.get(arrow) in ("2m", "2097152b")
+        assert all(spark.conf.get(k, None) is None for k in others)
+    finally:
+        spark.conf.set(arrow, before) if before else spark.conf.unset(arrow)
