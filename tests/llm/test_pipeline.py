@@ -4,6 +4,7 @@ import re
 
 import public_tokenizers
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 from test_near_copies import plain_groups
 from test_rules_and_decontamination import plain_hits
@@ -16,6 +17,17 @@ from seqloom.llm.common import table, trains
 from seqloom.session import SMALL_BATCHES
 
 
+@pytest.fixture(autouse=True)
+def sizes_unset(spark):
+    """Each test starts without the sizes that stages leave set, and the session ends as it began."""
+    before = {key: spark.conf.get(key, None) for key in SMALL_BATCHES}
+    for key in SMALL_BATCHES:
+        spark.conf.unset(key)
+    yield
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def plain_run(rows, predict, items):
     """(doc_id, n_tokens) of what all stages keep."""
     kept = [(k, t) for k, t in rows if (found := predict(t))[0] != "und" and found[1] >= 0.5]
@@ -78,12 +90,7 @@ def test_stages_move_texts_in_small_batches(spark, sf_dir, monkeypatch):
             yield pa.RecordBatch.from_pydict({"n": [batch.num_rows], "size": [batch.nbytes]})
 
     monkeypatch.setattr(cp.secret_scan, "keep_clean", lambda docs: docs.mapInArrow(sizes, "n long, size long"))
-    before = {key: spark.conf.get(key, None) for key in SMALL_BATCHES}
-    try:
-        found = cp.no_secrets(spark, docs, sf_dir).collect()
-    finally:
-        for key in [key for key, value in before.items() if value is None]:
-            spark.conf.unset(key)
+    found = cp.no_secrets(spark, docs, sf_dir).collect()
     assert sum(r.n for r in found) == len(rows)
     assert all(r["size"] < 2 << 20 for r in found if r.n > 1), found
 
@@ -92,13 +99,10 @@ def test_run_leaves_the_session_as_it_was(spark, sf_dir, monkeypatch):
     seen = []
     stage = lambda spark, docs, sf_dir: seen.append({k: spark.conf.get(k, None) for k in SMALL_BATCHES}) or docs.limit(1)
     monkeypatch.setattr(cp, "STAGES", [("one", stage)])
+    monkeypatch.setattr(cp, "table", lambda spark, *_: spark.range(3))
     arrow, *others = reversed(SMALL_BATCHES)
-    before = spark.conf.get(arrow, None)
     spark.conf.set(arrow, "2m")
-    try:
-        assert cp.run(spark, sf_dir).count() == 1
-        assert seen == [{arrow: "2m"} | {k: SMALL_BATCHES[k] for k in others}]
-        assert spark.conf.get(arrow) in ("2m", "2097152b")
-        assert all(spark.conf.get(k, None) is None for k in others)
-    finally:
-        spark.conf.set(arrow, before) if before else spark.conf.unset(arrow)
+    assert cp.run(spark, sf_dir).count() == 1
+    assert seen == [{arrow: "2m"} | {k: SMALL_BATCHES[k] for k in others}]
+    assert spark.conf.get(arrow) in ("2m", "2097152b")
+    assert all(spark.conf.get(k, None) is None for k in others)
