@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import BinaryType, DoubleType, IntegerType, StructField, StructType
 
 from seqloom.functions.hashing import seeded_digest
 from seqloom.functions.vectors import bind
+from seqloom.llm.bit_fields import asked, bits_of
 from seqloom.operators.components import components
 from seqloom.operators.ordered import Running, by_value, running
 from seqloom.session import written
@@ -24,6 +26,9 @@ _SALTS = 64
 _CELL, _STEP = 1 << 22, 256
 #: Most centres of cells, and rows for each that they are fitted on.
 _CENTRES, _FIT = 4096, 64
+#: Cosines made at a time, and guests of a block for each row at home there.
+_PRODUCTS, _GUESTS = 1 << 20, 4
+_SKETCH = [StructField(n, k) for n, k in (("__d", IntegerType()), ("__k", BinaryType()), ("__s", DoubleType()), ("__q", BinaryType()))]
 
 
 def stratified_sample(docs: DataFrame, strata: list[str], per_stratum: int, seed: int = 42, key: str = "doc_id") -> DataFrame:
@@ -65,33 +70,121 @@ def filter_discovery(first: DataFrame, second: DataFrame, features: dict[str, tu
     return shares.withColumn("ratio", ratio)
 
 
-def _linked(left: np.ndarray, right: np.ndarray, least: float, same: bool) -> np.ndarray:
-    """The lowest place linked to each row of `left` and `right` (the same rows if `same`), over all pairs."""
-    shift = 0 if same else len(left)
-    root = np.arange(shift + len(right))
-    for first in range(0, len(left), _STEP):
-        a, b = np.nonzero(left[first : first + _STEP] @ right.T >= least)
-        a, b = a + first, b + shift
-        while len(a):
-            high, low = np.maximum(root[a], root[b]), np.minimum(root[a], root[b])
-            apart = high != low
-            a, b = a[apart], b[apart]
-            np.minimum.at(root, high[apart], low[apart])
-            while (root[root] != root).any():
-                root = root[root]
-    return root
-
-
-def _cell_centres(rows: DataFrame, count: int) -> np.ndarray:
-    """k-means centres of `rows` (__u), fitted on at most about `_FIT` rows for each centre."""
+def _sketches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Unit vectors (__u) as 16-bit numbers: their length, a digest of all their bytes, the step of a number, the numbers."""
+    for batch in batches:
+        batch = batch.filter(pc.is_valid(batch.column("__u")))
+        sizes = pc.list_value_length(batch.column("__u")).to_numpy()
+        for size in np.unique(sizes):
+            part = batch.filter(pa.array(sizes == size))
+            units = part.column("__u").flatten().to_numpy().reshape(-1, size) + 0.0  # -0.0 is 0.0
+            steps = np.abs(units).max(axis=1) / 32767
+            codes = np.rint(units / steps[:, None]).astype("<i2")
+            new = {
+                "__d": pa.array(np.full(len(units), size, np.int32)),
+                "__k": pa.array([hashlib.blake2b(x, digest_size=16).digest() for x in units], pa.binary()),
+                "__s": pa.array(steps),
+                "__q": pa.array([x.tobytes() for x in codes], pa.binary()),
+            }
+            yield pa.RecordBatch.from_pydict({n: part.column(n) for n in part.schema.names} | new)
+
+
+def _sketched(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for part in _sketches(batches):
+        yield part.select(["u", "__l", *(f.name for f in _SKETCH)])
+
+
+def _of_sketches(batch: pa.RecordBatch | pa.Table, kind: str) -> np.ndarray:
+    """The vectors of `_sketches`: each is within sqrt(elements) / 2 of its steps of the exact one."""
+    codes = np.frombuffer(b"".join(batch.column("__q").to_pylist()), "<i2").reshape(batch.num_rows, -1)
+    return codes.astype(kind) * batch.column("__s").to_numpy().astype(kind)[:, None]
+
+
+def _unite(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+    """Link the places `a` and `b` in `root`, the lowest place linked to each place."""
+    a, b = root[a], root[b]
+    while len(a):
+        high, low = np.maximum(root[a], root[b]), np.minimum(root[a], root[b])
+        apart = high != low
+        a, b = a[apart], b[apart]
+        np.minimum.at(root, high[apart], low[apart])
+        while (root[root] != root).any():
+            root[:] = root[root]
+
+
+def _compared(job: pa.Table, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The lowest place linked to each row of `job`, and pairs too close to `least` for sketches that it leaves apart.
+
+    Rows at home (__h) are compared with those that visit their cell (__c in __w); guests are not compared with each other.
+    """
+    units = _of_sketches(job, "float32")
+    size, home = units.shape[1], job.column("__h").to_numpy()
+    off = math.sqrt(size) / 2 * job.column("__s").to_numpy().max()
+    slack = 3 * off + (size + 4) * 2.0**-23  # of the sketches, and of sums of 32-bit products
+    lists = job.column("__w").combine_chunks()
+    visitor = np.repeat(np.arange(job.num_rows), pc.list_value_length(lists).to_numpy())
+    cells = lists.flatten().to_numpy()
+    if job.column("__p")[0].as_py():  # the rows at home are compared with each other in the first part
+        cells, visitor = cells[~home[visitor]], visitor[~home[visitor]]
+    order = np.argsort(cells, kind="stable")
+    cells, visitor = cells[order], visitor[order]
+    own = np.flatnonzero(home)
+    own = own[np.argsort(job.column("__c").to_numpy()[own], kind="stable")]
+    found, starts = np.unique(job.column("__c").to_numpy()[own], return_index=True)
+    root, doubts, links, held = np.arange(job.num_rows), [], [], 0
+
+    def settle() -> None:
+        if links:
+            _unite(root, *np.concatenate(links, axis=1))
+        doubts[:] = [x[:, root[x[0]] != root[x[1]]] for x in doubts]
+        links.clear()
+
+    for cell, first, last in zip(found, starts, [*starts[1:], len(own)], strict=True):
+        at = own[first:last]
+        guests = visitor[np.searchsorted(cells, cell) : np.searchsorted(cells, cell, side="right")]
+        wide = max(_STEP, _PRODUCTS // len(at))
+        for begin in range(0, len(guests), wide):
+            part = guests[begin : begin + wide]
+            near = units[part] @ units[at].T
+            a, b = np.nonzero(near >= least - slack)
+            sure, pair = near[a, b] >= least + slack, np.stack([part[a], at[b]])
+            links.append(pair[:, sure])
+            doubts.append(pair[:, ~sure & (pair[0] != pair[1])])
+            held += len(a)
+            if held > _PRODUCTS:
+                settle()
+                held = 0
+    settle()
+    return root, *(np.concatenate(doubts, axis=1) if doubts else np.empty((2, 0), int))
+
+
+def _cell_centres(rows: DataFrame, count: int, of: int) -> np.ndarray:
+    """k-means centres of the `of` sketches in `rows`, fitted on at most about `_FIT` rows for each centre."""
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
-    share = min(1.0, _FIT * count / max(1, rows.count()))
+    def exact(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                units = _of_sketches(batch, "float64")
+                yield pa.RecordBatch.from_arrays([pa.FixedSizeListArray.from_arrays(pa.array(units.ravel()), units.shape[1]).cast(pa.list_(pa.float64()))], ["__u"])
+
+    share = min(1.0, _FIT * count / max(1, of))
     drawn = rows.where(F.pmod(F.xxhash64("u", F.lit(2)), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
+    drawn = drawn.select("__s", "__q").mapInArrow(exact, "__u array<double>")
     # By blocks: the other solver runs a task per centre in every round, for the distances between centres.
     model = KMeans(k=count, maxIter=8, seed=42, initMode="random", solver="block").fit(drawn.select(array_to_vector("__u").alias("features")))
-    return np.array(model.clusterCenters())
+    return _side_by_side(np.array(model.clusterCenters()))
+
+
+def _side_by_side(centres: np.ndarray) -> np.ndarray:
+    """`centres` in an order in which near ones mostly follow each other: halved along their widest direction, again and again."""
+    if len(centres) < 3:
+        return centres
+    apart = centres - centres.mean(axis=0)
+    along = apart @ np.linalg.eigh(apart.T @ apart)[1][:, -1]
+    order, half = np.argsort(along, kind="stable"), len(centres) // 2
+    return np.concatenate([_side_by_side(centres[order[:half]]), _side_by_side(centres[order[half:]])])
 
 
 def _visited(units: np.ndarray, centres: np.ndarray, margin: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -107,71 +200,110 @@ def _visited(units: np.ndarray, centres: np.ndarray, margin: float) -> Iterator[
         yield place + first, cell, cell == home[place]
 
 
-def _in_cells(rows: DataFrame, label: str, least: float, cell: int, border: float | None) -> DataFrame:
-    """`rows` with `__c`, a cell of their label, and `__h`, whether it is their own: a row per cell visited.
+def _in_cells(rows: DataFrame, least: float, block: int, cell: int, border: float | None) -> DataFrame:
+    """`rows` with their cell `__c`, the block `__o` of cells that it is in, and `__v`: each block visited (__b) and its cells visited (__w).
 
     A label of up to `cell` vectors is one cell. The centres of the others are as many as the largest
     of them needs, at most `_CENTRES`, and the same for all labels: their size is bounded, so tasks get them whole.
+    Cells side by side are a block, of about `block` vectors at home if the label is spread evenly.
     """
-    one = rows.withColumns({"__c": F.lit(0), "__h": F.lit(True)})
-    sizes = rows.groupBy(label, "__d").agg(F.count("*").alias("__n"))
+    kind = "array<struct<__b:int,__w:array<smallint>>>"
+    one = rows.withColumns({"__c": F.lit(0).cast("smallint"), "__o": F.lit(0), "__v": F.expr(f"cast(array(named_struct('__b', 0, '__w', array(0))) as {kind})")})
+    sizes = rows.groupBy("__l", "__d").agg(F.count("*").alias("__n"))
     large = written(sizes.where(F.col("__n") > cell), "large-labels")
-    most = {r["__d"]: r["m"] for r in large.groupBy("__d").agg(F.max("__n").alias("m")).collect()}
+    most = {r["__d"]: (r["m"], r["n"]) for r in large.groupBy("__d").agg(F.max("__n").alias("m"), F.sum("__n").alias("n")).collect()}
     if not most:
         return one
-    found = one.join(large.select(label, "__d"), [label, "__d"], "left_anti").select(one.columns)
-    for size, count in most.items():
-        own = written(rows.where(F.col("__d") == size).join(large.select(label, "__d"), [label, "__d"], "left_semi").select(rows.columns), "large")
-        centres = _cell_centres(own, max(2, min(_CENTRES, -(-2 * count // cell))))
+    found = one.join(large.select("__l", "__d"), ["__l", "__d"], "left_anti").select(one.columns)
+    for size, (count, all_of) in most.items():
+        wide = max(1, min(block, _CELL // size))
+        own = rows.where(F.col("__d") == size).join(large.select("__l", "__d", F.ceil(F.col("__n") / wide).alias("__m")), ["__l", "__d"])
+        centres = _cell_centres(own, max(2, min(_CENTRES, -(-2 * count // cell))), all_of)
         share = min(0.5, 1.6 / math.sqrt(size)) if border is None else border
-        margin = share * math.sqrt(max(0.0, 2 - 2 * least))
-        known = rows.sparkSession.sparkContext.broadcast(centres)
+        margin = share * (math.sqrt(max(0.0, 2 - 2 * least)) + math.sqrt(size) / 32767)  # the sketches of a pair may be farther apart
+        known, kept, names = rows.sparkSession.sparkContext.broadcast(centres), rows.columns, one.columns
 
-        def assign(batches: Iterable[pa.RecordBatch], known=known, margin=margin) -> Iterator[pa.RecordBatch]:
+        def assign(batches: Iterable[pa.RecordBatch], known=known, margin=margin, kept=kept, names=names) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                units = batch.column("__u").flatten().to_numpy().reshape(batch.num_rows, -1)
-                for place, cells, home in _visited(units, known.value, margin):
-                    part = batch.take(pa.array(place))
-                    yield part.append_column("__c", pa.array(cells.astype(np.int32))).append_column("__h", pa.array(home))
-
-        found = found.union(own.mapInArrow(assign, one.schema))
+                if not batch.num_rows:
+                    continue
+                place, cells, home = (np.concatenate(x) for x in zip(*_visited(_of_sketches(batch, "float64"), known.value, margin), strict=True))
+                parts = np.minimum(batch.column("__m").to_numpy(), len(known.value))[place]
+                blocks = (cells * parts // len(known.value)).astype(np.int32)
+                starts = np.flatnonzero(np.diff(place, prepend=-1) | np.diff(blocks, prepend=-1))
+                inner = pa.ListArray.from_arrays(pa.array([*starts, len(cells)], pa.int32()), pa.array(cells.astype(np.int16)))
+                pairs = pa.StructArray.from_arrays([pa.array(blocks[starts]), inner], ["__b", "__w"])
+                outer = pa.ListArray.from_arrays(pa.array(np.searchsorted(place[starts], np.arange(batch.num_rows + 1)), pa.int32()), pairs)
+                new = [pa.array(cells[home].astype(np.int16)), pa.array(blocks[home]), outer]
+                yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in kept), *new], names)
+
+        found = found.union(own.select(*rows.columns, "__m").mapInArrow(assign, one.schema))
     return found
 
 
-def _semantic_links(rows: DataFrame, label: str, least: float, block: int, cell: int, border: float | None) -> DataFrame:
-    """(u, v): edges between the `rows` (u, label, __u), connecting the pairs of a label at cosine `least`.
+def _semantic_links(rows: DataFrame, least: float, block: int, cell: int, border: float | None) -> DataFrame:
+    """(u, v, __l, __ku, __kv): edges between the sketches `rows`, connecting the pairs of a label at cosine `least`.
 
-    A vector is compared with all that are at home in a cell that it visits or lives in. A cell is cut
-    into blocks, those at home first; block pairs with one of them are the jobs, and each is a matrix
-    product of which only a spanning forest leaves the task.
+    Those with digests (__ku, __kv) are pairs that sketches cannot tell; the others are sure. A vector is written once,
+    with the cells that it visits, and is sent once to each block of cells, to be compared with all that are at home
+    in the cells that it visits or lives in. A block of too many vectors at home is cut, and so are too many guests:
+    each of the parts at home meets each part of the guests and of the rest at home. Only a spanning forest leaves a job.
     """
-    sized = rows.withColumn("__d", F.size("__u"))
-    placed = written(_in_cells(sized, label, least, cell, border), "cells")
+    placed = written(_in_cells(rows, least, block, cell, border), "cells")
     wide = F.greatest(F.lit(1), F.least(F.lit(block), F.floor(F.lit(_CELL) / F.col("__d"))))
-    at_home, all_of = F.count_if("__h"), F.count("*")
-    blocks = placed.groupBy(label, "__d", "__c").agg(
-        F.ceil(at_home / wide).cast("int").alias("__n"), F.ceil((all_of - at_home) / wide).cast("int").alias("__v")
-    )
-    hashed = F.xxhash64("u", F.lit(1))
-    own = F.when(F.col("__h"), F.pmod(hashed, F.col("__n"))).otherwise(F.col("__n") + F.pmod(hashed, F.col("__v"))).cast("int")
-    cut = placed.join(blocks, [label, "__d", "__c"]).where("__n > 0").withColumn("__b", own)
-    last = F.when(F.col("__h"), F.col("__n") + F.col("__v")).otherwise(F.col("__n")) - 1
-    jobs = cut.select("u", "__u", label, "__d", "__c", "__b", F.explode(F.sequence(F.lit(0), last)).alias("__o")).select(
-        "u", "__u", label, "__d", "__c", F.least("__b", "__o").alias("__i"), F.greatest("__b", "__o").alias("__j"), (F.col("__b") > F.col("__o")).alias("__r")
+    sent = placed.select("*", F.inline("__v")).drop("__v").withColumn("__h", F.col("__b") == F.col("__o"))
+    counts = sent.groupBy("__l", "__d", "__b").agg(F.count_if("__h").alias("home"), F.count_if(~F.col("__h")).alias("guests"))
+    parts = counts.where("home > 0").withColumn("__n", F.ceil(F.col("home") / wide).cast("int"))
+    guests = F.col("guests") + F.col("home") * (F.col("__n") - 1) / F.col("__n")
+    parts = parts.withColumn("__g", F.greatest(F.lit(1), F.ceil(guests / (_GUESTS * wide))).cast("int")).where("__n > 1 or __g > 1")
+    cut = sent.join(F.broadcast(parts.select("__l", "__d", "__b", "__n", "__g")), ["__l", "__d", "__b"], "left")
+    hashed = lambda seed, n: F.pmod(F.xxhash64("__k", F.lit(seed)), F.coalesce(n, F.lit(1))).cast("int")
+    own, turn = hashed(1, "__n"), hashed(3, "__g")
+    every = lambda n: F.sequence(F.lit(0), F.coalesce(n, F.lit(1)) - 1)
+    at_home = F.transform(F.filter(every("__g"), lambda p: F.col("__h")), lambda p: F.struct(F.col("__own").alias("__i"), p.alias("__p"), F.lit(True).alias("__h")))
+    as_guest = F.transform(
+        F.filter(every("__n"), lambda i: ~F.col("__h") | (i != F.col("__own"))), lambda i: F.struct(i.alias("__i"), F.col("__turn").alias("__p"), F.lit(False).alias("__h"))
     )
-    schema = StructType([StructField(n, rows.schema["u"].dataType) for n in ("u", "v")])
+    jobs = cut.withColumns({"__own": own, "__turn": turn}).select("u", "__l", "__d", "__b", "__k", "__s", "__q", "__c", "__w", F.inline(F.concat(at_home, as_guest)))
+    kinds = {"u": "u", "v": "u", "__l": "__l", "__ku": "__k", "__kv": "__k"}
+    schema = StructType([StructField(n, rows.schema[k].dataType) for n, k in kinds.items()])
 
     def compare(job: pa.Table) -> pa.Table:
-        job = job.sort_by("__r").combine_chunks()
-        units = pc.list_flatten(job.column("__u")).to_numpy().reshape(job.num_rows, -1)
-        half = job.num_rows - pc.sum(job.column("__r"), min_count=0).as_py()
-        same = job.column("__i")[0] == job.column("__j")[0]
-        root = _linked(units, units, least, True) if same else _linked(units[:half], units[half:], least, False)
+        job = job.combine_chunks()
+        root, a, b = _compared(job, least)
         moved = np.flatnonzero(root != np.arange(len(root)))
-        keys = job.column("u")
-        return pa.table({"u": keys.take(pa.array(moved)), "v": keys.take(pa.array(root[moved]))})
+        take = lambda name, at: job.column(name).take(pa.array(at))
+        left, right = np.concatenate([moved, a]), np.concatenate([root[moved], b])
+        doubt = pa.array(np.arange(len(left)) >= len(moved))
+        keys = (pc.if_else(doubt, take("__k", x), pa.scalar(None, pa.binary())) for x in (left, right))
+        return pa.table(dict(zip(kinds, [take("u", left), take("u", right), take("__l", left), *keys], strict=True)))
+
+    return jobs.groupBy("__l", "__d", "__b", "__i", "__p").applyInArrow(compare, schema)
 
-    return jobs.groupBy(label, "__d", "__c", "__i", "__j").applyInArrow(compare, schema)
+
+def _verified(doubts: DataFrame, rows: DataFrame, least: float) -> DataFrame:
+    """(u, v): the `doubts` of `_semantic_links` whose exact vectors, made from `rows` (u, __l, __w) again, are at `least`."""
+    asked_for = written(bits_of(doubts.select(F.explode(F.array("u", "v")).alias("u")).select(F.xxhash64("u").alias("key"))), "doubted")
+    some = asked(rows, F.xxhash64("u"), asked_for).where("go")
+    schema = StructType([*some.select("__l", _unit().alias("__u")).schema, StructField("__k", doubts.schema["__ku"].dataType)])
+
+    def exact(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _sketches(batches):
+            yield part.select(["__l", "__u", "__k"])
+
+    known = some.select("__l", _unit().alias("__u")).mapInArrow(exact, schema)
+    wanted = doubts.select("__l", F.explode(F.array("__ku", "__kv")).alias("__k")).distinct()
+    known = written(known.join(wanted, ["__l", "__k"], "left_semi").groupBy("__l", "__k").agg(F.first("__u").alias("__u")), "doubted-vectors")
+    left, right = (known.select("__l", F.col("__k").alias(f"__k{x}"), F.col("__u").alias(f"__{x}")) for x in "uv")
+    dot = F.aggregate(F.zip_with("__u", "__v", lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+    return doubts.join(left, ["__l", "__ku"]).join(right, ["__l", "__kv"]).where(dot >= least).select("u", "v")
+
+
+def _unit() -> Column:
+    """The vector __w at length one, null if it has no direction."""
+    norm = F.sqrt(F.aggregate("__w", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
+    # Bound, as the norm would be made anew for every element.
+    return bind(norm, lambda n: F.when((n > 0) & (n < float("inf")), F.transform("__w", lambda x: x.cast("double") / n)))
 
 
 def dedup_semantic(
@@ -198,14 +330,21 @@ def dedup_semantic(
     NaN, infinite or null elements), null keys or null labels, and different lengths link to none; repeated
     rows give repeated results; an empty table gives an empty table; other columns are never looked at.
     """
-    norm = F.sqrt(F.aggregate("__w", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
-    # Bound, as the norm would be made anew for every element; filtered when written, as a filter makes it anew as well.
-    unit = bind(norm, lambda n: F.when((n > 0) & (n < float("inf")), F.transform("__w", lambda x: x.cast("double") / n)))
-    rows = vectors.select(F.col(key).alias("u"), F.col(label).alias("__l"), F.col(vector).alias("__w"))
-    rows = written(rows.where("u is not null and __l is not null").select("u", "__l", unit.alias("__u")), "units").where("__u is not null")
-    single = written(rows.groupBy("__l", "__u").agg(F.min("u").alias("u")).select("u", "__l", "__u"), "directions")
-    copies = rows.join(single.withColumnRenamed("u", "v"), ["__l", "__u"]).where("u <> v").select("u", "v")
-    roots = components(copies.union(_semantic_links(single, "__l", least, block, cell, border)))
+    rows = vectors.select(F.col(key).alias("u"), F.col(label).alias("__l"), F.col(vector).alias("__w")).where("u is not null and __l is not null")
+    kept = StructType([rows.schema["u"], rows.schema["__l"], *_SKETCH])
+    units = written(rows.select("u", "__l", _unit().alias("__u")).mapInArrow(_sketched, kept), "units")
+    hashed = F.xxhash64("__l", "__k")
+    twice = units.groupBy(hashed.alias("key")).agg(F.count("*").alias("n")).where("n > 1")
+    told = asked(units, hashed, written(bits_of(twice), "repeated"))
+    again = told.where("go").groupBy("__l", "__d", "__k").agg(F.min("u").alias("u"), F.first("__s").alias("__s"), F.first("__q").alias("__q"))
+    again = written(again.select(units.columns), "directions")
+    copies = told.where("go").select("u", "__l", "__k").join(again.select("__l", "__k", F.col("u").alias("v")), ["__l", "__k"]).where("u <> v")
+    found = written(_semantic_links(told.where("not go").drop("go").select(units.columns).union(again), least, block, cell, border), "links")
+    links = copies.select("u", "v").union(found.where("__ku is null").select("u", "v"))
+    doubts = found.where("__ku is not null")
+    if not doubts.isEmpty():
+        links = links.union(_verified(doubts, rows, least))
+    roots = components(links)
     return vectors.select(key).join(roots.withColumnRenamed("node", key), key, "left").select(
         key, F.coalesce("root", key).alias("cluster_id")
     )

@@ -6,6 +6,8 @@ import random
 import re
 import zlib
 from collections import Counter
+from pathlib import Path
+from urllib.parse import urlparse
 
 import duckdb
 import numpy as np
@@ -328,6 +330,34 @@ def test_semantic_copies_in_cells(spark, border):
     assert all(root[n] == root[got[n]] for n in range(len(root)))
 
 
+def test_semantic_copies_write_a_vector_once_with_its_cells(spark, monkeypatch):
+    """Not once for each cell that it visits: what is written stays below the size of the vectors, and in parts of 16 all pairs are found."""
+    tables, real = {}, curation.written
+    monkeypatch.setattr(curation, "written", lambda df, label: tables.setdefault(label, real(df, label)))
+    vectors = _planted(1500, 500, 64)
+    root, _ = _all_pairs(vectors)
+    docs = spark.createDataFrame([(n, 0, v.tolist()) for n, v in enumerate(vectors)], "vec_id long, label int, v array<float>")
+    found = curation.dedup_semantic(docs, "vec_id", "v", "label", 0.95, block=16, cell=32, border=0.5)
+    assert {r.vec_id: r.cluster_id for r in found.collect()} == dict(enumerate(root.tolist()))
+    assert tables["cells"].count() == len(vectors)
+    bytes_of = sum(Path(urlparse(f).path).stat().st_size for name in ("units", "cells") for f in tables[name].inputFiles())
+    assert bytes_of < vectors.size * 8
+
+
+@pytest.mark.parametrize("size", [2, 64, 300])
+def test_pairs_that_sketches_cannot_tell_are_compared_exactly(spark, size):
+    made, rows, expected = np.random.default_rng(5), [], {}
+    for n, off in enumerate(s * 10.0**-e for e in range(3, 13) for s in (1, -1)):
+        a, b = np.linalg.qr(made.normal(size=(size, 2)))[0].T
+        cosine = 0.95 + off
+        rows += [(2 * n, f"l{n}", (a * 7).tolist()), (2 * n + 1, f"l{n}", (cosine * a + math.sqrt(1 - cosine * cosine) * b).tolist())]
+        expected |= {2 * n: 2 * n, 2 * n + 1: 2 * n + (off < 0)}
+    rows.append((0, "l1", rows[2][2]))  # a key of two vectors: it is in the clusters of both
+    docs = spark.createDataFrame(rows, "k long, l string, v array<double>")
+    got = {r.k: r.cluster_id for r in curation.dedup_semantic(docs, "k", "v", "l", 0.95).collect()}
+    assert got == expected | {2: 0}
+
+
 def test_cells_are_few_pairs():
     """Ten times the vectors of one label, compared in cells, take far less than a hundred times the pairs."""
     draw = np.random.default_rng(3)
