@@ -26,8 +26,10 @@ _SALTS = 64
 _CELL, _STEP = 1 << 22, 256
 #: Most centres of cells, and rows for each that they are fitted on.
 _CENTRES, _FIT = 4096, 64
-#: Cosines made at a time, and guests of a block for each row at home there.
-_PRODUCTS, _GUESTS = 1 << 20, 4
+#: Cosines made at a time, sketches in the space of a vector, and guests of a block for each row at home there.
+_PRODUCTS, _LEAN, _GUESTS = 1 << 20, 4, 2
+#: Most tasks that fit centres: each sends all of them in every round.
+_FITTING = 32
 _SKETCH = [StructField(n, k) for n, k in (("__d", IntegerType()), ("__k", BinaryType()), ("__s", DoubleType()), ("__q", BinaryType()))]
 
 
@@ -122,7 +124,7 @@ def _compared(job: pa.Table, least: float) -> tuple[np.ndarray, np.ndarray, np.n
     off = math.sqrt(size) / 2 * job.column("__s").to_numpy().max()
     slack = 3 * off + (size + 4) * 2.0**-23  # of the sketches, and of sums of 32-bit products
     lists = job.column("__w").combine_chunks()
-    visitor = np.repeat(np.arange(job.num_rows), pc.list_value_length(lists).to_numpy())
+    visitor = np.repeat(np.arange(job.num_rows, dtype=np.int32), pc.list_value_length(lists).to_numpy())
     cells = lists.flatten().to_numpy()
     if job.column("__p")[0].as_py():  # the rows at home are compared with each other in the first part
         cells, visitor = cells[~home[visitor]], visitor[~home[visitor]]
@@ -171,7 +173,7 @@ def _cell_centres(rows: DataFrame, count: int, of: int) -> np.ndarray:
 
     share = min(1.0, _FIT * count / max(1, of))
     drawn = rows.where(F.pmod(F.xxhash64("u", F.lit(2)), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
-    drawn = drawn.select("__s", "__q").mapInArrow(exact, "__u array<double>")
+    drawn = written(drawn.select("__s", "__q"), "drawn").coalesce(_FITTING).mapInArrow(exact, "__u array<double>")
     # By blocks: the other solver runs a task per centre in every round, for the distances between centres.
     model = KMeans(k=count, maxIter=8, seed=42, initMode="random", solver="block").fit(drawn.select(array_to_vector("__u").alias("features")))
     return _side_by_side(np.array(model.clusterCenters()))
@@ -187,16 +189,30 @@ def _side_by_side(centres: np.ndarray) -> np.ndarray:
     return np.concatenate([_side_by_side(centres[order[:half]]), _side_by_side(centres[order[half:]])])
 
 
-def _visited(units: np.ndarray, centres: np.ndarray, margin: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(places, cells, at home): the nearest cell of each vector, and those whose border is within `margin`."""
+def _distances(centres: np.ndarray) -> np.ndarray:
+    """Made in 64 bits, as small ones are differences of large numbers, a few rows at a time."""
+    made, exact = np.empty((len(centres),) * 2, centres.dtype), centres.astype(float)
+    lengths = (exact * exact).sum(axis=1)
+    for first in range(0, len(centres), _STEP):
+        part = slice(first, first + _STEP)
+        made[part] = np.sqrt(np.maximum(lengths + lengths[part, None] - 2 * exact[part] @ exact.T, 0))
+    return made
+
+
+def _visited(units: np.ndarray, centres: np.ndarray, margin: float, apart: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(places, cells, at home): the nearest cell of each vector, and those whose border is within `margin`.
+
+    `apart` are the `_distances` of the centres. In 32 bits the margin is wider by what sums may be off.
+    """
     lengths = (centres * centres).sum(axis=1)
+    slack = 1e-9 if units.dtype == np.float64 else (centres.shape[1] + 4) * 2.0**-21
+    apart = _distances(centres) if apart is None else apart
     for first in range(0, len(units), _STEP):
         part = units[first : first + _STEP]
         far = lengths - 2 * part @ centres.T
         home = far.argmin(axis=1)
-        apart = np.sqrt(np.maximum(lengths + lengths[home][:, None] - 2 * centres[home] @ centres.T, 0))
-        near = far - far[np.arange(len(part)), home][:, None] <= 2 * apart * margin + 1e-9
-        place, cell = np.nonzero(near)
+        far -= far[np.arange(len(part)), home][:, None]
+        place, cell = np.nonzero(far <= apart[home] * (2 * margin) + slack)
         yield place + first, cell, cell == home[place]
 
 
@@ -205,7 +221,7 @@ def _in_cells(rows: DataFrame, least: float, block: int, cell: int, border: floa
 
     A label of up to `cell` vectors is one cell. The centres of the others are as many as the largest
     of them needs, at most `_CENTRES`, and the same for all labels: their size is bounded, so tasks get them whole.
-    Cells side by side are a block, of about `block` vectors at home if the label is spread evenly.
+    Cells side by side are a block, of about `_LEAN` times `block` sketches at home if the label is spread evenly.
     """
     kind = "array<struct<__b:int,__w:array<smallint>>>"
     one = rows.withColumns({"__c": F.lit(0).cast("smallint"), "__o": F.lit(0), "__v": F.expr(f"cast(array(named_struct('__b', 0, '__w', array(0))) as {kind})")})
@@ -216,18 +232,20 @@ def _in_cells(rows: DataFrame, least: float, block: int, cell: int, border: floa
         return one
     found = one.join(large.select("__l", "__d"), ["__l", "__d"], "left_anti").select(one.columns)
     for size, (count, all_of) in most.items():
-        wide = max(1, min(block, _CELL // size))
+        wide = _LEAN * max(1, min(block, _CELL // size))
         own = rows.where(F.col("__d") == size).join(large.select("__l", "__d", F.ceil(F.col("__n") / wide).alias("__m")), ["__l", "__d"])
         centres = _cell_centres(own, max(2, min(_CENTRES, -(-2 * count // cell))), all_of)
         share = min(0.5, 1.6 / math.sqrt(size)) if border is None else border
         margin = share * (math.sqrt(max(0.0, 2 - 2 * least)) + math.sqrt(size) / 32767)  # the sketches of a pair may be farther apart
-        known, kept, names = rows.sparkSession.sparkContext.broadcast(centres), rows.columns, one.columns
+        known, kept, names = rows.sparkSession.sparkContext.broadcast(centres.astype("float32")), rows.columns, one.columns
 
         def assign(batches: Iterable[pa.RecordBatch], known=known, margin=margin, kept=kept, names=names) -> Iterator[pa.RecordBatch]:
+            apart = None
             for batch in batches:
                 if not batch.num_rows:
                     continue
-                place, cells, home = (np.concatenate(x) for x in zip(*_visited(_of_sketches(batch, "float64"), known.value, margin), strict=True))
+                apart = _distances(known.value) if apart is None else apart
+                place, cells, home = (np.concatenate(x) for x in zip(*_visited(_of_sketches(batch, "float32"), known.value, margin, apart), strict=True))
                 parts = np.minimum(batch.column("__m").to_numpy(), len(known.value))[place]
                 blocks = (cells * parts // len(known.value)).astype(np.int32)
                 starts = np.flatnonzero(np.diff(place, prepend=-1) | np.diff(blocks, prepend=-1))
@@ -250,7 +268,7 @@ def _semantic_links(rows: DataFrame, least: float, block: int, cell: int, border
     each of the parts at home meets each part of the guests and of the rest at home. Only a spanning forest leaves a job.
     """
     placed = written(_in_cells(rows, least, block, cell, border), "cells")
-    wide = F.greatest(F.lit(1), F.least(F.lit(block), F.floor(F.lit(_CELL) / F.col("__d"))))
+    wide = F.greatest(F.lit(1), F.least(F.lit(block), F.floor(F.lit(_CELL) / F.col("__d")))) * _LEAN
     sent = placed.select("*", F.inline("__v")).drop("__v").withColumn("__h", F.col("__b") == F.col("__o"))
     counts = sent.groupBy("__l", "__d", "__b").agg(F.count_if("__h").alias("home"), F.count_if(~F.col("__h")).alias("guests"))
     parts = counts.where("home > 0").withColumn("__n", F.ceil(F.col("home") / wide).cast("int"))
